@@ -19,16 +19,17 @@ def with_rain(rows: DataFrame, threshold: float = RAIN_THRESHOLD) -> DataFrame:
 
 
 def target_columns(w: WindowSpec) -> dict[str, Column]:
-    upcoming = {
+    return {
         "Rain_next": F.lead("Rain", 1).over(w),
         "Temp_next": F.lead("Temperature", 1).over(w),
     }
-    return {**upcoming, CLF_LABEL: upcoming["Rain_next"]}
 
 
 def with_targets(series: Series) -> Series:
-    """The next row's rain label and temperature within each station."""
-    return series.over(target_columns, ahead=1)
+    """The next row's rain label and temperature within each station, and the label under its model name."""
+    return series.over(target_columns, ahead=1).each(
+        lambda rows: rows.withColumn(CLF_LABEL, F.col("Rain_next"))
+    )
 
 
 def drop_without_target(rows: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.storage import exists
@@ -59,20 +59,18 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame | None:
 
 def tidy_metrics(document: DataFrame) -> DataFrame:
     """Tidy (task, model, metric, value) rows; short metric names are read as their long form."""
-    entries = F.concat(
-        *[
-            F.transform(
-                F.coalesce(F.map_entries(task), F.array().cast("array<struct<key:string,value:map<string,double>>>")),
-                lambda e, task=task: F.struct(
-                    F.lit(task).alias("task"), e["key"].alias("model"), e["value"].alias("values")
-                ),
-            )
-            for task in TASKS
-        ]
-    )
+    entries = F.concat(*[_task_entries(task) for task in TASKS])
     rows = document.select(F.inline(entries)).select("task", "model", F.explode("values").alias("metric", "value"))
     return rows.withColumn("metric", F.coalesce(_alias_map()[F.col("metric")], F.col("metric")))
 
 
-def _alias_map():
+def _task_entries(task: str) -> Column:
+    none = F.array().cast("array<struct<key: string, value: map<string, double>>>")
+    return F.transform(
+        F.coalesce(F.map_entries(task), none),
+        lambda e: F.struct(F.lit(task).alias("task"), e["key"].alias("model"), e["value"].alias("values")),
+    )
+
+
+def _alias_map() -> Column:
     return F.create_map(*[F.lit(x) for pair in METRIC_ALIASES.items() for x in pair])
