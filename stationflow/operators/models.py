@@ -84,8 +84,10 @@ class Trainer:
         found = load_model(self.train.sparkSession, path)
         if found is None:
             base, vectors = self._prepared()
-            found = PipelineModel(stages=[*base.stages, unfitted.fit(vectors)])
-            save_model(found, path)
+            save_model(PipelineModel(stages=[*base.stages, unfitted.fit(vectors)]), path)
+            # A fresh model drags its training summary (and with it the session) into every task that
+            # scores with it; a loaded one does not.
+            found = load_model(self.train.sparkSession, path)
         return found
 
     def _prepared(self) -> tuple[PipelineModel, DataFrame]:

@@ -218,9 +218,10 @@ def a07_load_split(spark, sf):
 def a08_model_store(spark, sf):
     """Predictions of a fitted model before and after a reload, compared row by row."""
     train, test = split_tables(spark, sf)
-    with md.Trainer(train, FEED, _folder(spark, "store")) as trainer:
-        fitted = trainer.model("clf", "lr")
-        loaded = trainer.model("clf", "lr")
+    fitted = md.model_plan("clf", "lr", FEED).fit(train)
+    path = md.model_path(_folder(spark, "store"), "clf", "lr", "check")
+    md.save_model(fitted, path)
+    loaded = md.load_model(spark, path)
     one = fitted.transform(test).select(*KEYS, F.col("prediction").alias("fitted"))
     two = loaded.transform(test).select(*KEYS, F.col("prediction").alias("loaded"))
     return one.join(two, list(KEYS)).agg(

@@ -86,7 +86,7 @@ def main() -> None:
             took = time.time() - began
             said = "rows only" if name not in oracles else difference(found, rows_of_sql(con, oracles[name])) or "equal"
         except Exception as error:  # report and go on with the next query
-            took, said, found = time.time() - began, f"{type(error).__name__}: {str(error)[:600]}", ((), ())
+            took, said, found = time.time() - began, f"{type(error).__name__}: {str(error)[:40000]}", ((), ())
         wrong += said not in ("equal", "rows only")
         print(f"{name:28s} {len(found[1]):7d} rows {took:6.2f} s  {said}", flush=True)
     print("wrong:", wrong)
