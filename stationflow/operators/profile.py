@@ -80,9 +80,8 @@ def label_distribution(rows: DataFrame, label: str) -> DataFrame:
 
 def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     """Equal-width bin number; the right edge belongs to the last bin, and a single value to the middle."""
-    share = (value - low) / F.nullif(high - low, F.lit(0.0))
-    at = F.least(F.floor(share * bins), F.lit(bins - 1))
-    return F.coalesce(at, F.lit(bins // 2)).cast("int")
+    at = F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1))
+    return F.when(high > low, at).otherwise(F.lit(bins // 2)).cast("int")
 
 
 def histogram(values: DataFrame, measures: Sequence[str], bins: int = 60) -> DataFrame:
