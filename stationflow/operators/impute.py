@@ -19,17 +19,22 @@ def exact_medians(
     rows: DataFrame,
     columns: Sequence[str] = MEASURES,
     superset: DataFrame | None = None,
+    at_most: int | None = None,
     max_distinct: int = MAX_DISTINCT,
 ) -> dict[str, float]:
     """Median of each column over its present values; all-null columns are left out.
 
     The built-in median keeps one counter per distinct value, so it is used where a distinct count shows
     that to be bounded. Columns with more distinct values are narrowed down by rank instead. ``superset`` may
-    name a frame that holds at least these values and is cheaper to read for the distinct count.
+    name a frame that holds at least these values and is cheaper to read for the distinct count; no count is
+    needed when there are ``at_most`` that many rows anyway.
     """
-    source = rows if superset is None else superset
-    widths = source.agg(*[F.approx_count_distinct(present(c)).alias(c) for c in columns]).first()
-    narrow = [c for c in columns if widths[c] <= max_distinct]
+    if at_most is not None and at_most <= max_distinct:
+        narrow = list(columns)
+    else:
+        source = rows if superset is None else superset
+        widths = source.agg(*[F.approx_count_distinct(present(c)).alias(c) for c in columns]).first()
+        narrow = [c for c in columns if widths[c] <= max_distinct]
     found = {}
     if narrow:
         found = rows.agg(*[F.median(present(c)).alias(c) for c in narrow]).first().asDict()

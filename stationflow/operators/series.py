@@ -38,18 +38,24 @@ class Series:
     spec: SeriesSpec
     ordinary: DataFrame
     long: DataFrame | None = None
+    counted: int = 0
 
     @classmethod
     def of(cls, df: DataFrame, spec: SeriesSpec, max_rows: int = MAX_ROWS_PER_TASK) -> Series:
-        """Count rows per entity (one narrow, map-side combined job) and set long ones apart."""
-        sizes = df.groupBy(spec.entity).count().filter(F.col("count") > max_rows).collect()
-        if not sizes:
-            return cls(spec, df)
+        """Count rows per entity (one narrow, map-side combined job) and set long ones apart.
+
+        ``counted`` keeps the number of all rows.
+        """
+        hot = F.when(F.col("count") > max_rows, F.struct(spec.entity, "count"))
+        sizes = df.groupBy(spec.entity).count().agg(F.sum("count"), F.collect_list(hot)).first()
+        counted = sizes[0] or 0
+        if not sizes[1]:
+            return cls(spec, df, counted=counted)
         # Each name listed stands for more than max_rows rows, so the list is at most rows / max_rows.
         names = df.sparkSession.createDataFrame(
-            [(row[0],) for row in sizes], df.select(spec.entity).schema
+            [(row[0],) for row in sizes[1]], df.select(spec.entity).schema
         )
-        blocks = math.ceil(sum(row["count"] for row in sizes) * 2 / max_rows)
+        blocks = math.ceil(sum(row["count"] for row in sizes[1]) * 2 / max_rows)
         long = (
             df.join(F.broadcast(names), spec.entity, "left_semi")
             .select(df.columns)
@@ -57,7 +63,7 @@ class Series:
             .withColumn(BLOCK, F.spark_partition_id())
         )
         rest = df.join(F.broadcast(names), spec.entity, "left_anti").select(df.columns)
-        return cls(spec, rest, stage(long, "blocks"))
+        return cls(spec, rest, stage(long, "blocks"), counted)
 
     def each(self, change: Callable[[DataFrame], DataFrame]) -> Series:
         """Apply a row-wise change to every part."""

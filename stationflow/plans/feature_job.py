@@ -38,7 +38,7 @@ def preprocessed_series(
     series = labelled_series(cleaned, spec, threshold, max_rows)
     rows = series.frame()
     if exact:
-        medians = exact_medians(rows, spec.measures, superset=cleaned)
+        medians = exact_medians(rows, spec.measures, superset=cleaned, at_most=series.counted)
     else:
         medians = approximate_medians(rows, spec.measures)
     return series.each(lambda part: fill_missing(part, medians))
