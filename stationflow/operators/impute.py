@@ -7,42 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationflow.functions.scalars import present
+from stationflow.operators.profile import value_counts
 from stationflow.spec import MEASURES
 from stationflow.storage import stage
 
 MAX_DISTINCT = 1_000_000
-ACCURACY = 10_000
+CUTS = 64
 
 
 def exact_medians(
     rows: DataFrame,
     columns: Sequence[str] = MEASURES,
-    superset: DataFrame | None = None,
     at_most: int | None = None,
     max_distinct: int = MAX_DISTINCT,
 ) -> dict[str, float]:
-    """Median of each column over its present values; all-null columns are left out.
+    """Median of each column over its present values; columns without any are left out.
 
-    The built-in median keeps one counter per distinct value, so it is used where a distinct count shows
-    that to be bounded. Columns with more distinct values are narrowed down by rank instead. ``superset`` may
-    name a frame that holds at least these values and is cheaper to read for the distinct count; no count is
-    needed when there are ``at_most`` that many rows anyway.
+    One pass reduces all columns to a count per distinct value, combined before and after a shuffle by value.
+    The last step then sees distinct values only. A column with more than ``max_distinct`` of them is narrowed
+    down by rank first. ``at_most`` is an upper bound of the row count, when one is known: if that is
+    small enough, the counts need not be written in between.
     """
-    if at_most is not None and at_most <= max_distinct:
-        narrow = list(columns)
+    counts = value_counts(rows, [], columns)
+    if at_most is None or at_most > max_distinct:
+        counts = stage(counts, "value-counts")
+        widths = {r["measure"]: r["count"] for r in counts.groupBy("measure").count().collect()}
+        wide = {c for c, width in widths.items() if width > max_distinct}
     else:
-        source = rows if superset is None else superset
-        widths = source.agg(*[F.approx_count_distinct(present(c)).alias(c) for c in columns]).first()
-        narrow = [c for c in columns if widths[c] <= max_distinct]
-    found = {}
-    if narrow:
-        found = rows.agg(*[F.median(present(c)).alias(c) for c in narrow]).first().asDict()
-    wide = [c for c in columns if c not in narrow]
-    if wide:
-        values = stage(rows.select(*[present(c).alias(c) for c in wide]), "values")
-        found |= {c: _median_by_rank(values.select(c).dropna(), c, max_distinct) for c in wide}
-    return {c: found[c] for c in columns if found.get(c) is not None}
+        wide = set()
+    narrow = counts.filter(~F.col("measure").isin(*wide)) if wide else counts
+    medians = narrow.groupBy("measure").agg(
+        F.percentile("value", F.lit(0.5), F.col("rows")).alias("median")
+    )
+    found = {r["measure"]: r["median"] for r in medians.collect()}
+    for c in wide:
+        found[c] = _median_by_rank(counts.filter(F.col("measure") == c), max_distinct)
+    return {c: found[c] for c in columns if c in found}
 
 
 def approximate_medians(
@@ -58,40 +58,35 @@ def fill_missing(rows: DataFrame, medians: dict[str, float]) -> DataFrame:
     return rows.fillna(medians) if medians else rows
 
 
-def _median_by_rank(values: DataFrame, c: str, max_distinct: int) -> float | None:
-    """Close in on the middle ranks until few distinct values are left between the bounds.
+def _median_by_rank(counts: DataFrame, max_distinct: int) -> float:
+    """Median of (value, rows) pairs: close in on the middle ranks until few values are left.
 
-    Each round estimates values a little below and above the middle, then counts exactly what lies below and
-    between them. Bounds move only when the counts prove that they enclose the middle ranks.
+    Each round cuts the remaining values into about ``CUTS`` parts, counts the rows below every cut exactly, and
+    keeps the parts that hold the middle ranks.
     """
-    total = values.count()
-    if total == 0:
-        return None
+    total = counts.agg(F.sum("rows")).first()[0]
     middle = ((total - 1) // 2, total // 2)
-    inside, below, size = values, 0, total
-    slack = 2.0 / ACCURACY
-    while inside.agg(F.approx_count_distinct(c)).first()[0] > max_distinct:
-        shares = [
-            max(0.0, (middle[0] - below) / size - slack),
-            min(1.0, (middle[1] - below + 1) / size + slack),
-        ]
-        low, high = inside.agg(F.percentile_approx(c, shares, ACCURACY)).first()[0]
-        under, between = values.agg(
-            F.count_if(F.col(c) < low), F.count_if(F.col(c).between(low, high))
+    left, below, width = counts, 0, counts.count()
+    while width > max_distinct:
+        shares = [i / CUTS for i in range(1, CUTS)]
+        cuts = sorted(set(left.agg(F.percentile_approx("value", shares, 10 * CUTS)).first()[0]))
+        under = left.agg(
+            *[F.coalesce(F.sum(F.when(F.col("value") < cut, F.col("rows"))), F.lit(0)) for cut in cuts]
         ).first()
-        if under <= middle[0] and middle[1] < under + between:
-            if between == size:
-                break
-            inside = values.filter(F.col(c).between(low, high))
-            below, size = under, between
-        else:
-            slack *= 4
-    counts = inside.groupBy(c).count()
-    # At most about max_distinct rows reach this ordering.
-    running = counts.withColumn(
-        "upto", F.sum("count").over(Window.orderBy(c)) + F.lit(below)
-    )
+        before = [below + n for n in under]
+        low = max((i for i, n in enumerate(before) if n <= middle[0]), default=None)
+        high = min((i for i, n in enumerate(before) if n > middle[1]), default=None)
+        if low is not None:
+            left, below = left.filter(F.col("value") >= cuts[low]), before[low]
+        if high is not None:
+            left = left.filter(F.col("value") < cuts[high])
+        narrower = left.count()
+        if narrower == width:
+            break
+        width = narrower
+    # At most max_distinct rows reach this ordering.
+    running = left.withColumn("upto", F.sum("rows").over(Window.orderBy("value")) + F.lit(below))
     row = running.agg(
-        *[F.min(F.when(F.col("upto") > rank, F.col(c))) for rank in middle]
+        *[F.min(F.when(F.col("upto") > rank, F.col("value"))) for rank in middle]
     ).first()
     return (row[0] + row[1]) / 2

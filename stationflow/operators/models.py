@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -13,6 +12,7 @@ from pyspark.sql import DataFrame
 from stationflow.operators.prepare import base_stages, fit_base
 from stationflow.sources.models import fingerprint, load_model, model_path, save_model
 from stationflow.spec import CLF_LABEL, REG_LABEL, ModelSettings, SeriesSpec
+from stationflow.storage import stage
 
 CLASSIFIERS = ("lr", "rf", "gbt")
 REGRESSORS = ("linear", "rf", "gbt")
@@ -60,7 +60,8 @@ class Trainer:
     """Loads or fits models on one training frame.
 
     Index, encoder and scaler do not depend on the model, so they are fitted once, and all estimators read one
-    persisted frame of vectors and labels instead of rebuilding it per model.
+    written table of vectors and labels. The estimators cache their own form of the rows while they iterate, so
+    keeping the vectors in memory as well would only hold them twice, and a table outlives lost executors.
     """
 
     train: DataFrame
@@ -94,25 +95,9 @@ class Trainer:
         if self._base is None:
             self._base = fit_base(self.train, self.spec)
             labels = [c for c in TASK_LABEL.values() if c in self.train.columns]
-            self._vectors = (
-                self._base.transform(self.train)
-                .select("features", *labels)
-                .persist(StorageLevel.MEMORY_AND_DISK)
-            )
+            self._vectors = stage(self._base.transform(self.train).select("features", *labels), "vectors")
         return self._base, self._vectors
 
-    def close(self) -> None:
-        """Release the persisted vectors."""
-        if self._vectors is not None:
-            self._vectors.unpersist()
-            self._base = self._vectors = None
-
-    def __enter__(self) -> Trainer:
-        return self
-
-    def __exit__(self, *_) -> None:
-        self.close()
-
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows)

@@ -90,7 +90,7 @@ def histogram(values: DataFrame, measures: Sequence[str], bins: int = 60) -> Dat
     Values are counted before anything is joined, so what meets the two bounds per measure is one row per
     distinct value.
     """
-    counted = _value_counts(values, [], measures)
+    counted = value_counts(values, [], measures)
     bounds = counted.groupBy("measure").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     return (
         counted.join(F.broadcast(bounds), "measure")
@@ -107,7 +107,7 @@ def station_histogram(
     Both join sides come from one exchange of value counts; their sizes are then known, so Spark broadcasts
     the bounds or splits a skewed station by itself.
     """
-    counted = _value_counts(values, [entity], measures)
+    counted = value_counts(values, [entity], measures)
     bounds = counted.groupBy(entity, "measure").agg(
         F.min("value").alias("low"), F.max("value").alias("high")
     )
@@ -118,7 +118,8 @@ def station_histogram(
     )
 
 
-def _value_counts(values: DataFrame, keys: list[str], measures: Sequence[str]) -> DataFrame:
+def value_counts(values: DataFrame, keys: list[str], measures: Sequence[str]) -> DataFrame:
+    """Rows per (keys, measure, distinct value), missing values left out."""
     tall = series_of_measures(values, keys, measures)
     return tall.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -12,31 +12,36 @@ EXPLORATION_ROWS = 500_000
 FAST_EXPLORATION_ROWS = 150_000
 
 
-def capped_sample(
-    rows: DataFrame, column: str, key: Column, count: int = EXPLORATION_ROWS
-) -> DataFrame:
-    """The ``count`` rows of smallest key hash among those where ``column`` is present; all if fewer.
+def smallest_hashes(rows: DataFrame, key: Column, count: int) -> DataFrame:
+    """The ``count`` rows of smallest key hash; all if there are no more.
 
     A plain ordered limit would send ``count`` candidates from every task to one. Rows are counted by the
     first 16 bits of the hash instead: buckets that fit whole are kept by a filter, and only the bucket on the
     border is ordered.
     """
-    hashed = rows.dropna(subset=[column]).withColumn("__hash", F.md5(key))
+    hashed = rows.withColumn("__hash", F.md5(key))
     bucket = F.conv(F.substring("__hash", 1, 4), 16, 10).cast("int")
-    sizes = hashed.groupBy(bucket.alias("bucket")).count().orderBy("bucket").collect()
+    sizes = hashed.groupBy(bucket.alias("bucket")).count().collect()
     taken, border = 0, None
-    for row in sizes:
+    for row in sorted(sizes):
         if taken + row["count"] > count:
             border = row["bucket"]
             break
         taken += row["count"]
     if border is None:
-        return hashed.drop("__hash")
+        return rows
     whole = hashed.filter(bucket < border)
     rest = hashed.filter(bucket == border).orderBy("__hash").limit(count - taken)
     return whole.unionByName(rest).drop("__hash")
 
 
+def capped_sample(
+    rows: DataFrame, column: str, key: Column, count: int = EXPLORATION_ROWS
+) -> DataFrame:
+    """A sample of at most ``count`` rows in which ``column`` is present."""
+    return smallest_hashes(rows.dropna(subset=[column]), key, count)
+
+
 def split_column(
     spec: SeriesSpec, test_share: float = TEST_SHARE, seed: int | None = None
 ) -> Column:

@@ -41,13 +41,21 @@ class Series:
     counted: int = 0
 
     @classmethod
-    def of(cls, df: DataFrame, spec: SeriesSpec, max_rows: int = MAX_ROWS_PER_TASK) -> Series:
+    def of(
+        cls,
+        df: DataFrame,
+        spec: SeriesSpec,
+        max_rows: int = MAX_ROWS_PER_TASK,
+        superset: DataFrame | None = None,
+    ) -> Series:
         """Count rows per entity (one narrow, map-side combined job) and set long ones apart.
 
-        ``counted`` keeps the number of all rows.
+        ``superset`` may name a frame with at least these rows that is cheaper to count. ``counted`` keeps the
+        number of rows found, i.e. an upper bound.
         """
+        source = df if superset is None else superset
         hot = F.when(F.col("count") > max_rows, F.struct(spec.entity, "count"))
-        sizes = df.groupBy(spec.entity).count().agg(F.sum("count"), F.collect_list(hot)).first()
+        sizes = source.groupBy(spec.entity).count().agg(F.sum("count"), F.collect_list(hot)).first()
         counted = sizes[0] or 0
         if not sizes[1]:
             return cls(spec, df, counted=counted)

@@ -19,7 +19,8 @@ def labelled_series(
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> Series:
     """Parsed, labelled rows that have both targets, not yet imputed."""
-    series = Series.of(parsed(cleaned, spec), spec, max_rows)
+    # Counting before parsing reads the entity column only.
+    series = Series.of(parsed(cleaned, spec), spec, max_rows, superset=cleaned)
     return with_targets(series.each(lambda rows: with_rain(rows, threshold))).each(drop_without_target)
 
 
@@ -38,7 +39,7 @@ def preprocessed_series(
     series = labelled_series(cleaned, spec, threshold, max_rows)
     rows = series.frame()
     if exact:
-        medians = exact_medians(rows, spec.measures, superset=cleaned, at_most=series.counted)
+        medians = exact_medians(rows, spec.measures, at_most=series.counted)
     else:
         medians = approximate_medians(rows, spec.measures)
     return series.each(lambda part: fill_missing(part, medians))

@@ -51,9 +51,9 @@ def run(
     sizes = train.count(), test.count()
     log.info("train %d rows, test %d rows", *sizes)
     labelled = with_regression_label(train)
-    with Trainer(labelled, spec, f"{out}/models", settings) as trainer:
-        classification, matrix = run_classification(trainer, test)
-        regression = run_regression(trainer, test)
+    trainer = Trainer(labelled, spec, f"{out}/models", settings)
+    classification, matrix = run_classification(trainer, test)
+    regression = run_regression(trainer, test)
     log.info("forest confusion matrix %s", matrix)
     metrics = classification.unionByName(regression)
     for row in best_models(metrics).collect():

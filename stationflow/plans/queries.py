@@ -513,8 +513,8 @@ def e02_positive_ratio(spark, sf):
 
 @query
 def e03_medians(spark, sf):
-    rows = target_rows(spark, sf)
-    medians = im.exact_medians(rows, superset=clean_rows(spark, sf))
+    series = fj.labelled_series(clean_rows(spark, sf), FEED)
+    medians = im.exact_medians(series.frame(), at_most=series.counted)
     return tidy_types(
         spark.createDataFrame(list(medians.items()), "measure string, median double")
     )

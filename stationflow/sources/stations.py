@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions.scalars import strip_csv
+from stationflow.operators.sampling import smallest_hashes
 from stationflow.spec import MIN_VALID_SHARE, SEED
 
+ORDERED_STATIONS = 10_000
 STATION_MAP = (
     "map<string, struct<latitude: double, longitude: double, ELEVATION: double, valid_percent: double>>"
 )
@@ -33,9 +35,10 @@ def valid_stations(stations: DataFrame, minimum: float = MIN_VALID_SHARE) -> Dat
 
 def sample_stations(stations: DataFrame, count: int, seed: int = SEED) -> DataFrame:
     """``count`` stations in seeded hash order; all of them when there are no more than that."""
-    return stations.orderBy(
-        F.md5(F.concat_ws("|", "StationID", F.lit(str(seed)))), "StationID"
-    ).limit(count)
+    key = F.concat_ws("|", "StationID", F.lit(str(seed)))
+    if count > ORDERED_STATIONS:
+        return smallest_hashes(stations, key, count)
+    return stations.orderBy(F.md5(key)).limit(count)
 
 
 def station_list(stations: DataFrame, first: int = 200) -> DataFrame:

@@ -44,8 +44,7 @@ def learnable(spark):
 
 @pytest.fixture(scope="module")
 def trainer(learnable, tmp_path_factory):
-    with md.Trainer(learnable[0], ROW, str(tmp_path_factory.mktemp("models")), TINY) as trainer:
-        yield trainer
+    return md.Trainer(learnable[0], ROW, str(tmp_path_factory.mktemp("models")), TINY)
 
 
 @pytest.mark.parametrize("name", md.CLASSIFIERS)
@@ -63,13 +62,12 @@ def test_regressors_learn(trainer, learnable, name):
 def test_a_stored_model_is_loaded_and_other_settings_miss(trainer, learnable, monkeypatch):
     first = trainer.model("clf", "lr")
     monkeypatch.setattr(md, "fit_base", lambda *_: pytest.fail("fitted again"))
-    with md.Trainer(learnable[0].repartition(3), ROW, trainer.store, TINY) as again:
-        model = again.model("clf", "lr")
-        assert model.stages[-1].coefficients == first.stages[-1].coefficients
-    with md.Trainer(learnable[0], ROW, trainer.store, ModelSettings(l2=0.5)) as other:
-        assert other.key != trainer.key
-        with pytest.raises(BaseException, match="fitted again"):
-            other.model("clf", "lr")
+    again = md.Trainer(learnable[0].repartition(3), ROW, trainer.store, TINY)
+    assert again.model("clf", "lr").stages[-1].coefficients == first.stages[-1].coefficients
+    other = md.Trainer(learnable[0], ROW, trainer.store, ModelSettings(l2=0.5))
+    assert other.key != trainer.key
+    with pytest.raises(BaseException, match="fitted again"):
+        other.model("clf", "lr")
 
 
 def test_a_half_saved_model_does_not_count(trainer):
