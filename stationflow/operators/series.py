@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from stationflow.spec import SeriesSpec
-from stationflow.storage import stage
+from stationflow.storage import partitioned_for, stage
 
 BLOCK = "__block"
 SOURCE = "__source_block"
@@ -39,6 +39,7 @@ class Series:
     ordinary: DataFrame
     long: DataFrame | None = None
     counted: int = 0
+    counted_long: int = 0
 
     @classmethod
     def of(
@@ -56,22 +57,23 @@ class Series:
         source = df if superset is None else superset
         hot = F.when(F.col("count") > max_rows, F.struct(spec.entity, "count"))
         sizes = source.groupBy(spec.entity).count().agg(F.sum("count"), F.collect_list(hot)).first()
-        counted = sizes[0] or 0
-        if not sizes[1]:
-            return cls(spec, df, counted=counted)
+        counted, hot = sizes[0] or 0, sizes[1]
+        if not hot:
+            return cls(spec, partitioned_for(df, counted, spec.entity), counted=counted)
         # Each name listed stands for more than max_rows rows, so the list is at most rows / max_rows.
         names = df.sparkSession.createDataFrame(
-            [(row[0],) for row in sizes[1]], df.select(spec.entity).schema
+            [(row[0],) for row in hot], df.select(spec.entity).schema
         )
-        blocks = math.ceil(sum(row["count"] for row in sizes[1]) * 2 / max_rows)
+        counted_long = sum(row["count"] for row in hot)
         long = (
             df.join(F.broadcast(names), spec.entity, "left_semi")
             .select(df.columns)
-            .repartitionByRange(blocks, spec.entity, *spec.order)
+            .repartitionByRange(math.ceil(counted_long * 2 / max_rows), spec.entity, *spec.order)
             .withColumn(BLOCK, F.spark_partition_id())
         )
         rest = df.join(F.broadcast(names), spec.entity, "left_anti").select(df.columns)
-        return cls(spec, rest, stage(long, "blocks"), counted)
+        rest = partitioned_for(rest, counted - counted_long, spec.entity)
+        return cls(spec, rest, stage(long, "blocks"), counted, counted_long)
 
     def each(self, change: Callable[[DataFrame], DataFrame]) -> Series:
         """Apply a row-wise change to every part."""
@@ -98,6 +100,7 @@ class Series:
             framed = framed.unionByName(_copies(own, spec, back, ascending=True))
         if ahead:
             framed = framed.unionByName(_copies(own, spec, ahead, ascending=False))
+        framed = partitioned_for(framed, self.counted_long, spec.entity, BLOCK)
         within = Window.partitionBy(spec.entity, BLOCK).orderBy(*spec.order, SOURCE)
         long = (
             framed.withColumns(columns(within))

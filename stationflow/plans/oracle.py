@@ -431,6 +431,8 @@ ORACLES: dict[str, str] = {
         count(*) as rows from features"""),
 }
 
+ORACLES["j02_feature_rows_in_blocks"] = ORACLES["j02_feature_rows"]
+
 # The scalar functions are checked on every parsed row, before targets and imputation.
 for _name in [n for n in ORACLES if n.startswith("c0")]:
     ORACLES[_name] = ORACLES[_name].replace(

@@ -42,6 +42,7 @@ QUERIES: dict[str, Query] = {}
 KEYS = ("StationID", "event_id")
 SAMPLED_STATIONS = 50
 SAMPLE_ROWS = 1_000
+SHORT_BLOCKS = 70
 
 
 def query(fn: Query) -> Query:
@@ -881,6 +882,12 @@ def j02_feature_rows(spark, sf):
     return tidy_types(fj.feature_rows(clean_rows(spark, sf), FEED))
 
 
+@query
+def j02_feature_rows_in_blocks(spark, sf):
+    """As j02_feature_rows, with the longer stations cut into blocks on the way."""
+    return tidy_types(fj.feature_rows(clean_rows(spark, sf), FEED, max_rows=SHORT_BLOCKS))
+
+
 @query
 def j03_classification(spark, sf):
     _, test = split_tables(spark, sf)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
+ROWS_PER_PARTITION = 5_000_000
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -40,6 +42,18 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFr
     return F.broadcast(dim)
 
 
+def partitioned_for(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` into enough parts for ``rows`` rows.
+
+    The number of parts of an ordinary shuffle is a session setting that does not grow with the data. Where
+    it suffices, nothing is done here: the operator above shuffles by itself and AQE merges small parts.
+    """
+    parts = math.ceil(rows / ROWS_PER_PARTITION)
+    if parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(parts, *keys)
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)

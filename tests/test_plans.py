@@ -2,6 +2,7 @@
 
 import re
 
+from stationflow import storage
 from stationflow.plans import queries as q
 from stationflow.sources import event_feed as feed
 from stationflow.sources.event_feed import FEED
@@ -46,3 +47,9 @@ def test_no_query_pairs_rows_or_runs_python(spark, small):
         text = plan(q.QUERIES[name](spark, small))
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
         assert "Python" not in text and "Pandas" not in text, name
+
+
+def test_window_shuffles_grow_with_the_rows(spark, small, monkeypatch):
+    monkeypatch.setattr(storage, "ROWS_PER_PARTITION", 10)
+    text = plan(q.fj.feature_rows(q.clean_rows(spark, small), FEED))
+    assert shuffles(text) == 1 and "hashpartitioning(StationID#" in text and ", 39), REPARTITION_BY_NUM" in text

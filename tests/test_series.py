@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import ROW, same_rows
+from stationflow import storage
 from stationflow.operators import features as ft
 from stationflow.operators import labels as lb
 from stationflow.operators.clean import parsed
@@ -87,5 +88,11 @@ def test_no_task_holds_a_long_station(spark, skewed):
     assert series.long.select("StationID").distinct().count() == 1
 
 
+def test_more_partitions_than_the_session_asks_for(spark, skewed, monkeypatch):
+    plain = fj.feature_rows(skewed, ROW)
+    monkeypatch.setattr(storage, "ROWS_PER_PARTITION", 40)
+    assert same_rows(plain, fj.feature_rows(skewed, ROW, max_rows=500))
+
+
 def test_short_stations_stay_in_one_plan(spark, skewed):
     assert Series.of(parsed(skewed, ROW), ROW).long is None
