@@ -22,7 +22,7 @@ from stationflow.sources.metrics import save_metrics
 from stationflow.sources.observations import load_observations
 from stationflow.sources.tables import load_frame, load_split, save_frame, save_split
 from stationflow.spec import MIN_VALID_SHARE, STATION_SAMPLE, VALID_MASK, ModelSettings, SeriesSpec
-from stationflow.storage import delete
+from stationflow.storage import delete, discard_work
 
 log = logging.getLogger(__name__)
 
@@ -104,6 +104,7 @@ def main() -> None:
     run(
         spark, args.observations, args.metadata, args.out, args.stations, args.min_valid, settings, args.force
     ).show(truncate=False)
+    discard_work(spark)
     spark.stop()
 
 

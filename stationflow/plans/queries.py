@@ -34,7 +34,7 @@ from stationflow.sources import observations as ob
 from stationflow.sources import stations as st
 from stationflow.sources import tables as tb
 from stationflow.sources.event_feed import FEED
-from stationflow.spec import MEASURES, NUMERIC_FEATURES, VALID_MASK
+from stationflow.spec import MEASURES, NUMERIC_FEATURES, VALID_MASK, SeriesSpec
 from stationflow.storage import exists, stage, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,8 @@ KEYS = ("StationID", "event_id")
 SAMPLED_STATIONS = 50
 SAMPLE_ROWS = 1_000
 SHORT_BLOCKS = 70
+# Clean rows have no parsed time yet; their date text sorts the same way.
+FEED_BY_TEXT = SeriesSpec(time="datetime", tiebreak=FEED.tiebreak)
 
 
 def query(fn: Query) -> Query:
@@ -97,16 +99,17 @@ def filled_series(spark: SparkSession, sf: str) -> Series:
     return fj.preprocessed_series(clean_rows(spark, sf), FEED)
 
 
-_staged: dict[tuple[str, str, str], DataFrame] = {}
+_features: dict[tuple[str, str], DataFrame] = {}
+_trainers: dict[tuple[str, str], md.Trainer] = {}
 
 
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     """Feature rows with their split, written once per application as the whole run does."""
-    key = (spark.sparkContext.applicationId, sf, "features")
-    if key not in _staged:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _features:
         rows = sp.with_split(fj.feature_rows(clean_rows(spark, sf), FEED), FEED)
-        _staged[key] = stage(rows, "features")
-    return _staged[key]
+        _features[key] = stage(rows, "features")
+    return _features[key]
 
 
 def split_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -560,11 +563,7 @@ def e09_coverage(spark, sf):
 
 @query
 def e10_split_sizes(spark, sf):
-    return tidy_types(pf_split(spark, sf))
-
-
-def pf_split(spark, sf) -> DataFrame:
-    return sp.split_sizes(sp.with_split(fj.feature_rows(clean_rows(spark, sf), FEED), FEED))
+    return tidy_types(sp.split_sizes(sp.with_split(fj.feature_rows(clean_rows(spark, sf), FEED), FEED)))
 
 
 @query
@@ -716,10 +715,10 @@ def h07_split_placement(spark, sf):
 
 
 def _trainer(spark, sf) -> md.Trainer:
-    key = (spark.sparkContext.applicationId, sf, "trainer")
-    if key not in _staged:
-        _staged[key] = md.Trainer(split_tables(spark, sf)[0], FEED, _folder(spark, "models"))
-    return _staged[key]
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _trainers:
+        _trainers[key] = md.Trainer(split_tables(spark, sf)[0], FEED, _folder(spark, "models"))
+    return _trainers[key]
 
 
 def _predicted(spark, sf, task: str, name: str) -> DataFrame:
@@ -913,6 +912,3 @@ def j05_whole_run(spark, sf):
         F.size("regression").cast("bigint").alias("regressors"),
         (F.col("train_count") + F.col("test_count")).alias("rows"),
     )
-
-
-FEED_BY_TEXT = type(FEED)(time="datetime", tiebreak=FEED.tiebreak)

@@ -6,6 +6,7 @@ station, each event one reading. Some readings carry a bad date, a bad mask or a
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from stationflow.spec import SeriesSpec
 from stationflow.storage import work_dir
 
 FEED = SeriesSpec(tiebreak=("event_id",))
+STATIONS_PER_FILE = 10_000
 _written: dict[tuple[str, str], tuple[str, str]] = {}
 
 
@@ -77,14 +79,14 @@ def write_station_files(spark: SparkSession, folder: str) -> tuple[str, str]:
     # One file per station is the input format itself, so the rows of a station meet in one writer here.
     readings.repartition("name").write.partitionBy("name").option("header", True).csv(f"{root}/parts")
     _rename_to_station_files(spark, f"{root}/parts", csv)
-    per_file = 10_000
-    files = max(1, -(-dim.count() // per_file))
+    files = max(1, math.ceil(dim.count() / STATIONS_PER_FILE))
     info = F.struct("latitude", "longitude", "ELEVATION", "valid_percent")
     (
         dim.groupBy(F.pmod(F.xxhash64("StationID"), F.lit(files)).alias("part"))
         .agg(F.map_from_entries(F.collect_list(F.struct(F.concat("StationID", F.lit(".csv")), info))).alias("m"))
-        .select(F.to_json("m").alias("value"))
-        .write.text(meta)
+        .select("part", F.to_json("m").alias("value"))
+        .write.partitionBy("part")  # one object per file
+        .text(meta)
     )
     _written[key] = (csv, meta)
     return csv, meta

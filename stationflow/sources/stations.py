@@ -18,7 +18,7 @@ STATION_MAP = (
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
     """One row per station from one or several JSON map files (every attribute is optional).
 
-    A map file is one JSON object, hence one row until it is exploded; a large catalogue should come as
+    A map file is exactly one JSON object, hence one row until it is exploded; a large catalogue should come as
     several files, which are then read in parallel.
     """
     return (

@@ -68,3 +68,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _filesystem(spark, path)
     fs.delete(target, True)
+
+
+def discard_work(spark: SparkSession) -> None:
+    """Delete the tables this application staged; frames read from them cannot be used afterwards."""
+    delete(spark, work_dir(spark))

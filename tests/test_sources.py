@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import ROW, hourly, same_rows
 from stationflow.operators import sampling as sp
+from stationflow.sources import event_feed as feed
 from stationflow.sources import metrics as mt
 from stationflow.sources import observations as ob
 from stationflow.sources import stations as st
@@ -41,6 +42,21 @@ def test_station_map(spark, files):
     assert found["20"]["latitude"] is None and found["30"]["valid_percent"] is None
 
 
+def test_catalogue_of_several_files(spark, tmp_path):
+    for part in range(3):
+        entries = {f"{part}{i}.csv": {"valid_percent": 0.5} for i in range(4)}
+        (tmp_path / f"meta{part}.json").write_text(json.dumps(entries))
+    assert st.read_stations(spark, str(tmp_path)).count() == 12
+
+
+def test_feed_files_keep_every_station(spark, small, monkeypatch):
+    monkeypatch.setattr(feed, "STATIONS_PER_FILE", 7)
+    monkeypatch.setattr(feed, "_written", {})
+    _, meta = feed.write_station_files(spark, small)
+    names = feed.stations(spark, small).select("StationID")
+    assert same_rows(st.read_stations(spark, meta).select("StationID"), names)
+
+
 def test_only_files_of_valid_stations_are_read(spark, files):
     rows = ob.load_observations(spark, *files)
     assert {(r["StationID"], r["TMP"]) for r in rows.collect()} == {("10", 1.5), ("20", 2.5)}
