@@ -86,8 +86,7 @@ class Trainer:
         if found is None:
             base, vectors = self._prepared()
             save_model(PipelineModel(stages=[*base.stages, unfitted.fit(vectors)]), path)
-            # A fresh model drags its training summary (and with it the session) into every task that
-            # scores with it; a loaded one does not.
+            # A fresh linear model drags its training summary into every task that scores with it.
             found = load_model(self.train.sparkSession, path)
         return found
 

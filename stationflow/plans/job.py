@@ -8,13 +8,14 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.operators.clean import canonical, only_valid
+from stationflow.operators.clean import clean
 from stationflow.operators.evaluate import best_models
 from stationflow.operators.labels import with_regression_label
 from stationflow.operators.models import Trainer
+from stationflow.operators.profile import audit
 from stationflow.operators.sampling import with_split
 from stationflow.plans.feature_job import feature_rows
 from stationflow.plans.forecast import run_classification, run_regression
@@ -36,17 +37,20 @@ def run(
     minimum: float = MIN_VALID_SHARE,
     settings: ModelSettings = ModelSettings(),
     force: bool = False,
+    audited: bool = False,
 ) -> DataFrame:
     """Tidy metrics of all six models; every finished table, model and document stays below ``out``.
 
     A run continues from what an earlier one finished: the split feature table if there is one, else the
-    cleaned observations, else the files. ``force`` starts over.
+    cleaned observations, else the files. Use ``force`` to start over, also after changing what is read: tables found
+    are taken as they are (models are not, their key covers rows and settings). ``audited`` logs what the mask filter removes, at
+    the price of reading the files once more.
     """
     out = out.rstrip("/")
     if force:
         delete(spark, out)
     spec = SeriesSpec()
-    train, test = _prepared(spark, observations, metadata, out, stations, minimum, spec)
+    train, test = _prepared(spark, observations, metadata, out, stations, minimum, spec, audited)
     # Row counts of Parquet partitions come from file footers.
     sizes = train.count(), test.count()
     log.info("train %d rows, test %d rows", *sizes)
@@ -62,7 +66,7 @@ def run(
     return metrics
 
 
-def _prepared(spark, observations, metadata, out, stations, minimum, spec):
+def _prepared(spark, observations, metadata, out, stations, minimum, spec, audited):
     found = load_split(spark, f"{out}/features")
     if found is not None:
         log.info("continuing from %s/features", out)
@@ -70,19 +74,15 @@ def _prepared(spark, observations, metadata, out, stations, minimum, spec):
     cleaned = load_frame(spark, f"{out}/clean")
     if cleaned is None:
         raw = load_observations(spark, observations, metadata, stations, minimum)
-        seen = Observation()
-        watched = raw.observe(
-            seen,
-            F.count(F.lit(1)).alias("before"),
-            F.count_if(F.col("MASK") == VALID_MASK).alias("after"),
-        )
+        if audited:
+            counts = audit(raw, F.col("MASK") == VALID_MASK).first().asDict()
+            log.info("mask filter: %s", counts)
         # Text is parsed once; every later pass reads columns.
-        save_frame(canonical(only_valid(watched)), f"{out}/clean")
-        log.info("mask filter: %s", seen.get)
+        save_frame(clean(raw), f"{out}/clean")
         cleaned = load_frame(spark, f"{out}/clean")
     save_split(with_split(feature_rows(cleaned, spec), spec), f"{out}/features")
     found = load_split(spark, f"{out}/features")
-    if found is None or found[0].isEmpty():
+    if found is None:
         raise ValueError("no feature rows to train on")
     return found
 
@@ -96,14 +96,24 @@ def main() -> None:
     parser.add_argument("--min-valid", type=float, default=MIN_VALID_SHARE)
     parser.add_argument("--fast", action="store_true", help="lighter model settings")
     parser.add_argument("--force", action="store_true", help="start over")
+    parser.add_argument("--audit", action="store_true", help="log what the mask filter removes")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = SparkSession.builder.appName("stationflow").getOrCreate()
     settings = ModelSettings.fast() if args.fast else ModelSettings()
-    run(
-        spark, args.observations, args.metadata, args.out, args.stations, args.min_valid, settings, args.force
-    ).show(truncate=False)
+    metrics = run(
+        spark,
+        args.observations,
+        args.metadata,
+        args.out,
+        stations=args.stations,
+        minimum=args.min_valid,
+        settings=settings,
+        force=args.force,
+        audited=args.audit,
+    )
+    metrics.show(truncate=False)
     discard_work(spark)
     spark.stop()
 

@@ -23,7 +23,7 @@ def read_stations(spark: SparkSession, path: str) -> DataFrame:
     """
     return (
         spark.read.text(path, wholetext=True)
-        .select(F.explode(F.from_json("value", STATION_MAP)).alias("file_name", "info"))
+        .select(F.explode(F.from_json("value", STATION_MAP, {"mode": "FAILFAST"})).alias("file_name", "info"))
         .select(strip_csv(F.col("file_name")).alias("StationID"), "file_name", "info.*")
     )
 

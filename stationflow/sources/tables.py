@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +16,16 @@ def save_frame(df: DataFrame, path: str) -> None:
 
 
 def load_frame(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when it is absent or its write did not finish."""
+    """The table at ``path``; None when it is absent, its write did not finish, or it holds no file."""
     if not exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         return None
-    return spark.read.parquet(path)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        # A partitioned write of no rows leaves nothing a schema could be read from.
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
 
 
 def save_split(df: DataFrame, path: str) -> None:

@@ -20,7 +20,7 @@ def test_run_resume_and_force(spark, small, tmp_path, monkeypatch):
     def run(**options):
         return job.run(spark, csv, meta, out, settings=TINY, **options)
 
-    first = run()
+    first = run(audited=True)
     assert first.count() == 24
     document = read_metrics(spark, f"{out}/metrics")
     assert document.first()["train_count"] + document.first()["test_count"] == 225
@@ -52,3 +52,14 @@ def test_no_rows_is_an_error(spark, small, tmp_path):
     csv, meta = feed.write_station_files(spark, small)
     with pytest.raises(ValueError):
         job.run(spark, csv, meta, str(tmp_path / "run"), minimum=2.0, settings=TINY)
+
+
+def test_series_too_short_for_features_are_an_error(spark, tmp_path):
+    folder = tmp_path / "obs"
+    folder.mkdir()
+    header = "DATE,LONGITUDE,LATITUDE,TMP,DEW,WND_ANGLE,WND_RATE,SLP,MASK,TIME_DIFF"
+    rows = [f"2014-01-01 0{h}:00:00,1,2,{h},1,90,3,1000,[1 1 1 1 1],1" for h in range(6)]
+    (folder / "1.csv").write_text("\n".join([header, *rows]))
+    (tmp_path / "meta.json").write_text('{"1.csv": {"valid_percent": 1.0}}')
+    with pytest.raises(ValueError, match="no feature rows"):
+        job.run(spark, str(folder), str(tmp_path / "meta.json"), str(tmp_path / "run"), settings=TINY)

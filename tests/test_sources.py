@@ -99,6 +99,8 @@ def test_split_table(spark, tmp_path):
     assert tb.load_split(spark, path) is None
     rows = hourly(spark, [float(i) for i in range(200)])
     tb.save_split(sp.with_split(rows, ROW), path)
+    tb.save_split(sp.with_split(rows.limit(0), ROW), f"{path}-empty")
+    assert tb.load_split(spark, f"{path}-empty") is None
     for saved, direct in zip(tb.load_split(spark, path), sp.split_rows(rows, ROW)):
         assert same_rows(saved, direct)
         plan = saved._jdf.queryExecution().executedPlan().toString()
