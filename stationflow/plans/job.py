@@ -42,9 +42,9 @@ def run(
     """Tidy metrics of all six models; every finished table, model and document stays below ``out``.
 
     A run continues from what an earlier one finished: the split feature table if there is one, else the
-    cleaned observations, else the files. Use ``force`` to start over, also after changing what is read: tables found
-    are taken as they are (models are not, their key covers rows and settings). ``audited`` logs what the mask filter removes, at
-    the price of reading the files once more.
+    cleaned observations, else the files. Use ``force`` to start over, also after changing what is read: tables
+    found are taken as they are (models are not, their key covers rows and settings). ``audited`` logs what the
+    mask filter removes, at the price of reading the files once more.
     """
     out = out.rstrip("/")
     if force:
