@@ -15,6 +15,7 @@ from stationflow.llm.common import WORD_SQL, free_name, quoted
 from stationflow.storage import stage
 
 CHUNK = 1 << 14
+PART_DRAWS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -103,7 +104,9 @@ def shard_slots(planned: DataFrame, mix: Mix) -> DataFrame:
     )
     first = F.col("_chunk") * CHUNK
     last = F.least(first + (CHUNK - 1), F.col("n_slots") - 1)
-    draws = chunks.repartition("number", "_chunk").select(
+    # A fixed number of parts, because the chunks are small but what they unfold into is not.
+    slots = planned.agg(F.max("all_slots")).first()[0] or 0
+    draws = chunks.repartition(max(1, math.ceil(slots / PART_DRAWS)), "number", "_chunk").select(
         "number", "n_blocks", "first_slot", "all_slots", F.explode(F.sequence(first, last)).alias("nth")
     )
     draws = draws.withColumn("_seat", F.col("first_slot") + F.col("nth"))
