@@ -41,8 +41,7 @@ def op3_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pigeonring_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return simhash.simhash_groups(documents, width=3, most=3).drop("text")
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"), width=3, most=3, keep=("doc_id",))
 
 
 def op5_gated_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

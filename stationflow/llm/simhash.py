@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -184,10 +184,20 @@ def group_prints(prints: DataFrame, most: int = 3) -> DataFrame:
     return components(near_links(prints, most)).toDF("fp", "root")
 
 
-def _grouped(df: DataFrame, doc_id: str, text: str, width: int, most: int, names: tuple[str, str, str]) -> DataFrame:
-    """``df`` with fingerprint, smallest fingerprint and smallest id of its group, under the given free names."""
+def _grouped(
+    df: DataFrame,
+    doc_id: str,
+    text: str,
+    width: int,
+    most: int,
+    names: tuple[str, str, str],
+    keep: Iterable[str] | None = None,
+) -> DataFrame:
+    """``df``, or its columns ``keep`` and the id, with fingerprint, smallest fingerprint and smallest id of its group,
+    under the given free names."""
     fp, root, least = names
-    printed = stage(fingerprints(df, text, fp, width), "prints")
+    kept = df.columns if keep is None else list(keep)
+    printed = stage(fingerprints(df, text, fp, width).select(*map(quoted, dict.fromkeys([*kept, doc_id])), fp), "prints")
     distinct = printed.groupBy(F.col(fp).alias("fp")).agg(F.min(quoted(doc_id)).alias("least"))
     roots = group_prints(distinct.select("fp"), most)
     named = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -206,6 +216,7 @@ def simhash_groups(
     most: int = 3,
     print_into: str = "fingerprint",
     group_into: str = "component_id",
+    keep: Iterable[str] | None = None,
 ) -> DataFrame:
     """``df`` with its fingerprint (16 hex digits) and the smallest ``doc_id`` that links reach.
 
@@ -213,10 +224,11 @@ def simhash_groups(
     groups reach the documents by a join on the fingerprint whose large keys adaptive execution splits. Null ids
     never name a group unless it has no other; then the name is null. Null and empty texts have fingerprint zero
     and link like any other. Repeated rows stay as they are; columns with the names of the new ones are replaced.
+    ``keep`` names the columns to return, all by default; without the text, less is written in between.
     """
     names = tuple(free_name(df, wish) for wish in ("fp", "root", "least"))
-    kept = [quoted(c) for c in df.columns if c not in (print_into, group_into)]
-    return _grouped(df, doc_id, text, width, most, names).select(
+    kept = [quoted(c) for c in (df.columns if keep is None else keep) if c not in (print_into, group_into)]
+    return _grouped(df, doc_id, text, width, most, names, keep).select(
         *kept, F.lpad(F.lower(F.hex(F.col(names[0]))), 16, "0").alias(print_into), F.col(names[2]).alias(group_into)
     )
 
