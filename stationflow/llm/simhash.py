@@ -184,28 +184,13 @@ def group_prints(prints: DataFrame, most: int = 3) -> DataFrame:
     return components(near_links(prints, most)).toDF("fp", "root")
 
 
-def _grouped(
-    df: DataFrame,
-    doc_id: str,
-    text: str,
-    width: int,
-    most: int,
-    names: tuple[str, str, str],
-    keep: Iterable[str] | None = None,
-) -> DataFrame:
-    """``df``, or its columns ``keep`` and the id, with fingerprint, smallest fingerprint and smallest id of its group,
-    under the given free names."""
-    fp, root, least = names
-    kept = df.columns if keep is None else list(keep)
-    printed = stage(fingerprints(df, text, fp, width).select(*map(quoted, dict.fromkeys([*kept, doc_id])), fp), "prints")
-    distinct = printed.groupBy(F.col(fp).alias("fp")).agg(F.min(quoted(doc_id)).alias("least"))
+def _named(prints: DataFrame, fp: str, key: str, most: int) -> DataFrame:
+    """(fp, root, least) of each fingerprint of ``prints``: smallest fingerprint and smallest key of its group."""
+    distinct = prints.groupBy(quoted(fp).alias("fp")).agg(F.min(quoted(key)).alias("least"))
     roots = group_prints(distinct.select("fp"), most)
     named = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = named.groupBy("root").agg(F.min("least").alias("name"))
-    named = named.join(groups, "root").select(
-        F.col("fp").alias(fp), F.col("root").alias(root), F.col("name").alias(least)
-    )
-    return printed.join(named, fp)
+    groups = named.groupBy("root").agg(F.min("least").alias("least"))
+    return named.select("fp", "root").join(groups, "root").select("fp", "root", "least")
 
 
 def simhash_groups(
@@ -226,10 +211,14 @@ def simhash_groups(
     and link like any other. Repeated rows stay as they are; columns with the names of the new ones are replaced.
     ``keep`` names the columns to return, all by default; without the text, less is written in between.
     """
-    names = tuple(free_name(df, wish) for wish in ("fp", "root", "least"))
-    kept = [quoted(c) for c in (df.columns if keep is None else keep) if c not in (print_into, group_into)]
-    return _grouped(df, doc_id, text, width, most, names, keep).select(
-        *kept, F.lpad(F.lower(F.hex(F.col(names[0]))), 16, "0").alias(print_into), F.col(names[2]).alias(group_into)
+    fp = free_name(df, "fp")
+    columns = df.columns if keep is None else list(keep)
+    printed = fingerprints(df, text, fp, width).select(*map(quoted, dict.fromkeys([*columns, doc_id])), fp)
+    printed = stage(printed, "prints")
+    named = _named(printed, fp, doc_id, most).select(F.col("fp").alias(fp), F.col("least").alias("_least"))
+    kept = [quoted(c) for c in columns if c not in (print_into, group_into)]
+    return printed.join(named, fp).select(
+        *kept, F.lpad(F.lower(F.hex(F.col(fp))), 16, "0").alias(print_into), F.col("_least").alias(group_into)
     )
 
 
@@ -238,10 +227,13 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
 
     Several rows with that id are settled by a hash of their columns; of equal rows any one stays.
     """
-    names = tuple(free_name(df, wish) for wish in ("fp", "root", "least"))
-    seat = free_name(df, "seat")
-    marked = _grouped(df.withColumn(seat, F.monotonically_increasing_id()), doc_id, text, width, most, names)
+    fp, seat = free_name(df, "fp"), free_name(df, "seat")
+    printed = fingerprints(df.withColumn(seat, F.monotonically_increasing_id()), text, fp, width)
+    printed = stage(printed, "prints")
     key = quoted(doc_id)
     rank = F.struct(key.isNull().alias("n"), key.alias("k"), F.xxhash64(*map(quoted, df.columns)).alias("h"), F.col(seat))
-    choice = marked.groupBy(names[1]).agg(F.min(rank)[seat].alias(seat)).select(seat)
-    return marked.join(choice, seat, "left_semi").select(*map(quoted, df.columns))
+    # Only numbers go through the search for groups; the documents themselves move once, to meet the chosen seats.
+    firsts = stage(printed.groupBy(F.col(fp).alias("fp")).agg(F.min(rank).alias("first")), "firsts")
+    roots = group_prints(firsts.select("fp"), most)
+    choice = firsts.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first")[seat].alias(seat))
+    return printed.join(choice.select(seat), seat, "left_semi").select(*map(quoted, df.columns))
