@@ -16,85 +16,65 @@ from stationflow.storage import stage
 
 @dataclass(frozen=True)
 class Blocks:
-    """Vectors and queries meet in blocks of about this many; an index has ``levels`` quantised impacts a dimension,
-    and a proof is tried after every ``stride`` posting segments."""
+    """Vectors and queries meet in blocks of about this many; a query is rescored once at most ``rescored`` vectors
+    of the block are possible members of its result."""
 
     vectors: int = 8_192
     queries: int = 512
-    levels: int = 12
-    stride: int = 48
     rescored: int = 64
 
 
 class ImpactIndex:
-    """Posting segments of one block of integer vectors.
+    """Posting segments of one block of integer vectors, in order of impact.
 
-    A vector's impact in a dimension is its distance from the block's least value there (or from its greatest, for
-    queries that are negative there), so impacts are never negative. Equal steps of impact make a segment.
+    The impact of a vector in a dimension is its distance from the least value there. It is quantised in binary
+    steps: the segment (dimension, 2^b) holds the vectors whose impact has step b. A query that is negative in a
+    dimension reads the distance from the top instead, whose segments are the complements. So whatever is still
+    unread adds between nothing and (2^b - 1) times the sum of the query's magnitudes.
     """
 
-    def __init__(self, vectors: np.ndarray, levels: int):
+    def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        self.low, self.high = vectors.min(axis=0), vectors.max(axis=0)
-        self.levels = levels
-        self.step = np.maximum(1, -(-(self.high - self.low + 1) // levels))
-        self.segments = []
-        for d in range(vectors.shape[1]):
-            level = (vectors[:, d] - self.low[d]) // self.step[d]
-            order = np.argsort(level, kind="stable")
-            edges = np.searchsorted(level[order], np.arange(levels + 1))
-            self.segments.append([order[a:b] for a, b in zip(edges, edges[1:])])
-
-    def _impacts(self, query: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Least and greatest score that (dimension, level) adds beyond the base, and the base."""
-        at = np.arange(self.levels)
-        low = self.low[:, None] + at * self.step[:, None]
-        high = np.minimum(low + self.step[:, None] - 1, self.high[:, None])
-        one, two = query[:, None] * low, query[:, None] * high
-        base = np.minimum(query * self.low, query * self.high)
-        return np.minimum(one, two) - base[:, None], np.maximum(one, two) - base[:, None], base
-
-    def top(self, query: np.ndarray, ids: np.ndarray, own: int, k: int, blocks: Blocks) -> list[tuple[int, int]]:
-        """The k best (score, id), ties to the smaller id, without the vector ``own``; also those tied in score only
-        beyond k are settled by id."""
-        n, dims = self.vectors.shape
-        least, most, base = self._impacts(query)
-        order = np.argsort(-most, axis=None, kind="stable")
-        filled = np.array([[len(s) > 0 for s in row] for row in self.segments])
-        order = order[filled.ravel()[order]]
-        valid = ids != own
-        least_so_far = np.zeros(n, np.int64)
-        seen = np.zeros((n, dims), np.float32)
-        spread = np.zeros(n, np.int64)
-        # What each dimension can still add to vectors not met there: the impact of its next segment.
-        queue = [[s for s in np.argsort(-most[d], kind="stable") if filled[d, s]] for d in range(dims)]
-        next_up = np.array([most[d, q[0]] for d, q in enumerate(queue)], float)
-        done = [0] * dims
-        wanted = min(k, int(valid.sum()))
-        if not wanted:
-            return []
-        possible = np.flatnonzero(valid)
-        for count, segment in enumerate(order, 1):
-            d, level = divmod(int(segment), self.levels)
-            met = self.segments[d][level]
-            least_so_far[met] += least[d, level]
-            spread[met] += most[d, level] - least[d, level]
-            seen[met, d] = 1
-            done[d] += 1
-            next_up[d] = most[d, queue[d][done[d]]] if done[d] < len(queue[d]) else 0.0
-            if count % blocks.stride == 0:
-                sure = np.partition(least_so_far[valid], -wanted)[-wanted]
-                # Rounded up, so that no member is lost to the precision of the sum.
-                rest = (next_up.sum() - seen @ next_up.astype(np.float32)) * 1.0001 + 1.0
-                possible = np.flatnonzero(valid & (least_so_far + spread + rest >= sure))
-                if len(possible) <= max(blocks.rescored, wanted):
-                    break
-        else:
-            sure = np.partition(least_so_far[valid], -wanted)[-wanted]
-            possible = np.flatnonzero(valid & (least_so_far + spread >= sure))
-        scores = self.vectors[possible] @ query
-        best = np.lexsort((ids[possible], -scores))[:k]
-        return [(int(scores[i]), int(ids[possible[i]])) for i in best]
+        self.low = vectors.min(axis=0)
+        impact = vectors - self.low
+        self.steps = int(impact.max(initial=0)).bit_length()
+        # The segments of one step in all dimensions form a matrix: reading them for many queries is a product.
+        self.segments = [((impact >> b) & 1).astype(np.float32) for b in range(self.steps)]
+
+    def top(self, queries: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, rescored: int) -> list[list[tuple[int, int]]]:
+        """For each query the k best (score, id), ties to the smaller id, without vectors of the id ``own``.
+
+        Segments are read from the greatest step down. A query stops when the proof leaves few possible members:
+        those whose upper bound reaches the k-th greatest lower bound. They are scored exactly.
+        """
+        weight = np.abs(queries).sum(axis=1).astype(float)
+        exact = np.float32 if len(queries) == 0 or weight.max() < 2**24 else np.float64
+        negative = np.where(queries < 0, queries, 0).sum(axis=1).astype(float)
+        sure = (queries @ self.low + negative * (2.0**self.steps - 1))[:, None] + np.zeros((1, len(ids)))
+        sure[own[:, None] == ids[None, :]] = -np.inf
+        wanted = min(k, len(ids))
+        out: list[list[tuple[int, int]]] = [[] for _ in queries]
+        open_ = np.arange(len(queries))
+        for b in reversed(range(-1, self.steps)):
+            if b >= 0:
+                read = queries[open_].astype(exact) @ self.segments[b].astype(exact, copy=False).T
+                sure += (read - negative[open_, None]) * 2.0**b
+                rest = (2.0**b - 1) * weight[open_]
+            else:
+                rest = np.zeros(len(open_))
+            least = np.partition(sure, len(ids) - wanted, axis=1)[:, len(ids) - wanted]
+            possible = sure >= (least - rest)[:, None]
+            possible &= np.isfinite(sure)
+            ready = possible.sum(axis=1) <= max(rescored, wanted) if b > 0 else np.ones(len(open_), bool)
+            for row in np.flatnonzero(ready):
+                at = np.flatnonzero(possible[row])
+                scores = self.vectors[at] @ queries[open_[row]]
+                best = np.lexsort((ids[at], -scores))[:k]
+                out[open_[row]] = [(int(scores[i]), int(ids[at[i]])) for i in best]
+            open_, sure = open_[~ready], sure[~ready]
+            if not len(open_):
+                break
+        return out
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -139,11 +119,10 @@ def top_k(
     def meet(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(vectors) and len(asked):
-            index = ImpactIndex(np.stack(vectors["v"].to_numpy()).astype(np.int64), blocks.levels)
-            ids = vectors["id"].to_numpy()
-            for own, query in zip(asked["id"], asked["v"]):
-                found = index.top(np.asarray(query, np.int64), ids, own, k, blocks)
-                out += [(own, v, s) for s, v in found]
+            index = ImpactIndex(np.stack(vectors["v"].to_numpy()).astype(np.int64))
+            own, queries = asked["id"].to_numpy(), np.stack(asked["v"].to_numpy()).astype(np.int64)
+            found = index.top(queries, vectors["id"].to_numpy(), own, k, blocks.rescored)
+            out = [(q, v, s) for q, best in zip(own, found) for s, v in best]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     keys = ("vb", "qb", "dims")
