@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.llm import language_model, licenses, mixing, packing, quality, search, simhash, tokens, toxicity, urls
+from stationflow.llm.common import reach_workers
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 RULES = (
@@ -18,6 +19,7 @@ RULES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -92,13 +94,13 @@ QUERIES = {
 ORACLES = {
     "op6_impact_top_k": """
         with v as (
-            select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as e
+            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
             from embeddings
             where vec_id is not null and embedding is not null and len(embedding) > 0
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ), scored as (
             select q.vec_id as query_id, c.vec_id,
-                   cast(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) as bigint) as score
+                   cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
             from v q join v c on c.vec_id <> q.vec_id and len(c.e) = len(q.e)
             where q.vec_id % 50 = 0
         ), ranked as (

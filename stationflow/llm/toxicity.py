@@ -35,10 +35,10 @@ class Training:
     documents: int = 8_000
     features: int = 4_096
     least: int = 4
-    lift: float = 1.8
+    lift: float = 2.0
     rounds: int = 400
     rate: float = 0.15
-    penalty: float = 2e-3
+    penalty: float = 2e-5
 
 
 def word_features(word: str) -> list[str]:
