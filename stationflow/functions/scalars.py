@@ -33,6 +33,6 @@ def strip_csv(name: Column) -> Column:
     return F.regexp_replace(name, r"\.csv$", "")
 
 
-def hash_percent(key: Column) -> Column:
-    """0..99 from the first 32 bits of the key's md5."""
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % 100
+def hash_32(key: Column) -> Column:
+    """The first 32 bits of the key's md5, as a number."""
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")

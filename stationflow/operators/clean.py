@@ -43,10 +43,10 @@ def parsed(rows: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
-    """Frames of equal columns, matched by name, as one."""
+    """Frames of equal columns, matched by name, as one. Pairs are united first, so plans stay shallow."""
     if not frames:
         raise ValueError("nothing to unite")
-    whole, *others = frames
-    for other in others:
-        whole = whole.unionByName(other)
-    return whole
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [pair[0].unionByName(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return frames[0]

@@ -100,12 +100,15 @@ def evaluate_classification(
 
 
 def evaluate_regression(predictions: DataFrame, label: str = REG_LABEL) -> DataFrame:
-    """Tidy (metric, value) rows of RMSE, MAE and R2 from one aggregate."""
+    """Tidy (metric, value) rows of RMSE, MAE and R2 from one aggregate.
+
+    R2 is null where the labels do not vary: there is nothing to explain.
+    """
     error = F.col(label) - F.col("prediction")
     row = predictions.agg(
         F.sqrt(F.avg(error * error)).alias("RMSE"),
         F.avg(F.abs(error)).alias("MAE"),
-        (F.lit(1.0) - F.avg(error * error) / F.var_pop(label)).alias("R2"),
+        (F.lit(1.0) - F.try_divide(F.avg(error * error), F.var_pop(label))).alias("R2"),
     )
     return _tidy(row, REGRESSION_METRICS)
 
@@ -115,8 +118,14 @@ def _tidy(row: DataFrame, names: tuple[str, ...]) -> DataFrame:
 
 
 def better_value(metric: Column, value: Column) -> Column:
-    """``value`` turned so that larger is always better."""
-    return F.when(metric.isin(*LOWER_IS_BETTER), -value).otherwise(value)
+    """``value`` turned so that larger is always better; null where it is no number."""
+    return F.when(~F.isnan(value), F.when(metric.isin(*LOWER_IS_BETTER), -value).otherwise(value))
+
+
+def _winner() -> Column:
+    """Model and value of the best rank; of equal ranks the first name, and a model without a number comes last."""
+    rank = better_value(F.col("metric"), F.col("value"))
+    return F.min(F.struct(rank.isNull().alias("none"), (-rank).alias("place"), "model", "value"))
 
 
 def best_models(metrics: DataFrame) -> DataFrame:
@@ -125,19 +134,15 @@ def best_models(metrics: DataFrame) -> DataFrame:
     return (
         metrics.filter(F.col("metric") == deciding[F.col("task")])
         .groupBy("task", "metric")
-        .agg(
-            F.max_by("model", better_value(F.col("metric"), F.col("value"))).alias("model"),
-            F.max_by("value", better_value(F.col("metric"), F.col("value"))).alias("value"),
-        )
+        .agg(_winner().alias("best"))
+        .select("task", "metric", "best.model", "best.value")
     )
 
 
 def best_per_metric(metrics: DataFrame) -> DataFrame:
     """The winning model of every single metric."""
-    rank = better_value(F.col("metric"), F.col("value"))
-    return metrics.groupBy("task", "metric").agg(
-        F.max_by("model", rank).alias("model"), F.max_by("value", rank).alias("value")
-    )
+    best = metrics.groupBy("task", "metric").agg(_winner().alias("best"))
+    return best.select("task", "metric", "best.model", "best.value")
 
 
 def compare_models(metrics: DataFrame, task: str) -> DataFrame:
@@ -152,7 +157,8 @@ def compare_models(metrics: DataFrame, task: str) -> DataFrame:
     deciding = DECIDING_METRIC[task]
     # A row per model: the whole table is a handful of rows.
     top = F.max(better_value(F.lit(deciding), F.col(f"`{deciding}`"))).over(Window.partitionBy())
-    return wide.withColumn("best", better_value(F.lit(deciding), F.col(f"`{deciding}`")) == top)
+    own = better_value(F.lit(deciding), F.col(f"`{deciding}`"))
+    return wide.withColumn("best", F.coalesce(own == top, F.lit(False)))
 
 
 def printable(metrics: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def _median_by_rank(counts: DataFrame, max_distinct: int) -> float:
     total = counts.agg(F.sum("rows")).first()[0]
     middle = ((total - 1) // 2, total // 2)
     left, below, width = counts, 0, counts.count()
-    while width > max_distinct:
+    while width > max(max_distinct, CUTS):
         shares = [i / CUTS for i in range(1, CUTS)]
         cuts = sorted(set(left.agg(F.percentile_approx("value", shares, 10 * CUTS)).first()[0]))
         under = left.agg(
@@ -82,9 +82,9 @@ def _median_by_rank(counts: DataFrame, max_distinct: int) -> float:
             left = left.filter(F.col("value") < cuts[high])
         narrower = left.count()
         if narrower == width:
-            break
+            raise RuntimeError(f"{width} distinct values cannot be cut any further")
         width = narrower
-    # At most max_distinct rows reach this ordering.
+    # No more than max_distinct rows, or one round's cuts, reach this ordering.
     running = left.withColumn("upto", F.sum("rows").over(Window.orderBy("value")) + F.lit(below))
     row = running.agg(
         *[F.min(F.when(F.col("upto") > rank, F.col("value"))) for rank in middle]

@@ -9,7 +9,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 
-from stationflow.operators.prepare import base_stages, fit_base
+from stationflow.operators.prepare import base_preparation, fit_base
 from stationflow.sources.models import fingerprint, load_model, model_path, save_model
 from stationflow.spec import CLF_LABEL, REG_LABEL, ModelSettings, SeriesSpec
 from stationflow.storage import stage
@@ -52,7 +52,7 @@ def estimator(task: str, name: str, settings: ModelSettings):
 
 def model_plan(task: str, name: str, spec: SeriesSpec, settings: ModelSettings = ModelSettings()) -> Pipeline:
     """Preparation and estimator as one unfitted pipeline."""
-    return Pipeline(stages=[*base_stages(spec), estimator(task, name, settings)])
+    return Pipeline(stages=[*base_preparation(spec).getStages(), estimator(task, name, settings)])
 
 
 @dataclass

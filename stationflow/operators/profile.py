@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stationflow.functions.scalars import depression, present, rain_flag
 from stationflow.spec import MEASURES, RAIN_THRESHOLD
+from stationflow.storage import broadcast_if_small
 
 
 def summary_frame(rows: DataFrame) -> DataFrame:
@@ -37,6 +38,12 @@ def audit(rows: DataFrame, kept: Column) -> DataFrame:
     ).withColumn("removed", F.col("before") - F.col("after"))
 
 
+def watched(rows: DataFrame, watch: Observation, kept: Column) -> DataFrame:
+    """``rows`` unchanged; ``watch`` learns ``before`` and ``after`` of a filter while something else reads them."""
+    after = F.count_if(F.coalesce(kept, F.lit(False)))
+    return rows.observe(watch, F.count(F.lit(1)).alias("before"), after.alias("after"))
+
+
 def all_present(rows: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """Condition under which a row survives dropping incomplete rows."""
     names = columns or rows.columns
@@ -87,15 +94,15 @@ def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
 def histogram(values: DataFrame, measures: Sequence[str], bins: int = 60) -> DataFrame:
     """Bin counts of several measures over all rows; empty bins are not listed.
 
-    Values are counted before anything is joined, so what meets the two bounds per measure is one row per
-    distinct value.
+    Two scans with tiny shuffles: the first finds the bounds, one row per measure; the second puts values into
+    bins where they are read and shuffles a count per bin and task.
     """
-    counted = value_counts(values, [], measures)
-    bounds = counted.groupBy("measure").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    tall = series_of_measures(values, [], measures)
+    bounds = tall.groupBy("measure").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     return (
-        counted.join(F.broadcast(bounds), "measure")
+        tall.join(F.broadcast(bounds), "measure")
         .groupBy("measure", _bin(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))
-        .agg(F.sum("rows").alias("rows"))
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
 
 
@@ -104,17 +111,15 @@ def station_histogram(
 ) -> DataFrame:
     """As ``histogram``, separately for every station.
 
-    Both join sides come from one exchange of value counts; their sizes are then known, so Spark broadcasts
-    the bounds or splits a skewed station by itself.
+    The bounds, one row per station and measure, are counted before they are broadcast; more of them are joined
+    by a shuffle instead.
     """
-    counted = value_counts(values, [entity], measures)
-    bounds = counted.groupBy(entity, "measure").agg(
-        F.min("value").alias("low"), F.max("value").alias("high")
-    )
+    tall = series_of_measures(values, [entity], measures)
+    bounds = tall.groupBy(entity, "measure").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     return (
-        counted.join(bounds, [entity, "measure"])
+        tall.join(broadcast_if_small(bounds), [entity, "measure"])
         .groupBy(entity, "measure", _bin(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))
-        .agg(F.sum("rows").alias("rows"))
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
 
 

@@ -15,22 +15,22 @@ from stationflow.operators.labels import with_regression_label
 from stationflow.operators.models import CLASSIFIERS, REGRESSORS, TASK_LABEL, Trainer
 
 TIDY_METRICS = "task string, model string, metric string, value double"
+MATRICES = "model string, TP bigint, FP bigint, FN bigint, TN bigint"
 TASK_NAMES = {"clf": "classification", "reg": "regression"}
 
 
 def run_classification(
     trainer: Trainer, test: DataFrame, names: tuple[str, ...] = CLASSIFIERS
-) -> tuple[DataFrame, dict[str, int]]:
-    """Tidy metrics of all classifiers, and the forest's confusion matrix."""
-    rows, matrix = [], {}
+) -> tuple[DataFrame, DataFrame]:
+    """Tidy metrics of all classifiers, and a confusion matrix (model, TP, FP, FN, TN) of each."""
+    rows, matrices = [], []
     with _Scorer(trainer, test) as scorer:
         for name in names:
             predictions = scorer.predictions("clf", name, "rawPrediction")
             rows += [("classification", name.upper(), *r) for r in evaluate_classification(predictions).collect()]
-            if name == "rf":
-                matrix = confusion_matrix(predictions).first().asDict()
+            matrices.append((name.upper(), *confusion_matrix(predictions).first()))
             predictions.unpersist()
-    return _tidy_frame(test.sparkSession, rows), matrix
+    return _tidy_frame(test.sparkSession, rows), test.sparkSession.createDataFrame(matrices, MATRICES)
 
 
 def run_regression(

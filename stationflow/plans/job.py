@@ -6,26 +6,41 @@
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.operators.clean import clean
-from stationflow.operators.evaluate import best_models
-from stationflow.operators.labels import with_regression_label
+from stationflow.operators.clean import clean, parsed
+from stationflow.operators.evaluate import DECIDING_METRIC, compare_models
+from stationflow.operators.labels import with_rain, with_regression_label
 from stationflow.operators.models import Trainer
-from stationflow.operators.profile import audit
+from stationflow.operators.profile import positive_ratio, summary_frame, watched
 from stationflow.operators.sampling import with_split
 from stationflow.plans.feature_job import feature_rows
 from stationflow.plans.forecast import run_classification, run_regression
 from stationflow.sources.metrics import save_metrics
 from stationflow.sources.observations import load_observations
 from stationflow.sources.tables import load_frame, load_split, save_frame, save_split
-from stationflow.spec import MIN_VALID_SHARE, STATION_SAMPLE, VALID_MASK, ModelSettings, SeriesSpec
-from stationflow.storage import delete, discard_work
+from stationflow.spec import (
+    MIN_VALID_SHARE,
+    RAIN_THRESHOLD,
+    SEED,
+    STATION_SAMPLE,
+    TEST_SHARE,
+    VALID_MASK,
+    ModelSettings,
+    SeriesSpec,
+)
+from stationflow.storage import delete, exists, scratch
 
 log = logging.getLogger(__name__)
+AUDITS = "stage string, before bigint, after bigint, removed bigint"
+
+
+# What a run writes below its folder; nothing else there is touched.
+OUTPUTS = ("clean", "features", "models", "metrics", "audits", "comparison", "confusion")
 
 
 def run(
@@ -33,70 +48,131 @@ def run(
     observations: str,
     metadata: str,
     out: str,
-    stations: int = STATION_SAMPLE,
+    stations: int | None = STATION_SAMPLE,
     minimum: float = MIN_VALID_SHARE,
     settings: ModelSettings = ModelSettings(),
     force: bool = False,
-    audited: bool = False,
+    threshold: float = RAIN_THRESHOLD,
+    test_share: float = TEST_SHARE,
+    tag: str | None = None,
 ) -> DataFrame:
     """Tidy metrics of all six models; every finished table, model and document stays below ``out``.
 
-    A run continues from what an earlier one finished: the split feature table if there is one, else the
-    cleaned observations, else the files. Use ``force`` to start over, also after changing what is read: tables
-    found are taken as they are (models are not, their key covers rows and settings). ``audited`` logs what the
-    mask filter removes, at the price of reading the files once more.
+    A run continues from what an earlier run of the same inputs and parameters finished: the split feature table,
+    else the cleaned observations, else the files. Tables of other parameters are made again, and models know
+    their own rows and settings. ``force`` makes everything again: once the inputs are found, what runs write is
+    deleted, and nothing else. ``stations=None`` takes all valid stations; ``tag`` names the source of the metrics.
     """
     out = out.rstrip("/")
+    for path in (observations, metadata):
+        if not exists(spark, path):
+            raise ValueError(f"{path} does not exist")
     if force:
-        delete(spark, out)
+        for name in OUTPUTS:
+            delete(spark, f"{out}/{name}")
+            delete(spark, _mark(f"{out}/{name}"))
+    with scratch(spark):
+        return _run(spark, observations, metadata, out, stations, minimum, settings, threshold, test_share, tag)
+
+
+def _run(spark, observations, metadata, out, stations, minimum, settings, threshold, test_share, tag):
     spec = SeriesSpec()
-    train, test = _prepared(spark, observations, metadata, out, stations, minimum, spec, audited)
+    read = {"observations": observations, "metadata": metadata, "stations": stations, "minimum": minimum, "seed": SEED}
+    made = {**read, "threshold": threshold, "test_share": test_share}
+    cleaned_now = _clean(spark, out, read) if not _matches(spark, f"{out}/features", made) else None
+    train, test = _features(spark, out, made, spec, cleaned_now)
     # Row counts of Parquet partitions come from file footers.
     sizes = train.count(), test.count()
     log.info("train %d rows, test %d rows", *sizes)
     labelled = with_regression_label(train)
     trainer = Trainer(labelled, spec, f"{out}/models", settings)
-    classification, matrix = run_classification(trainer, test)
+    classification, matrices = run_classification(trainer, test)
     regression = run_regression(trainer, test)
-    log.info("forest confusion matrix %s", matrix)
+    save_frame(matrices.coalesce(1), f"{out}/confusion")
     metrics = classification.unionByName(regression)
-    for row in best_models(metrics).collect():
-        log.info("best of %s by %s: %s (%.4f)", row["task"], row["metric"], row["model"], row["value"])
-    save_metrics(metrics, f"{out}/metrics", *sizes)
+    for row in matrices.collect():
+        log.info("confusion matrix %s", row.asDict())
+    for task in DECIDING_METRIC:
+        table = compare_models(metrics, task)
+        save_frame(table.coalesce(1), f"{out}/comparison/{task}")
+        for row in table.collect():
+            log.info("%s %s", task, row.asDict())
+    save_metrics(metrics, f"{out}/metrics", *sizes, tag)
     return metrics
 
 
-def _prepared(spark, observations, metadata, out, stations, minimum, spec, audited):
-    found = load_split(spark, f"{out}/features")
-    if found is not None:
-        log.info("continuing from %s/features", out)
-        return found
-    cleaned = load_frame(spark, f"{out}/clean")
-    if cleaned is None:
-        raw = load_observations(spark, observations, metadata, stations, minimum)
-        if audited:
-            counts = audit(raw, F.col("MASK") == VALID_MASK).first().asDict()
-            log.info("mask filter: %s", counts)
+def _mark(path: str) -> str:
+    return f"{path}.inputs"
+
+
+def _matches(spark: SparkSession, path: str, inputs: dict) -> bool:
+    """Whether the table at ``path`` was finished from exactly these inputs."""
+    if load_frame(spark, path) is None or not exists(spark, _mark(path)):
+        return False
+    return [r["value"] for r in spark.read.text(_mark(path)).collect()] == [json.dumps(inputs)]
+
+
+def _finished(spark: SparkSession, path: str, inputs: dict) -> None:
+    spark.createDataFrame([(json.dumps(inputs),)], "value string").coalesce(1).write.mode("overwrite").text(_mark(path))
+
+
+def _clean(spark: SparkSession, out: str, inputs: dict) -> DataFrame:
+    path = f"{out}/clean"
+    if not _matches(spark, path, inputs):
+        names = ("observations", "metadata", "stations", "minimum", "seed")
+        raw = load_observations(spark, *[inputs[n] for n in names])
+        delete(spark, _mark(path))
+        watch = Observation()
         # Text is parsed once; every later pass reads columns.
-        save_frame(clean(raw), f"{out}/clean")
-        cleaned = load_frame(spark, f"{out}/clean")
-    save_split(with_split(feature_rows(cleaned, spec), spec), f"{out}/features")
-    found = load_split(spark, f"{out}/features")
-    if found is None:
-        raise ValueError("no feature rows to train on")
+        save_frame(clean(watched(raw, watch, F.col("MASK") == VALID_MASK)), path)
+        _finished(spark, path, inputs)
+        _save_audits(spark, f"{out}/audits/mask", {"mask": watch.get})
+        for row in summary_frame(load_frame(spark, path)).collect():
+            log.info("%s", row.asDict())
+    return load_frame(spark, path)
+
+
+def _features(spark, out, inputs, spec, cleaned) -> tuple[DataFrame, DataFrame]:
+    path = f"{out}/features"
+    if cleaned is not None:
+        delete(spark, _mark(path))
+        watch = Observation()
+        rows = feature_rows(cleaned, spec, watch, threshold=inputs["threshold"])
+        save_split(with_split(rows, spec, test_share=inputs["test_share"]), path)
+        found = load_split(spark, path)
+        if found is None:
+            raise ValueError("no feature rows to train on")
+        _finished(spark, path, inputs)
+        # The clean table is columns by now: labels and their ratio need three of them.
+        labelled = with_rain(parsed(cleaned, spec), inputs["threshold"])
+        ratio = positive_ratio(labelled).first()
+        log.info("rain in %d of %d rows (%.2f %%)", *ratio)
+        counts = watch.get
+        audits = {"targets": {"before": ratio["rows"], "after": counts["before"]}, "features": counts}
+        _save_audits(spark, f"{out}/audits/features", audits)
+    else:
+        log.info("continuing from %s", path)
+        found = load_split(spark, path)
     return found
 
 
+def _save_audits(spark: SparkSession, path: str, counts: dict[str, dict[str, int]]) -> None:
+    rows = [(name, c["before"], c["after"], c["before"] - c["after"]) for name, c in counts.items()]
+    for row in rows:
+        log.info("%s filter: %d rows before, %d after, %d removed", *row)
+    save_frame(spark.createDataFrame(rows, AUDITS).coalesce(1), path)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("--observations", required=True)
     parser.add_argument("--metadata", required=True)
     parser.add_argument("--out", required=True)
-    parser.add_argument("--stations", type=int, default=STATION_SAMPLE)
+    parser.add_argument("--stations", type=int, default=STATION_SAMPLE, help="0 takes all valid ones")
     parser.add_argument("--min-valid", type=float, default=MIN_VALID_SHARE)
     parser.add_argument("--fast", action="store_true", help="lighter model settings")
     parser.add_argument("--force", action="store_true", help="start over")
-    parser.add_argument("--audit", action="store_true", help="log what the mask filter removes")
+    parser.add_argument("--tag", help="source named in the metrics document")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
@@ -107,14 +183,13 @@ def main() -> None:
         args.observations,
         args.metadata,
         args.out,
-        stations=args.stations,
+        stations=args.stations or None,
         minimum=args.min_valid,
         settings=settings,
         force=args.force,
-        audited=args.audit,
+        tag=args.tag,
     )
     metrics.show(truncate=False)
-    discard_work(spark)
     spark.stop()
 
 

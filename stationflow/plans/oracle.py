@@ -77,7 +77,7 @@ changed as (
   from history),
 features as (
   select *, case when
-      cast('0x' || substr(md5(StationID || '|' || event_id), 1, 8) as bigint) % 100 < 20
+      cast('0x' || substr(md5(StationID || '|' || event_id), 1, 8) as bigint) < 0.2 * 4294967296
       then 'test' else 'train' end as split
   from changed
   where Temp_lag24 is not null and DewPointDepression is not null and Rain_lag3 is not null
@@ -253,7 +253,7 @@ ORACLES: dict[str, str] = {
         where StationID = (select StationID from clean group by StationID order by count(*) desc, StationID limit 1)"""),
     "a06_save_table": over("clean", *J1_COLUMNS[:8]),
     "a07_load_split": feed(f"""select StationID, event_id, case when
-        cast('0x' || substr(md5(StationID || '|' || event_id), 1, 8) as bigint) % 100 < 20
+        cast('0x' || substr(md5(StationID || '|' || event_id), 1, 8) as bigint) < 0.2 * 4294967296
         then 'test' else 'train' end as split, {r6("Temperature")} as Temperature from clean"""),
     "a08_model_store": feed("select count(*) as rows, cast(0 as bigint) as changed from features where split = 'test'"),
     "a09_metrics_document": metrics(f"""select cast(3 as bigint) as classifiers, cast(3 as bigint) as regressors,
@@ -379,10 +379,10 @@ ORACLES: dict[str, str] = {
     "f06_best_models": metrics(f"""select task, metric, model, {r6("value")} as value from m
         where (task, metric) in (('classification', 'AUC-ROC'), ('regression', 'RMSE'))
         qualify row_number() over (partition by task
-          order by case when metric = 'RMSE' then value else -value end) = 1"""),
+          order by case when metric = 'RMSE' then value else -value end, model) = 1"""),
     "f07_best_per_metric": metrics(f"""select task, metric, model, {r6("value")} as value from m
         qualify row_number() over (partition by task, metric
-          order by case when metric in ('RMSE', 'MAE') then value else -value end) = 1"""),
+          order by case when metric in ('RMSE', 'MAE') then value else -value end, model) = 1"""),
     "g01_union_by_name": keyed("raw", "TMP", "DEW"),
     "g02_of_stations": keyed("raw semi join (select * from stations where valid_percent >= 0.8) v using (StationID)", "TMP"),
     "g03_station_info": feed(f"""select r.StationID, event_id, {r6("latitude")} as latitude,
@@ -397,7 +397,7 @@ ORACLES: dict[str, str] = {
     "h04_scaled": _scaled(),
     "h05_base_stages": feed(f"select count(*) as rows, cast({_widths()} as bigint) as width from features"),
     "h06_hash_split": feed("""select StationID, event_id, case when
-        cast('0x' || substr(md5(StationID || '|' || event_id), 1, 8) as bigint) % 100 < 20
+        cast('0x' || substr(md5(StationID || '|' || event_id), 1, 8) as bigint) < 0.2 * 4294967296
         then 'test' else 'train' end as split from clean"""),
     "h07_split_placement": feed("""select split, cast(case when split = 'train' then 32 else 8 end as bigint) as partitions,
         count(*) as rows from features group by split"""),
@@ -427,6 +427,31 @@ ORACLES: dict[str, str] = {
     "i11_printable": metrics("select task, model, metric, printf('%.4f', value) as value from m"),
     "j01_preprocess": over("filled", *J1_COLUMNS),
     "j02_feature_rows": over("features", *J1_COLUMNS, *[n for n in NUMERIC if n not in J1_COLUMNS]),
+    "h06_csv_split": "select count(*) as rows, cast(0 as bigint) as moved from events",
+    "h11_normal_equations": feed(f"""select inputs, inputs as orthogonal from (select cast({_widths()}
+        - (select count(distinct StationID) from features)
+        + (select count(distinct StationID) from features where split = 'train') as bigint) as inputs) x"""),
+    "h14_train_or_load": """select * from (values ('clf', 'lr', true, true, cast(5 as bigint)),
+        ('reg', 'linear', true, true, cast(5 as bigint))) t(task, model, stored, same, stages)""",
+    "h14_model_statements": feed("""select task, model, rows, rows as valid, true as beats_constant
+        from (values ('clf', 'lr'), ('clf', 'rf'), ('clf', 'gbt'), ('reg', 'linear'), ('reg', 'rf'), ('reg', 'gbt'))
+          m(task, model), (select count(*) as rows from features where split = 'test') r"""),
+    "j03_classification_grid": """select 'classification' as task, model, metric, true as possible
+        from (values ('LR'), ('RF'), ('GBT')) m(model),
+          (values ('Accuracy'), ('Precision'), ('Recall'), ('F1-Score'), ('AUC-ROC'), ('rows')) v(metric)""",
+    "j04_regression_grid": """select 'regression' as task, model, metric, true as possible
+        from (values ('LINEAR'), ('RF'), ('GBT')) m(model), (values ('RMSE'), ('MAE'), ('R2')) v(metric)""",
+    "j05_run_audits": feed("""select 'mask' as stage, before, after, before - after as removed from (select
+          (select count(*) from raw semi join (select * from stations where valid_percent >= 0.8) v using (StationID))
+            as before, (select count(*) from clean) as after) x
+        union all select 'targets', (select count(*) from labelled), (select count(*) from targets),
+          (select count(*) from labelled) - (select count(*) from targets)
+        union all select 'features', (select count(*) from changed), (select count(*) from features),
+          (select count(*) from changed) - (select count(*) from features)"""),
+    "j05_run_values": feed("""select count(*) as rows, round(sum(Temperature), 3) as Temperature,
+        round(sum(Temp_lag24), 3) as Temp_lag24, round(sum(Rain_sum24h), 3) as Rain_sum24h,
+        round(sum(Temp_roll6h), 3) as Temp_roll6h, round(sum(PressureChange_1h), 3) as PressureChange_1h,
+        round(sum(Temp_next), 3) as Temp_next from features"""),
     "j05_whole_run": feed("""select cast(3 as bigint) as classifiers, cast(3 as bigint) as regressors,
         count(*) as rows from features"""),
 }

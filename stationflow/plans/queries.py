@@ -168,20 +168,19 @@ def _folder(spark: SparkSession, label: str) -> str:
 
 @query
 def a01_read_observations(spark, sf):
-    csv, _ = feed.write_station_files(spark, sf)
+    csv = feed.write_observation_files(spark, sf)
     return tidy_types(ob.read_observations(spark, csv).drop("row_key"))
 
 
 @query
 def a02_entity_from_file(spark, sf):
-    csv, _ = feed.write_station_files(spark, sf)
+    csv = feed.write_observation_files(spark, sf)
     return ob.read_observations(spark, csv).groupBy("StationID").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query
 def a03_read_stations(spark, sf):
-    _, meta = feed.write_station_files(spark, sf)
-    return tidy_types(st.read_stations(spark, meta))
+    return tidy_types(st.read_stations(spark, feed.write_metadata_files(spark, sf)))
 
 
 @query
@@ -416,7 +415,7 @@ def c10_try_parse(spark, sf):
 
 @query
 def c11_strip_suffix(spark, sf):
-    _, meta = feed.write_station_files(spark, sf)
+    meta = feed.write_metadata_files(spark, sf)
     return st.read_stations(spark, meta).select("file_name", "StationID")
 
 
@@ -645,8 +644,7 @@ def g03_station_info(spark, sf):
 
 def _indexed_stations(spark, sf) -> DataFrame:
     rows = feature_table(spark, sf).select("StationID")
-    stages = [*pp.string_indexers(["StationID"]), *pp.one_hot_encoders(["StationID"])]
-    return Pipeline(stages=stages).fit(rows).transform(rows.distinct())
+    return pp.preparation(["StationID"]).fit(rows).transform(rows.distinct())
 
 
 @query
@@ -700,6 +698,27 @@ def h06_hash_split(spark, sf):
     return keyed(sp.with_split(clean_rows(spark, sf), FEED), "split")
 
 
+@query
+def h06_csv_split(spark, sf):
+    """Rows of the CSV files, and how many change sides or keys when the files are cut into other input splits."""
+    csv = feed.write_observation_files(spark, sf)
+    spec, setting = SeriesSpec(), "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(setting)
+    sides = []
+    for size in (usual, "2k"):
+        spark.conf.set(setting, size)
+        try:
+            # Staged, because the scan is planned with the setting of the moment.
+            rows = sp.with_split(ob.read_observations(spark, csv), spec).select("StationID", "row_key", "split")
+            sides.append(stage(rows, "csv-split"))
+        finally:
+            spark.conf.set(setting, usual)
+    one, two = sides
+    return one.agg(F.count(F.lit(1)).alias("rows")).crossJoin(
+        one.exceptAll(two).agg(F.count(F.lit(1)).alias("moved"))
+    )
+
+
 @query
 def h07_split_placement(spark, sf):
     train, test = sp.placed(*split_tables(spark, sf), partitions=32)
@@ -772,15 +791,55 @@ def h13_boosted_regressor(spark, sf):
 
 @query
 def h14_train_or_load(spark, sf):
-    """A model asked for twice is fitted once: the store holds one model of that name afterwards."""
+    """A model asked for twice is fitted once: the second answer is the stored one, under the same identifier."""
     trainer = _trainer(spark, sf)
     rows = []
     for task, name in (("clf", "lr"), ("reg", "linear")):
         path = md.model_path(trainer.store, task, name, trainer.key)
-        trainer.model(task, name)
-        stored = exists(spark, path)
-        rows.append((task, name, stored, len(trainer.model(task, name).stages)))
-    return spark.createDataFrame(rows, "task string, model string, stored boolean, stages bigint")
+        first = trainer.model(task, name)
+        again = md.Trainer(trainer.train, trainer.spec, trainer.store, trainer.settings).model(task, name)
+        same = [s.uid for s in first.stages] == [s.uid for s in again.stages]
+        rows.append((task, name, exists(spark, path), same, len(again.stages)))
+    return spark.createDataFrame(rows, "task string, model string, stored boolean, same boolean, stages bigint")
+
+
+@query
+def h14_model_statements(spark, sf):
+    """What holds for a right fit of any of the six models: every test row gets a valid prediction, the
+    forest of averages stays within the labels it saw, and on its own training rows a model beats the best constant."""
+    train, test = split_tables(spark, sf)
+    trainer, rows = _trainer(spark, sf), []
+    for task, name in [("clf", n) for n in md.CLASSIFIERS] + [("reg", n) for n in md.REGRESSORS]:
+        label = md.TASK_LABEL[task]
+        model = trainer.model(task, name)
+        low, high, constant = train.agg(
+            F.min(label), F.max(label), F.greatest(F.avg(label), 1 - F.avg(label)) if task == "clf" else F.var_pop(label)
+        ).first()
+        said = F.col("prediction")
+        valid = said.isin(0.0, 1.0) if task == "clf" else said.between(low, high) if name == "rf" else ~F.isnan(said)
+        scored = md.score(model, test).agg(F.count(F.lit(1)), F.count_if(valid)).first()
+        error = F.avg((said != F.col(label)).cast("double") if task == "clf" else (said - F.col(label)) ** 2)
+        missed = md.score(model, train).agg(error).first()[0]
+        better = missed <= 1 - constant if task == "clf" else missed < constant
+        rows.append((task, name, *scored, bool(better)))
+    return spark.createDataFrame(rows, "task string, model string, rows bigint, valid bigint, beats_constant boolean")
+
+
+@query
+def h11_normal_equations(spark, sf):
+    """Least squares without penalty: residuals on the training rows are orthogonal to every scaled input."""
+    train, _ = split_tables(spark, sf)
+    base = pp.fit_base(train, FEED)
+    vectors = base.transform(train).select("features", "label_reg")
+    line = md.estimator("reg", "linear", md.ModelSettings(l2=0.0)).fit(vectors)
+    dense = vector_to_array("features")
+    residual = F.col("label_reg") - F.col("prediction")
+    sums = line.transform(vectors).select(residual.alias("r"), F.posexplode(dense).alias("at", "x"))
+    # Per input: the cosine between residuals and input, which is scale-free.
+    cosines = sums.groupBy("at").agg(
+        F.try_divide(F.abs(F.sum(F.col("r") * F.col("x"))), F.sqrt(F.sum(F.col("r") ** 2) * F.sum(F.col("x") ** 2))).alias("c")
+    )
+    return cosines.agg(F.count(F.lit(1)).alias("inputs"), F.count_if(F.coalesce("c", F.lit(0.0)) < 1e-4).alias("orthogonal"))
 
 
 @query
@@ -894,19 +953,74 @@ def j03_classification(spark, sf):
     return tidy_types(metrics)
 
 
+def _grid(metrics: DataFrame) -> DataFrame:
+    """Models and metrics of a run, and whether each value lies where it can."""
+    bounded = F.col("value").between(0.0, 1.0) | F.col("metric").isin("RMSE", "MAE", "R2")
+    return metrics.select("task", "model", "metric", (bounded & ~F.isnan("value")).alias("possible"))
+
+
+@query
+def j03_classification_grid(spark, sf):
+    """Every model has every metric, and each confusion matrix sums up to the test rows."""
+    _, test = split_tables(spark, sf)
+    metrics, matrices = fc.run_classification(_trainer(spark, sf), test)
+    sums = matrices.select(
+        F.lit("classification").alias("task"),
+        "model",
+        F.lit("rows").alias("metric"),
+        (F.col("TP") + F.col("FP") + F.col("FN") + F.col("TN") == F.lit(test.count())).alias("possible"),
+    )
+    return _grid(metrics).unionByName(sums)
+
+
 @query
 def j04_regression(spark, sf):
     _, test = split_tables(spark, sf)
     return tidy_types(fc.run_regression(_trainer(spark, sf), test))
 
 
+@query
+def j04_regression_grid(spark, sf):
+    _, test = split_tables(spark, sf)
+    return _grid(fc.run_regression(_trainer(spark, sf), test))
+
+
+_runs: dict[tuple[str, str], str] = {}
+
+
+def _whole_run(spark, sf) -> str:
+    """Where a run over the files of all valid stations left its results; made once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _runs:
+        csv, meta = feed.write_station_files(spark, sf)
+        out = _folder(spark, "run")
+        job.run(spark, csv, meta, out, stations=None)
+        _runs[key] = out
+    return _runs[key]
+
+
+@query
+def j05_run_audits(spark, sf):
+    """What the run itself counted before and after its three filters."""
+    out = _whole_run(spark, sf)
+    return cl.union_all([tb.load_frame(spark, f"{out}/audits/{part}") for part in ("mask", "features")])
+
+
+@query
+def j05_run_values(spark, sf):
+    """Sums over the run's feature table: its values, not only its size."""
+    train, test = tb.load_split(spark, f"{_whole_run(spark, sf)}/features")
+    rows = train.unionByName(test)
+    named = ("Temperature", "Temp_lag24", "Rain_sum24h", "Temp_roll6h", "PressureChange_1h", "Temp_next")
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.round(F.sum(c), 3).alias(c) for c in named]
+    )
+
+
 @query
 def j05_whole_run(spark, sf):
     """Files to metrics document, then the rows of the written feature table per split."""
-    csv, meta = feed.write_station_files(spark, sf)
-    out = _folder(spark, "run")
-    job.run(spark, csv, meta, out, stations=1_000_000)
-    document = mt.read_metrics(spark, f"{out}/metrics")
+    document = mt.read_metrics(spark, f"{_whole_run(spark, sf)}/metrics")
     return document.select(
         F.size("classification").cast("bigint").alias("classifiers"),
         F.size("regression").cast("bigint").alias("regressors"),

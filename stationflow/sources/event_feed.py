@@ -1,6 +1,6 @@
 """A station feed derived from an event table and a customer table.
 
-Gives the engine observation rows and a station dimension of any size without weather files: each user is a
+Gives observation rows and a station dimension of any size without files of observations: each user is a
 station, each event one reading. Some readings carry a bad date, a bad mask or a missing measure.
 """
 
@@ -18,7 +18,7 @@ from stationflow.storage import work_dir
 
 FEED = SeriesSpec(tiebreak=("event_id",))
 STATIONS_PER_FILE = 10_000
-_written: dict[tuple[str, str], tuple[str, str]] = {}
+_written: dict[tuple[str, str, str], str] = {}
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,15 +57,19 @@ def write_station_files(spark: SparkSession, folder: str) -> tuple[str, str]:
 
     Written once per application and source folder, below the shared work folder.
     """
-    key = (spark.sparkContext.applicationId, folder)
+    return write_observation_files(spark, folder), write_metadata_files(spark, folder)
+
+
+def write_observation_files(spark: SparkSession, folder: str) -> str:
+    """One CSV file per station, as the input format asks for."""
+    key = (spark.sparkContext.applicationId, folder, "csv")
     if key in _written:
         return _written[key]
     root = f"{work_dir(spark)}/files-{uuid.uuid4().hex}"
-    csv, meta = f"{root}/csv", f"{root}/meta"
-    dim = stations(spark, folder)
+    csv = f"{root}/csv"
     readings = (
         observations(spark, folder)
-        .join(dim, "StationID", "left")
+        .join(stations(spark, folder), "StationID", "left")
         .select(
             F.col("StationID").alias("name"),
             *[
@@ -79,6 +83,17 @@ def write_station_files(spark: SparkSession, folder: str) -> tuple[str, str]:
     # One file per station is the input format itself, so the rows of a station meet in one writer here.
     readings.repartition("name").write.partitionBy("name").option("header", True).csv(f"{root}/parts")
     _rename_to_station_files(spark, f"{root}/parts", csv)
+    _written[key] = csv
+    return csv
+
+
+def write_metadata_files(spark: SparkSession, folder: str) -> str:
+    """The station dimension as metadata files, one object in each; no observation is read."""
+    key = (spark.sparkContext.applicationId, folder, "meta")
+    if key in _written:
+        return _written[key]
+    meta = f"{work_dir(spark)}/files-{uuid.uuid4().hex}/meta"
+    dim = stations(spark, folder)
     files = max(1, math.ceil(dim.count() / STATIONS_PER_FILE))
     info = F.struct("latitude", "longitude", "ELEVATION", "valid_percent")
     (
@@ -88,8 +103,8 @@ def write_station_files(spark: SparkSession, folder: str) -> tuple[str, str]:
         .write.partitionBy("part")  # one object per file
         .text(meta)
     )
-    _written[key] = (csv, meta)
-    return csv, meta
+    _written[key] = meta
+    return meta
 
 
 def _rename_to_station_files(spark: SparkSession, parts: str, target: str) -> None:
@@ -99,4 +114,5 @@ def _rename_to_station_files(spark: SparkSession, parts: str, target: str) -> No
     fs.mkdirs(path(target))
     for status in fs.globStatus(path(f"{parts}/name=*/part-*.csv")):
         station = status.getPath().getParent().getName().removeprefix("name=")
-        fs.rename(status.getPath(), path(f"{target}/{station}.csv"))
+        if not fs.rename(status.getPath(), path(f"{target}/{station}.csv")):
+            raise OSError(f"{status.getPath()} could not be renamed")

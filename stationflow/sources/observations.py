@@ -17,8 +17,8 @@ def read_observations(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """All observation files of a folder (or of the listed paths) in one scan.
 
     The station is the file name without ``.csv``. ``row_key`` tells rows of equal time apart: it hashes the
-    fields with the file and the split they came from, so it is stable under retries, and copies of a row in
-    a large file do not share one key.
+    fields with the file name and nothing else, so it does not depend on how files are listed or cut into input
+    splits. Copies of a row share their key; they are interchangeable in a window and fall on one side of a split.
     """
     rows = (
         spark.read.schema(OBSERVATION_DDL)
@@ -30,9 +30,7 @@ def read_observations(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rows.select(
         strip_csv(F.col("_metadata.file_name")).alias("StationID"),
         *RAW_COLUMNS,
-        F.xxhash64(
-            "_metadata.file_name", "_metadata.file_block_start", *RAW_COLUMNS
-        ).alias("row_key"),
+        F.xxhash64("_metadata.file_name", *RAW_COLUMNS).alias("row_key"),
     )
 
 
@@ -55,17 +53,19 @@ def load_observations(
     spark: SparkSession,
     folder: str,
     metadata: str,
-    stations: int = STATION_SAMPLE,
+    stations: int | None = STATION_SAMPLE,
     minimum: float = MIN_VALID_SHARE,
     seed: int = SEED,
 ) -> DataFrame:
-    """Observations of a seeded sample of valid stations; stations without a file are skipped.
+    """Observations of a seeded sample of valid stations, or of all of them for ``stations=None``.
 
-    Only the files of chosen stations are opened while the choice is short enough to list; a longer choice
-    reads the folder and keeps its stations by semi join.
+    Stations without a file are skipped. Only the files of chosen stations are opened while the choice is short
+    enough to list; a longer choice reads the folder and keeps its stations by semi join. Rows and keys are equal.
     """
     files = list_observation_files(spark, folder)
-    chosen = sample_stations(valid_stations(read_stations(spark, metadata), minimum), stations, seed)
+    chosen = valid_stations(read_stations(spark, metadata), minimum)
+    if stations is not None:
+        chosen = sample_stations(chosen, stations, seed)
     found = files.join(chosen, "StationID", "left_semi")
     paths = [row["path"] for row in found.select("path").limit(LISTED_FILES + 1).collect()]
     if not paths:

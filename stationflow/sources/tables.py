@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.spec import SeriesSpec
-from stationflow.storage import exists
+from stationflow.storage import ROWS_PER_PARTITION, exists
 
 
 def save_frame(df: DataFrame, path: str) -> None:
@@ -46,10 +48,12 @@ def load_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] |
 def save_by_station(df: DataFrame, path: str, spec: SeriesSpec) -> None:
     """Write rows in entity and time order, so a later read of one entity skips most row groups.
 
-    Range partitioning cuts by rows, not by entity: a dominant station spreads over many files.
+    Range partitioning cuts by rows, not by entity: a dominant station spreads over many files. The number of
+    parts follows the number of rows, which costs one count.
     """
+    parts = max(1, math.ceil(df.count() / ROWS_PER_PARTITION))
     (
-        df.repartitionByRange(spec.entity, *spec.order)
+        df.repartitionByRange(parts, spec.entity, *spec.order)
         .sortWithinPartitions(spec.entity, *spec.order)
         .write.mode("overwrite")
         .parquet(path)

@@ -26,20 +26,41 @@ UNUSED_COLUMNS = ("MASK", "TIME_DIFF", "LONGITUDE", "LATITUDE")
 MEASURES = ("Temperature", "DewPoint", "Pressure", "WindSpeed", "WindDirection")
 RAIN_THRESHOLD = 2.5
 TWO_PI = 2 * 3.14159
-NUMERIC_FEATURES = tuple(
-    """
-    Temperature DewPoint Pressure WindSpeed WindDirection
-    DewPointDepression Rain
-    Hour Month DayOfWeek DayOfYear
-    Hour_sin Hour_cos Month_sin Month_cos
-    Temp_lag1 Temp_lag3 Temp_lag6 Temp_lag24
-    DewPoint_lag1 Pressure_lag1 WindSpeed_lag1
-    Rain_lag1 Rain_lag3
-    Temp_roll6h Temp_roll24h DewPoint_roll6h Pressure_roll6h
-    Rain_sum6h Rain_sum24h
-    TempChange_1h DewPointChange_1h PressureChange_1h
-    TempDewPoint
-    """.split()
+NUMERIC_FEATURES = (
+    "Temperature",
+    "DewPoint",
+    "Pressure",
+    "WindSpeed",
+    "WindDirection",
+    "DewPointDepression",
+    "Rain",
+    "Hour",
+    "Month",
+    "DayOfWeek",
+    "DayOfYear",
+    "Hour_sin",
+    "Hour_cos",
+    "Month_sin",
+    "Month_cos",
+    "Temp_lag1",
+    "Temp_lag3",
+    "Temp_lag6",
+    "Temp_lag24",
+    "DewPoint_lag1",
+    "Pressure_lag1",
+    "WindSpeed_lag1",
+    "Rain_lag1",
+    "Rain_lag3",
+    "Temp_roll6h",
+    "Temp_roll24h",
+    "DewPoint_roll6h",
+    "Pressure_roll6h",
+    "Rain_sum6h",
+    "Rain_sum24h",
+    "TempChange_1h",
+    "DewPointChange_1h",
+    "PressureChange_1h",
+    "TempDewPoint",
 )
 MIN_VALID_SHARE = 0.8
 STATION_SAMPLE = 200

@@ -5,12 +5,15 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
-ROWS_PER_PARTITION = 5_000_000
+ROWS_PER_PARTITION = 1_000_000
+_staged: list[str] = []
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -28,6 +31,7 @@ def work_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and continue from the files: lineage is cut and the rows are fixed."""
     path = f"{work_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -73,3 +77,15 @@ def delete(spark: SparkSession, path: str) -> None:
 def discard_work(spark: SparkSession) -> None:
     """Delete the tables this application staged; frames read from them cannot be used afterwards."""
     delete(spark, work_dir(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was staged inside; frames read from it are of no use outside."""
+    first = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[first:]:
+            delete(spark, path)
+        del _staged[first:]

@@ -1,0 +1,142 @@
+"""Edges of splits, samples, evaluation and the run's folder."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import same_rows
+from stationflow.operators import evaluate as ev
+from stationflow.operators import impute as im
+from stationflow.operators import sampling as sp
+from stationflow.plans import job
+from stationflow.sources import event_feed as feed
+from stationflow.sources import observations as ob
+from stationflow.sources import tables as tb
+from stationflow.sources.models import fingerprint
+from stationflow.spec import ModelSettings, SeriesSpec
+
+TINY = ModelSettings(forest_trees=3, forest_depth=3, boost_iterations=2, linear_iterations=10)
+TIDY = "task string, model string, metric string, value double"
+
+
+@pytest.fixture
+def long_files(spark, tmp_path):
+    folder = tmp_path / "obs"
+    folder.mkdir()
+    head = "DATE,LONGITUDE,LATITUDE,TMP,DEW,WND_ANGLE,WND_RATE,SLP,MASK,TIME_DIFF"
+    for name in ("1", "2"):
+        rows = [f"2014-01-{1 + h // 24:02d} {h % 24:02d}:00:00,1,2,{h % 50},1,90,3,1000,[1 1 1 1 1],1" for h in range(700)]
+        (folder / f"{name}.csv").write_text("\n".join([head, *rows, *rows[:50]]))
+    (tmp_path / "meta.json").write_text('{"1.csv": {"valid_percent": 1.0}, "2.csv": {"valid_percent": 1.0}}')
+    return str(folder), str(tmp_path / "meta.json")
+
+
+def test_keys_and_splits_do_not_depend_on_input_splits_or_listing(spark, long_files, monkeypatch):
+    spec, setting = SeriesSpec(), "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(setting)
+
+    def read():
+        rows = sp.with_split(ob.load_observations(spark, *long_files, stations=None), spec)
+        return rows.rdd.getNumPartitions(), rows.collect(), fingerprint(rows, "s")
+
+    try:
+        one = read()
+        spark.conf.set(setting, "3k")
+        two = read()
+        monkeypatch.setattr(ob, "LISTED_FILES", 1)
+        three = read()
+    finally:
+        spark.conf.set(setting, usual)
+    assert one[0] < two[0]
+    for other in (two, three):
+        assert sorted(str(sorted(r.asDict().items())) for r in one[1]) == sorted(str(sorted(r.asDict().items())) for r in other[1])
+        assert one[2] == other[2]
+
+
+def test_all_stations_and_more_than_there_are(spark, long_files):
+    for count in (None, 1_000_000, 2):
+        assert ob.load_observations(spark, *long_files, stations=count).select("StationID").distinct().count() == 2
+
+
+def test_small_shares_are_met(spark):
+    rows = spark.range(10_000).select(F.lit("S").alias("StationID"), F.col("id").alias("row_key"))
+    _, test = sp.split_rows(rows, SeriesSpec(), test_share=0.004)
+    assert 20 <= test.count() <= 65
+
+
+def test_border_bucket_is_cut_again(spark, monkeypatch):
+    monkeypatch.setattr(sp, "ORDERED_ROWS", 1)
+    monkeypatch.setattr(sp, "DIGITS", 1)
+    rows = spark.range(3000).withColumn("k", F.col("id").cast("string"))
+    want = sorted(range(3000), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    for count in (0, 1, 17, 2999, 3000):
+        assert sorted(r["id"] for r in sp.smallest_hashes(rows, F.col("k"), count).collect()) == sorted(want[:count])
+    copies = rows.filter("id < 3").unionByName(rows.filter("id < 3"))
+    assert sp.smallest_hashes(copies, F.col("k"), 3).count() == 3
+
+
+def test_median_that_cannot_be_narrowed_raises(spark, monkeypatch):
+    frame = spark.createDataFrame([(float(i), 1) for i in range(50)], "value double, rows bigint")
+    assert im._median_by_rank(frame, 4) == 24.5
+    same = spark.createDataFrame([(1.0, 1)] * 100, "value double, rows bigint")
+    with pytest.raises(RuntimeError):
+        im._median_by_rank(same, 4)
+
+
+def test_constant_labels_and_empty_frames(spark):
+    same = spark.createDataFrame([(2.0, 1.0), (2.0, 3.0)], "label_reg double, prediction double")
+    found = {r["metric"]: r["value"] for r in ev.evaluate_regression(same).collect()}
+    assert found == {"RMSE": 1.0, "MAE": 1.0, "R2": None}
+    empty = spark.createDataFrame([], "split string")
+    assert [(r["rows"], r["percent"]) for r in sp.split_sizes(empty).collect()] == [(0, 0.0), (0, 0.0)]
+
+
+def test_no_number_never_wins_and_ties_go_by_name(spark):
+    nan = float("nan")
+    rows = [("regression", m, "RMSE", v) for m, v in (("A", nan), ("B", 2.0), ("C", 1.0), ("D", 1.0))]
+    rows += [("classification", m, "AUC-ROC", v) for m, v in (("Z", 0.5), ("N", 0.5), ("L", None), ("K", nan))]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, TIDY)
+        for best in (ev.best_models(frame), ev.best_per_metric(frame)):
+            assert {r["task"]: (r["model"], r["value"]) for r in best.collect()} == {"regression": ("C", 1.0), "classification": ("N", 0.5)}
+        marked = {r["model"]: r["best"] for r in ev.compare_models(frame, "regression").collect()}
+        assert marked == {"A": False, "B": False, "C": True, "D": True}
+    lost = ev.best_models(spark.createDataFrame([("regression", "A", "RMSE", nan)], TIDY)).collect()
+    assert [r["model"] for r in lost] == ["A"]
+
+
+def test_other_parameters_rebuild_and_foreign_files_survive_force(spark, small, tmp_path):
+    csv, meta = feed.write_station_files(spark, small)
+    out = tmp_path / "run"
+    out.mkdir()
+    (out / "notes.txt").write_text("mine")
+
+    def run(**options):
+        job.run(spark, csv, meta, str(out), settings=TINY, **options)
+        return tb.load_frame(spark, f"{out}/features").collect()
+
+    few, every = run(stations=20), run(stations=None, tag="here")
+    assert 0 < len(few) < len(every) == 225
+    assert spark.read.json(f"{out}/metrics").first()["notebook"] == "here"
+    assert {r["stage"] for r in tb.load_frame(spark, f"{out}/audits/features").collect()} == {"targets", "features"}
+    half = run(stations=None, test_share=0.5)
+    assert sum(r["split"] == "test" for r in half) > sum(r["split"] == "test" for r in every)
+    warm = run(stations=None, threshold=9.0)
+    assert sum(r["Rain"] for r in warm) > sum(r["Rain"] for r in every)
+    with pytest.raises(ValueError, match="does not exist"):
+        job.run(spark, str(tmp_path / "nowhere"), meta, str(out), settings=TINY, force=True)
+    assert (out / "features" / "_SUCCESS").exists()
+    assert len(run(stations=None, force=True)) == 225
+    assert (out / "notes.txt").read_text() == "mine"
+    assert {p.name for p in (out / "comparison").iterdir()} == {"classification", "regression"}
+    assert same_rows(tb.load_frame(spark, f"{out}/confusion").select("model"), spark.createDataFrame([("LR",), ("RF",), ("GBT",)], "model string"))
+
+
+def test_range_write_follows_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tb, "ROWS_PER_PARTITION", 100)
+    rows = spark.range(1000).select(
+        F.lit("S").alias("StationID"), F.timestamp_seconds("id").alias("datetime_ts"), F.col("id").alias("row_key")
+    )
+    tb.save_by_station(rows, str(tmp_path / "t"), SeriesSpec())
+    assert len(list((tmp_path / "t").glob("part-*"))) == 10

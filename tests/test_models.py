@@ -106,15 +106,17 @@ def test_settings_reach_the_estimators(spark):
 
 def test_unseen_stations_get_their_own_index(spark):
     seen = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "StationID string")
-    stages = [*pp.string_indexers(["StationID"]), *pp.one_hot_encoders(["StationID"])]
+    stages = pp.preparation(["StationID"]).getStages()
     model = pp.Pipeline(stages=stages).fit(seen)
     found = model.transform(spark.createDataFrame([("b",), ("a",), ("zzz",)], "StationID string"))
     assert [(r["StationID_idx"], r["StationID_vec"].size) for r in found.collect()] == [(0.0, 4), (1.0, 4), (3.0, 4)]
 
 
 def test_both_tasks(trainer, learnable):
-    metrics, matrix = fc.run_classification(trainer, learnable[1])
-    assert sum(matrix.values()) == learnable[1].count()
+    metrics, matrices = fc.run_classification(trainer, learnable[1])
+    assert {r["model"]: r["TP"] + r["FP"] + r["FN"] + r["TN"] for r in matrices.collect()} == dict.fromkeys(
+        ("LR", "RF", "GBT"), learnable[1].count()
+    )
     assert metrics.count() == 15
     regression = fc.run_regression(trainer, learnable[1])
     assert {r["model"] for r in regression.collect()} == {"LINEAR", "RF", "GBT"} and regression.count() == 9
