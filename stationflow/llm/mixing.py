@@ -29,7 +29,7 @@ class Mix:
     shard_blocks: int = 4096
     seed: int = 7
     rounds: int = 8
-    bucket_rows: int = 20_000
+    bucket_rows: int = 4_096
 
 
 def n_words(text: Column) -> Column:
@@ -52,13 +52,13 @@ def permuted(df: DataFrame, index: str, n: Column, key: list[Column], rounds: in
 
 
 def source_targets(sized: DataFrame, mix: Mix) -> DataFrame:
-    """One row per source: source, source_size, number (from 1 in code point order, null last), weight, target.
+    """One row per source: source, source_size, n_docs, number (from 1 in code point order, null last), weight, target.
 
     All words are shared by weight, sources stop at their cap, and the rest shares what is over: that is one level
     for the uncapped sources, found in order of cap by weight. The table has a row per source, no more.
     """
     everything = Window.partitionBy(F.lit(0))
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     number = F.row_number().over(everything.orderBy(F.col("source").asc_nulls_last()))
     weights = F.array(*map(F.lit, mix.weights))
     sources = sources.withColumn("number", number).withColumn(
@@ -72,7 +72,7 @@ def source_targets(sized: DataFrame, mix: Mix) -> DataFrame:
     sources = sources.withColumn("_level", level).withColumn("_rank", F.row_number().over(by_cap))
     free = F.when(cap / F.col("weight") >= F.col("_level"), F.struct("_rank", "_level"))
     target = F.least(cap, F.col("weight") * F.min(free).over(everything)["_level"])
-    return sources.select("source", "source_size", "number", "weight", target.alias("target"))
+    return sources.select("source", "source_size", "n_docs", "number", "weight", target.alias("target"))
 
 
 def plan_blocks(sources: DataFrame, mix: Mix) -> DataFrame:
@@ -131,10 +131,11 @@ def shard_counts(slots: DataFrame) -> DataFrame:
     return slots.groupBy("shard", "number").agg(F.count(F.lit(1)).alias("draws"))
 
 
-def _located(docs: DataFrame, buckets: int) -> DataFrame:
-    """``docs`` with the words of its source before it. Order: hash bucket, then id and content hash; sums of
-    buckets come first, so no source is ordered as a whole."""
-    docs = docs.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "_tie"), F.lit(buckets)))
+def _located(docs: DataFrame, bucket_rows: int) -> DataFrame:
+    """``docs`` with the words of its source before it. Order: hash bucket, then id and content hash. Sums of
+    buckets come first, so no source is ordered as a whole; a source has as many buckets as its rows fill."""
+    buckets = F.ceil(F.col("n_docs") / bucket_rows)
+    docs = docs.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "_tie"), buckets))
     sums = docs.groupBy("number", "_bucket").agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("number").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("number", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
@@ -176,8 +177,8 @@ def mix_sources(
     sized = stage(sized, "sizes")
     sources = stage(plan_blocks(source_targets(sized, mix), mix), "sources")
     named = sized.join(sources.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of")))
-    named = named.select("doc_id", "size", "_tie", "_seat", "number", "source_size", "target")
-    located = _located(named, max(1, math.ceil(sized.count() / mix.bucket_rows)))
+    named = named.select("doc_id", "size", "_tie", "_seat", "number", "source_size", "target", "n_docs")
+    located = _located(named, mix.bucket_rows)
     length = F.lit(mix.block_words)
     end = F.col("_start") + F.col("size")
     parts = located.where("size > 0").select(
