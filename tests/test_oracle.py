@@ -6,8 +6,9 @@ from oracle_check import connect, difference, rows_of_spark, rows_of_sql
 from stationflow.plans.oracle import ORACLES
 from stationflow.plans.queries import QUERIES
 
-# The whole run fits six full-size models; test_job covers it with small ones.
-FAST = sorted(set(ORACLES) - {"j05_whole_run"})
+# These fit six full-size models; test_job and test_models cover them with small ones.
+SLOW = ("j05_", "h14_model_statements")
+FAST = sorted(n for n in ORACLES if not n.startswith(SLOW))
 
 
 @pytest.fixture(scope="module")
