@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 
 from stationflow.operators.clean import parsed
 from stationflow.operators.features import with_calendar, with_changes, with_history
 from stationflow.operators.impute import approximate_medians, exact_medians, fill_missing
 from stationflow.operators.labels import drop_without_target, with_rain, with_targets
-from stationflow.operators.profile import all_present, watched
 from stationflow.operators.series import MAX_ROWS_PER_TASK, Series
 from stationflow.spec import RAIN_THRESHOLD, SeriesSpec
 
@@ -50,14 +49,11 @@ def preprocess(cleaned: DataFrame, spec: SeriesSpec, **options) -> DataFrame:
     return preprocessed_series(cleaned, spec, **options).frame()
 
 
-def engineered(series: Series, watch: Observation | None = None) -> DataFrame:
-    """All features; rows with anything missing are dropped.
-
-    ``watch`` learns the rows ``before`` and ``after`` that, when the result is first computed.
-    """
+def engineered(series: Series, complete: bool = True) -> DataFrame:
+    """All features; rows with anything missing are dropped unless ``complete`` is false."""
     dated = series.each(lambda rows: with_calendar(rows, series.spec))
     rows = with_history(dated).each(with_changes).frame()
-    return (rows if watch is None else watched(rows, watch, all_present(rows))).dropna()
+    return rows.dropna() if complete else rows
 
 
 def engineer_features(
@@ -67,7 +63,7 @@ def engineer_features(
     return engineered(Series.of(rows, spec, max_rows))
 
 
-def feature_rows(cleaned: DataFrame, spec: SeriesSpec, watch: Observation | None = None, **options) -> DataFrame:
+def feature_rows(cleaned: DataFrame, spec: SeriesSpec, complete: bool = True, **options) -> DataFrame:
     """Clean rows to feature rows: both jobs over one partitioning by station."""
-    return engineered(preprocessed_series(cleaned, spec, **options), watch)
+    return engineered(preprocessed_series(cleaned, spec, **options), complete)
 

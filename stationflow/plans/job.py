@@ -9,20 +9,20 @@ import argparse
 import json
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.operators.clean import clean, parsed
+from stationflow.operators.clean import canonical, parsed
 from stationflow.operators.evaluate import DECIDING_METRIC, compare_models
 from stationflow.operators.labels import with_rain, with_regression_label
 from stationflow.operators.models import Trainer
-from stationflow.operators.profile import positive_ratio, summary_frame, watched
-from stationflow.operators.sampling import with_split
+from stationflow.operators.profile import all_present, positive_ratio, summary_frame
+from stationflow.operators.sampling import split_column
 from stationflow.plans.feature_job import feature_rows
 from stationflow.plans.forecast import run_classification, run_regression
 from stationflow.sources.metrics import save_metrics
 from stationflow.sources.observations import load_observations
-from stationflow.sources.tables import load_frame, load_split, save_frame, save_split
+from stationflow.sources.tables import load_frame, load_part, load_split, part_sizes, save_frame, save_split
 from stationflow.spec import (
     MIN_VALID_SHARE,
     RAIN_THRESHOLD,
@@ -122,38 +122,44 @@ def _clean(spark: SparkSession, out: str, inputs: dict) -> DataFrame:
         names = ("observations", "metadata", "stations", "minimum", "seed")
         raw = load_observations(spark, *[inputs[n] for n in names])
         delete(spark, _mark(path))
-        watch = Observation()
-        # Text is parsed once; every later pass reads columns.
-        save_frame(clean(watched(raw, watch, F.col("MASK") == VALID_MASK)), path)
+        # Text is parsed once; every later pass reads columns. What the mask removes is a partition of its own, so
+        # counting it needs no second look at the files.
+        part = F.when(F.col("MASK") == VALID_MASK, "valid").otherwise("masked")
+        save_split(canonical(raw.withColumn("split", part)), path)
+        sizes = part_sizes(spark, path)
+        if not sizes.get("valid"):
+            raise ValueError("no valid observation")
         _finished(spark, path, inputs)
-        _save_audits(spark, f"{out}/audits/mask", {"mask": watch.get})
-        for row in summary_frame(load_frame(spark, path)).collect():
+        counts = {"before": sum(sizes.values()), "after": sizes["valid"]}
+        _save_audits(spark, f"{out}/audits/mask", {"mask": counts})
+        for row in summary_frame(load_part(spark, path, "valid")).collect():
             log.info("%s", row.asDict())
-    return load_frame(spark, path)
+    return load_part(spark, path, "valid")
 
 
 def _features(spark, out, inputs, spec, cleaned) -> tuple[DataFrame, DataFrame]:
     path = f"{out}/features"
     if cleaned is not None:
         delete(spark, _mark(path))
-        watch = Observation()
-        rows = feature_rows(cleaned, spec, watch, threshold=inputs["threshold"])
-        save_split(with_split(rows, spec, test_share=inputs["test_share"]), path)
-        found = load_split(spark, path)
-        if found is None:
+        # Incomplete rows (the first ones of each station) are a partition that no reader takes, only counts.
+        rows = feature_rows(cleaned, spec, complete=False, threshold=inputs["threshold"])
+        side = F.when(all_present(rows), split_column(spec, inputs["test_share"])).otherwise("incomplete")
+        save_split(rows.withColumn("split", side), path)
+        sizes = part_sizes(spark, path)
+        complete = sizes.get("train", 0) + sizes.get("test", 0)
+        if not complete:
             raise ValueError("no feature rows to train on")
         _finished(spark, path, inputs)
         # The clean table is columns by now: labels and their ratio need three of them.
         labelled = with_rain(parsed(cleaned, spec), inputs["threshold"])
         ratio = positive_ratio(labelled).first()
         log.info("rain in %d of %d rows (%.2f %%)", *ratio)
-        counts = watch.get
+        counts = {"before": sum(sizes.values()), "after": complete}
         audits = {"targets": {"before": ratio["rows"], "after": counts["before"]}, "features": counts}
         _save_audits(spark, f"{out}/audits/features", audits)
     else:
         log.info("continuing from %s", path)
-        found = load_split(spark, path)
-    return found
+    return load_split(spark, path)
 
 
 def _save_audits(spark: SparkSession, path: str, counts: dict[str, dict[str, int]]) -> None:

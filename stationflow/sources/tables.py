@@ -31,18 +31,27 @@ def load_frame(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def save_split(df: DataFrame, path: str) -> None:
-    """Write train and test rows (column ``split``) in one pass as two partitions of one table."""
+    """Write rows in one pass, each value of the column ``split`` as a partition of the table."""
     df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def load_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
     """(train, test), each reading its own partition only; None unless both were written."""
-    table = load_frame(spark, path)
-    if table is None:
+    if load_frame(spark, path) is None:
         return None
-    return tuple(
-        table.filter(F.col("split") == part).drop("split") for part in ("train", "test")
-    )
+    return tuple(load_part(spark, path, part) for part in ("train", "test"))
+
+
+def load_part(spark: SparkSession, path: str, part: str) -> DataFrame | None:
+    """The rows of one partition, or None without a finished table."""
+    table = load_frame(spark, path)
+    return None if table is None else table.filter(F.col("split") == part).drop("split")
+
+
+def part_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Rows per partition; no column is read for it."""
+    table = load_frame(spark, path)
+    return {} if table is None else {r["split"]: r["count"] for r in table.groupBy("split").count().collect()}
 
 
 def save_by_station(df: DataFrame, path: str, spec: SeriesSpec) -> None:

@@ -120,7 +120,7 @@ def test_other_parameters_rebuild_and_foreign_files_survive_force(spark, small,
 
     def run(**options):
         job.run(spark, csv, meta, str(out), settings=TINY, **options)
-        return tb.load_frame(spark, f"{out}/features").collect()
+        return tb.load_frame(spark, f"{out}/features").filter("split <> 'incomplete'").collect()
 
     few, every = run(stations=20), run(stations=None, tag="here")
     assert 0 < len(few) < len(every) == 225
