@@ -29,13 +29,14 @@ STEMS = range(3, 9)
 @dataclass(frozen=True)
 class Training:
     """At most about ``documents`` labelled documents train the scores, chosen by a hash of their id; at most
-    ``features`` words, stems and marks carry weight, each seen in ``least`` toxic documents and ``lift`` times as
-    often as in others."""
+    ``features`` words, stems and marks carry weight, each seen ``least`` times in toxic documents and ``lift`` times
+    as often as in others. A toxic document, the rare class, counts ``toxic_weight`` times."""
 
     documents: int = 8_000
     features: int = 4_096
     least: int = 4
     lift: float = 2.0
+    toxic_weight: float = 12.0
     rounds: int = 400
     rate: float = 0.15
     penalty: float = 2e-5
@@ -57,31 +58,34 @@ class Model:
 
     def scorer(self):
         """A function from a text to (document score, [(start, end, sentence score)] of marked sentences)."""
-        known: dict[str, tuple[str, ...]] = {}
+        known: dict[str, tuple[str, float] | tuple[()]] = {}
         weights, bias = self.weights, self.bias
         blank = 1.0 / (1.0 + np.exp(-bias))
 
-        def learn(word: str) -> tuple[str, ...]:
+        def learn(word: str) -> tuple[str, float] | tuple[()]:
+            """The word in lower case and its weight, or nothing if it has none."""
             if len(known) >= WORD_ENTRIES:
                 known.clear()
-            found = known[word] = tuple(f for f in word_features(word.lower()) if f in weights)
+            lower = word.lower()
+            own = [weights[f] for f in word_features(lower) if f in weights]
+            found = known[word] = (lower, sum(own)) if own else ()
             return found
 
         def score(text: str) -> tuple[float, list[tuple[int, int, float]]]:
             marked, clean, spare = [], 0.0, 0
             for hit in SENTENCE.finditer(text):
                 sentence = hit.group()
-                found: set[str] = set()
+                found: dict[str, float] = {}
                 for word in WORD.findall(sentence):
-                    features = known.get(word)
-                    if features is None:
-                        features = learn(word)
-                    if features:
-                        found.update(features)
+                    weighed = known.get(word)
+                    if weighed is None:
+                        weighed = learn(word)
+                    if weighed:
+                        found[weighed[0]] = weighed[1]
                 if "!!" in sentence and "!!" in weights:
-                    found.update(sentence_marks(sentence))
+                    found.update((mark, weights[mark]) for mark in sentence_marks(sentence))
                 if found:
-                    p = 1.0 / (1.0 + np.exp(-(bias + sum(map(weights.get, found)))))
+                    p = 1.0 / (1.0 + np.exp(-np.clip(bias + sum(found.values()), -30, 30)))
                     clean += np.log1p(-min(p, 1 - 1e-12))
                     marked.append((*hit.span(), float(p)))
                 else:
@@ -93,21 +97,21 @@ class Model:
 
 
 def _bags(weights: set[str]):
-    """Function from a text to its sentences as distinct feature sets with their number."""
+    """Function from a text to its distinct sentences with their number: the features of each different word."""
     known: dict[str, tuple[str, ...]] = {}
 
     def bag(data: bytes | None) -> list[dict]:
         sets: Counter = Counter()
         for sentence in SENTENCE.findall((data or b"").decode("utf-8", "replace")):
-            found: set[str] = set()
-            for word in WORD.findall(sentence.lower()):
+            found: list[str] = []
+            for word in {w.lower() for w in WORD.findall(sentence)}:
                 if word not in known:
                     if len(known) >= WORD_ENTRIES:
                         known.clear()
                     known[word] = tuple(f for f in word_features(word) if f in weights)
-                found.update(known[word])
+                found += known[word]
             if "!!" in weights:
-                found.update(sentence_marks(sentence))
+                found += sentence_marks(sentence)
             sets[tuple(sorted(found))] += 1
         return [{"features": list(k), "n": n} for k, n in (sets or Counter({(): 1})).items()]
 
@@ -115,16 +119,16 @@ def _bags(weights: set[str]):
 
 
 def _feature_counts(only: set[str] | None):
-    """Documents of the task with each feature, and those of them that are toxic."""
+    """How often the task's documents have each feature: a stem once for each different word of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for data in raw_texts(batch.column(0)):
                 text = (data or b"").decode("utf-8", "replace")
-                found = {f for w in set(WORD.findall(text.lower())) for f in word_features(w)}
-                found.update(sentence_marks(text))
-                seen.update(found if only is None else found & only)
+                found = [f for w in {w.lower() for w in WORD.findall(text)} for f in word_features(w)]
+                found += sentence_marks(text)
+                seen.update(found if only is None else filter(only.__contains__, found))
                 if len(seen) > 1_000_000:
                     yield pa.record_batch([pa.array(list(seen)), pa.array(list(seen.values()))], ["feature", "n"])
                     seen.clear()
@@ -137,8 +141,25 @@ def _count(texts: DataFrame, only: set[str] | None) -> DataFrame:
     return texts.select("text").mapInArrow(_feature_counts(only), "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
-def fit(bags: list[list[tuple[list[int], int]]], toxic: np.ndarray, features: int, training: Training) -> tuple[np.ndarray, float]:
-    """Weights of features and bias that make the noisy-or of sentence scores likeliest, by full-batch Adam."""
+def one_of_each_chain(ranked: list[str]) -> list[str]:
+    """Of a word and its stems the first in rank: words that share a stem share its weight, unless one says more by
+    itself."""
+    kept: dict[str, None] = {}
+    taken: set[str] = set()  # what is kept, with all its stems
+    for feature in ranked:
+        stem = feature.rstrip("-")
+        shorter = {stem[:n] + "-" for n in STEMS if n < len(stem)}
+        if feature not in taken and shorter.isdisjoint(kept):
+            kept[feature] = None
+            taken |= shorter | {feature}
+    return list(kept)
+
+
+def fit(
+    bags: list[list[tuple[list[int], int]]], toxic: np.ndarray, first: np.ndarray, training: Training
+) -> tuple[np.ndarray, float]:
+    """Weights of features and bias that make the noisy-or of sentence scores likeliest, by full-batch Adam from the
+    weights ``first``."""
     sentence_doc, times, pair_sentence, pair_feature = [], [], [], []
     for doc, bag in enumerate(bags):
         for found, n in bag:
@@ -148,14 +169,14 @@ def fit(bags: list[list[tuple[list[int], int]]], toxic: np.ndarray, features: in
             times.append(n)
     sentence_doc, times = np.array(sentence_doc), np.array(times, float)
     pair_sentence, pair_feature = np.array(pair_sentence, np.int64), np.array(pair_feature, np.int64)
-    w = np.zeros(features + 1)
-    w[-1] = -5.0
+    features = len(first)
+    w = np.append(first, -5.0)
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, training.rounds + 1):
         z = w[-1] + np.bincount(pair_sentence, w[pair_feature], len(times))
         p = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
         clean = np.exp(np.bincount(sentence_doc, times * np.log1p(-np.minimum(p, 1 - 1e-12)), len(bags)))
-        pull = np.where(toxic == 1, clean / np.maximum(1 - clean, 1e-9), -1.0)
+        pull = np.where(toxic == 1, training.toxic_weight * clean / np.maximum(1 - clean, 1e-9), -1.0)
         slope = pull[sentence_doc] * times * p
         gradient = np.append(np.bincount(pair_feature, slope[pair_sentence], features), slope.sum()) / len(bags)
         gradient[:-1] -= training.penalty * w[:-1] / 10
@@ -176,10 +197,11 @@ def train(
 ) -> Model:
     """Learn from the documents of ``df`` with a label in ``labels`` (doc_id, ``label``) and a true ``usable``.
 
-    The sample is bounded in rows, so its ids go to all tasks and texts are not shuffled. Features are counted in
-    tasks before the shuffle, in toxic documents first and then, for those that occur often enough, in the rest.
-    Ids or labels that are null are left out, of repeated labels of an id the largest counts. If a class is
-    missing, every text gets the share of toxic labels as its score.
+    The sample is bounded in rows, so its ids go to all tasks and only its texts are shuffled. Features are counted
+    in tasks before the shuffle, in toxic documents first and then, for those that occur often enough, in the rest.
+    Ids or labels that are null are left out, of repeated labels of an id the largest counts, of repeated documents
+    the one whose text has the smallest hash. If a class is missing, every text gets the share of toxic labels as
+    its score.
     """
     training = training or Training()
     rows = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_toxic"))
@@ -190,7 +212,9 @@ def train(
     share = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1_000_000))
     rows = rows.where(share < int(1_000_000 * min(1.0, training.documents / max(1, total))))
     texts = df.select(quoted(doc_id).alias("_id"), quoted(text).cast("string").alias("text"))
-    sample = stage(texts.join(F.broadcast(rows), "_id"), "toxic-sample")
+    found = texts.join(F.broadcast(rows), "_id").withColumn("_pick", F.struct(F.xxhash64("text"), "text"))
+    sample = found.groupBy("_id", "_toxic").agg(F.min("_pick")["text"].alias("text"))
+    sample = stage(sample, "toxic-sample")
     sizes = {r["_toxic"]: r["count"] for r in sample.groupBy("_toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
@@ -205,13 +229,16 @@ def train(
         a, b = (often[f] + 0.5) / (bad + 1), (others.get(f, 0) + 0.5) / (good + 1)
         return often[f] * np.log(a / b) if a >= training.lift * b else 0.0
 
-    chosen = sorted((f for f in often if strength(f) > 0), key=lambda f: (-strength(f), f))[: training.features]
+    odds = {f: (often[f] + 0.5) / (others.get(f, 0) + 0.5) for f in often if strength(f) > 0}
+    chosen = one_of_each_chain(sorted(odds, key=lambda f: (-strength(f), len(f), f)))[: training.features]
     at = {f: i for i, f in enumerate(chosen)}
     kind = "array<struct<features: array<string>, n: int>>"
     vocabulary = set(chosen)
     found = sample.select("_toxic", per_text(lambda: _bags(vocabulary), kind)(F.col("text")).alias("bag")).collect()
     bags = [[([at[f] for f in s["features"]], s["n"]) for s in r["bag"]] for r in found]
-    weights, bias = fit(bags, np.array([r["_toxic"] for r in found]), len(chosen), training)
+    # Words that never stand alone in training say little of their own weight: it begins at their log odds.
+    first = np.array([np.log(odds[f] * (good + 1) / (bad + 1)) for f in chosen], float)
+    weights, bias = fit(bags, np.array([r["_toxic"] for r in found]), first, training)
     return Model({f: float(w) for f, w in zip(chosen, weights) if abs(w) > 1e-6}, bias)
 
 
