@@ -33,7 +33,7 @@ class Rule:
 
 @dataclass(frozen=True)
 class Trees:
-    """At most ``train_rows`` labelled URLs, chosen by hash, fit ``trees`` trees of ``depth`` levels."""
+    """At most ``train_rows`` labelled URLs, chosen by a hash of the whole row, fit ``trees`` trees of ``depth`` levels."""
 
     train_rows: int = 10_000
     trees: int = 12
@@ -124,7 +124,7 @@ def train(featured: DataFrame, label: str, settings: Trees):
     total = sum(r["count"] for r in counted)
     if len(counted) < 2:
         return None
-    share = F.pmod(F.xxhash64("url", F.lit(settings.seed)), F.lit(1_000_000))
+    share = F.pmod(F.xxhash64("pick", F.lit(settings.seed)), F.lit(1_000_000))
     chosen = rows.where(share < int(1_000_000 * min(1.0, settings.train_rows * 0.95 / total)))
     chosen = stage(chosen.select(*FEATURES, F.col(label).cast("double").alias("target")), "url-train").coalesce(8)
     vector = VectorAssembler(inputCols=FEATURES, outputCol="vector")
@@ -163,6 +163,8 @@ def judge_urls(
         path_of(quoted(url)).alias("path"),
         (F.lit(None).cast("double") if labels is None else labels.cast("double")).alias("label"),
         F.struct(*map(quoted, df.columns)).alias("row"),
+        # Of the whole row: pages that share one frequent URL are drawn one by one.
+        F.xxhash64(*map(quoted, df.columns)).alias("pick"),
     )
     host, path = F.col("host"), F.col("path")
     ruled = cut.select("*", rule_of(host, path, rules, "text").alias("rule"), rule_of(host, path, rules, "verdict").alias("ruled"))
