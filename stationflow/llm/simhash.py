@@ -211,14 +211,14 @@ def simhash_groups(
     and link like any other. Repeated rows stay as they are; columns with the names of the new ones are replaced.
     ``keep`` names the columns to return, all by default; without the text, less is written in between.
     """
-    fp = free_name(df, "fp")
+    fp, least = free_name(df, "fp"), free_name(df, "least")
     columns = df.columns if keep is None else list(keep)
     printed = fingerprints(df, text, fp, width).select(*map(quoted, dict.fromkeys([*columns, doc_id])), fp)
     printed = stage(printed, "prints")
-    named = _named(printed, fp, doc_id, most).select(F.col("fp").alias(fp), F.col("least").alias("_least"))
+    named = _named(printed, fp, doc_id, most).select(F.col("fp").alias(fp), F.col("least").alias(least))
     kept = [quoted(c) for c in columns if c not in (print_into, group_into)]
     return printed.join(named, fp).select(
-        *kept, F.lpad(F.lower(F.hex(F.col(fp))), 16, "0").alias(print_into), F.col("_least").alias(group_into)
+        *kept, F.lpad(F.lower(F.hex(F.col(fp))), 16, "0").alias(print_into), F.col(least).alias(group_into)
     )
 
 

@@ -97,7 +97,7 @@ def test_awkward_documents(spark):
     text = "one two three four five six seven eight"
     rows = [(None, text), (7, text), (3, text.upper()), (3, text.upper()), (None, "quite another text here"), (None, None), (8, "")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    for name in ("fp", "seat", "root", "least", "fingerprint", "component_id", "key"):
+    for name in ("fp", "seat", "root", "least", "_least", "fingerprint", "component_id", "key"):
         df = df.withColumn(name, F.lit("z"))
     out = simhash.simhash_groups(df, width=3)
     assert sorted(out.columns) == sorted(df.columns)
