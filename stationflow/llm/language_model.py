@@ -338,12 +338,13 @@ def _average(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def train(texts: DataFrame, known: Lexicon) -> dict[str, np.ndarray]:
-    """Parameters learned from the column ``text`` of the training documents, a hash share of them, by replicas."""
+    """Parameters learned from the columns doc_id and text of the training documents by replicas: of a share of them,
+    chosen by a hash of both, so that of the copies of a frequent text only that share is taken too."""
     s = known.settings
     p = first_parameters(known)
     share = min(1.0, max(s.share, s.least_tokens / max(1, known.tokens)))
-    draw = F.pmod(F.xxhash64("text", F.lit(s.seed)), F.lit(1_000_000))
-    sample = stage(texts.select("text").where(draw < int(1_000_000 * share)), "lm-sample")
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(s.seed)), F.lit(1_000_000))
+    sample = stage(texts.select("doc_id", "text").where(draw < int(1_000_000 * share)), "lm-sample")
     sc = texts.sparkSession.sparkContext
     replicas = max(1, round(known.tokens * share / s.turns / s.replica_tokens))
     shared = sc.broadcast(known)
@@ -361,7 +362,8 @@ def train(texts: DataFrame, known: Lexicon) -> dict[str, np.ndarray]:
                 flat = _pack(train_stream(now.value, stream, lex.settings))
                 yield pa.record_batch([pa.array([len(stream)], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["tokens", "p"])
 
-        mine = sample.where(F.pmod(F.xxhash64("text", F.lit(s.seed + 1)), F.lit(s.turns)) == turn)
+        turn_of = F.pmod(F.xxhash64("doc_id", "text", F.lit(s.seed + 1)), F.lit(s.turns))
+        mine = sample.where(turn_of == turn).select("text")
         rows = mine.repartition(replicas).mapInArrow(run, "tokens bigint, p binary")
         parts = replicas
         while parts > 16:
