@@ -129,6 +129,20 @@ def test_noisy_or_is_learned_from_document_labels_and_points_at_sentences(spark)
     assert one_class.weights == {} and toxicity.score_toxicity(docs, one_class).where("toxicity.predicted = 1").count() == 0
 
 
+def test_of_a_word_and_its_stems_one_carries_weight():
+    ranked = ["achlich-", "achlichau", "achl-", "idi-", "idiot", "moron", "moro-", "mor-", "ab", "achlich"]
+    assert toxicity.one_of_each_chain(ranked) == ["achlich-", "idi-", "moron", "ab", "achlich"]
+
+
+def test_repeated_documents_train_once(spark):
+    rows = [(i, "you vile grobble." if i % 4 == 0 else "a river of stones.") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id bigint, toxic int")
+    many = docs.unionByName(docs.where("doc_id = 0").crossJoin(spark.range(50).select()))
+    one, two = toxicity.train(docs, marks), toxicity.train(many, marks)
+    assert one.weights.keys() == two.weights.keys() and np.isclose(one.bias, two.bias)
+
+
 def test_held_out_toxicity(spark):
     folder = "/root/testdata/sf0.01"
     scored = QUERIES["op9_multiple_instance_toxicity"](spark, folder).where("held_out").drop("sentences")
