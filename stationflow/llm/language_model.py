@@ -31,8 +31,8 @@ LN10 = float(np.log(10.0))
 @dataclass(frozen=True)
 class Settings:
     """``head`` bounds the words that every task holds, ``common`` those with a vector of their own (the end among
-    them). Training reads ``share`` of the training documents, or as many as make ``least_tokens`` tokens, in
-    ``turns`` rounds; replicas of about ``replica_tokens`` tokens start a round from the same parameters, and their
+    them). Training reads every training document once, dealt to ``turns`` rounds; a ``share`` below 1 makes it read
+    that share, or as many documents as make ``least_tokens`` tokens. Replicas of about ``replica_tokens`` tokens start a round from the same parameters, and their
     averages, weighted by tokens, begin the next."""
 
     head: int = 1 << 18
@@ -40,7 +40,7 @@ class Settings:
     class_size: int = 32
     rare_classes: int = 24
     hidden: int = 32
-    share: float = 1 / 32
+    share: float = 1.0
     least_tokens: int = 1_000_000
     turns: int = 2
     replica_tokens: int = 1_000_000
@@ -277,9 +277,11 @@ def train_stream(p: dict, stream: np.ndarray, settings: Settings) -> dict:
     The state goes on from window to window; gradients stop at the window's edge.
     """
     lanes = max(1, min(settings.lanes, len(stream) // (4 * settings.window)))
-    length = (len(stream) - 1) // lanes
+    length = -(-(len(stream) - 1) // lanes)
     if length < 2:
         return p
+    # The last lane is filled up from the first documents, so no token of the stream is left out.
+    stream = np.resize(stream, lanes * length + 1)
     inputs = stream[: lanes * length].reshape(lanes, length).T
     targets = stream[1 : lanes * length + 1].reshape(lanes, length).T
     p = {k: v.copy() for k, v in p.items()}
@@ -338,13 +340,16 @@ def _average(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def train(texts: DataFrame, known: Lexicon) -> dict[str, np.ndarray]:
-    """Parameters learned from the columns doc_id and text of the training documents by replicas: of a share of them,
-    chosen by a hash of both, so that of the copies of a frequent text only that share is taken too."""
+    """Parameters learned from the columns doc_id and text of the training documents by replicas, whose number grows
+    with the tokens. A share below 1 is chosen by a hash of both columns, so that of the copies of a frequent text only
+    that share is taken too."""
     s = known.settings
     p = first_parameters(known)
     share = min(1.0, max(s.share, s.least_tokens / max(1, known.tokens)))
     draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(s.seed)), F.lit(1_000_000))
-    sample = stage(texts.select("doc_id", "text").where(draw < int(1_000_000 * share)), "lm-sample")
+    sample = texts.select("doc_id", "text")
+    if share < 1:
+        sample = stage(sample.where(draw < int(1_000_000 * share)), "lm-sample")
     sc = texts.sparkSession.sparkContext
     replicas = max(1, round(known.tokens * share / s.turns / s.replica_tokens))
     shared = sc.broadcast(known)

@@ -108,6 +108,15 @@ def test_held_out_gain(spark):
     assert (s[1] - s[0]) / s[2] > 0.2
 
 
+def test_every_training_document_reaches_the_network(spark):
+    """Each document holds a word of its own, whose vector moves only if the document is trained on."""
+    settings = lm.Settings(common=512, hidden=6, lanes=4, window=5, least_tokens=50, replica_tokens=500)
+    docs = spark.createDataFrame([(i, f"w{i} " * 5) for i in range(400)], "doc_id bigint, text string")
+    lex = lm.lexicon(lm.word_counts(docs), settings)
+    moved = np.abs(lm.train(docs, lex)["x"] - lm.first_parameters(lex)["x"]).max(axis=1)
+    assert all(moved[lex.symbol[lex.head[f"w{i}".encode()]]] > 1e-5 for i in range(400))
+
+
 def test_awkward_rows(spark):
     rows = [(None, None), (1, ""), (1, ""), (2, "a " * 50_000), (3, "A b"), (4, "never seen")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("seat", F.lit(1)).withColumn("c", F.lit(1))
