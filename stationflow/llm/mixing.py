@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from stationflow.llm.common import WORD_SQL, free_name, quoted
 from stationflow.storage import stage
 
+# A word with the white space after it, so that pieces of a text keep their lines.
+SPACED_WORD_SQL = WORD_SQL + r"[\x20\x09-\x0D]*"
 CHUNK = 1 << 14
 PART_DRAWS = 1 << 19
 
@@ -21,7 +23,8 @@ PART_DRAWS = 1 << 19
 @dataclass(frozen=True)
 class Mix:
     """``weights`` repeat over the sources in code point order, null last. A target stops at ``most_repeats`` times
-    its source's words. ``block_words`` is the length of a block, ``shard_blocks`` that of an output shard."""
+    its source's words. ``block_words`` is the length of a block, ``shard_blocks`` that of an output shard, and
+    ``between`` stands between texts of two documents in a block."""
 
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     most_repeats: int = 3
@@ -30,6 +33,7 @@ class Mix:
     seed: int = 7
     rounds: int = 8
     bucket_rows: int = 4_096
+    between: str = "\n\n"
 
 
 def n_words(text: Column) -> Column:
@@ -146,27 +150,10 @@ def _located(docs: DataFrame, bucket_rows: int) -> DataFrame:
     )
 
 
-def mix_sources(
-    df: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    mix: Mix | None = None,
-    seat: Column | None = None,
-    tie: Column | None = None,
-) -> DataFrame:
-    """doc_id, size, source_size, target, taken: one row for each row of ``df``.
-
-    ``seat`` may name rows and ``tie`` hash them; both are returned if they are given.
-
-    ``taken`` counts the words of a document that the mix takes, with repeats, never over ``most_repeats`` times
-    its size. The words of a source form one stream in a hash order of its documents, cut into blocks. Draws and
-    blocks meet in a join on (source, block), which has about as many keys as blocks, so a hot source spreads over
-    all tasks. Null texts and texts without words have size 0 and take nothing; null sources are a source, the
-    last one; null ids are ordinary; equal rows are interchangeable; an empty frame gives an empty frame. The
-    result depends on the rows alone, not on their order or partitions.
-    """
-    mix = mix or Mix()
+def _plan(
+    df: DataFrame, doc_id: str, text: str, source: str, mix: Mix, seat: Column | None, tie: Column | None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` (doc_id, size, _tie, _seat, and number, source_size, target, n_docs of their source), and sources."""
     sized = df.select(
         quoted(doc_id).alias("doc_id"),
         quoted(source).cast("string").alias("source"),
@@ -177,24 +164,106 @@ def mix_sources(
     sized = stage(sized, "sizes")
     sources = stage(plan_blocks(source_targets(sized, mix), mix), "sources")
     named = sized.join(sources.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of")))
-    named = named.select("doc_id", "size", "_tie", "_seat", "number", "source_size", "target", "n_docs")
-    located = _located(named, mix.bucket_rows)
+    return named.select("doc_id", "size", "_tie", "_seat", "number", "source_size", "target", "n_docs"), sources
+
+
+def block_pieces(located: DataFrame, mix: Mix) -> DataFrame:
+    """One row per piece of a document in a block: _seat, doc_id, number, block, at (its first word's place in the
+    stream of the source), first_word (that in the document), words; and piece, its text, if ``located`` has a
+    column ``_words`` with the words of each text."""
     length = F.lit(mix.block_words)
     end = F.col("_start") + F.col("size")
-    parts = located.where("size > 0").select(
-        "_seat",
-        "number",
-        "_start",
+    found = located.where("size > 0").select(
+        *located.columns,
         end.alias("_end"),
         F.explode(F.sequence(F.floor(F.col("_start") / length), F.floor((end - 1) / length))).alias("block"),
     )
-    inside = F.least("_end", (F.col("block") + 1) * length) - F.greatest("_start", F.col("block") * length)
-    parts = parts.select("_seat", "number", "block", inside.alias("_words"))
+    at = F.greatest("_start", F.col("block") * length)
+    first, n = at - F.col("_start"), F.least("_end", (F.col("block") + 1) * length) - at
+    own = ["_seat", "doc_id", "number", "block", at.alias("at"), first.alias("first_word"), n.alias("words")]
+    if "_words" in located.columns:
+        own.append(F.array_join(F.slice("_words", (first + 1).cast("int"), n.cast("int")), "").alias("piece"))
+    return found.select(*own)
+
+
+def _drawn(pieces: DataFrame, sources: DataFrame, mix: Mix) -> DataFrame:
+    """The blocks of the mix, a row per slot: those of ``shard_slots``, parts, and text if the pieces have theirs.
+
+    Pieces are put together once per block, of which there are at most as many as words in it; slots then meet
+    blocks in a join on (number, block), and a block comes at most ``most_repeats`` times.
+    """
+    part = F.struct("at", "_seat", "doc_id", "first_word", "words")
+    made = [F.sort_array(F.collect_list(part)).alias("parts")]
+    if "piece" in pieces.columns:
+        found = F.sort_array(F.collect_list(F.struct("at", "piece")))
+        made.append(F.array_join(F.transform(found, lambda x: x["piece"]), mix.between).alias("text"))
+    blocks = pieces.groupBy("number", "block").agg(*made)
     # Written before it is joined: pushing filters through the rounds of a permutation would multiply them.
-    uses = stage(shard_slots(sources, mix).groupBy("number", "block").agg(F.count(F.lit(1)).alias("_uses")), "uses")
-    taken = parts.join(uses, ["number", "block"]).groupBy("_seat").agg(
-        F.sum(F.col("_words") * F.col("_uses")).alias("taken")
+    slots = stage(shard_slots(sources, mix), "slots")
+    return slots.join(blocks, ["number", "block"])
+
+
+def mix_blocks(
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    mix: Mix | None = None,
+) -> DataFrame:
+    """The mix itself, one row per slot: shard, slot, source, pass, block, n_words, text, documents.
+
+    The words of a source form one stream in a hash order of its documents, cut into blocks; ``text`` is what a
+    block holds, with the white space after each word, and ``mix.between`` between documents. ``documents`` says
+    whose words these are, in order: doc_id, first_word, words. Slots of all shards but the last run from 0 to
+    ``shard_blocks`` - 1. White space before a text's first word is not kept. What holds for nulls, empty texts and
+    repeated rows is said at ``mix_sources``.
+    """
+    mix = mix or Mix()
+    seat, words = free_name(df, "seat"), free_name(df, "words")
+    tie = F.xxhash64(*map(quoted, df.columns))
+    fixed = stage(df.withColumn(seat, F.monotonically_increasing_id()), "mixing")
+    named, sources = _plan(fixed, doc_id, text, source, mix, F.col(seat), tie)
+    located = _located(named, mix.bucket_rows).select("_seat", "doc_id", "number", "size", "_start")
+    texts = fixed.select(
+        F.col(seat).alias("_seat"), F.regexp_extract_all(quoted(text), F.lit(SPACED_WORD_SQL), F.lit(0)).alias("_words")
     )
+    drawn = _drawn(block_pieces(located.join(texts, "_seat"), mix), sources, mix)
+    names = F.broadcast(sources.select("number", "source"))
+    return drawn.join(names, "number").select(
+        "shard",
+        "slot",
+        "source",
+        "pass",
+        "block",
+        F.aggregate("parts", F.lit(0).cast("bigint"), lambda n, x: n + x["words"]).alias("n_words"),
+        "text",
+        F.transform("parts", lambda x: F.struct(x["doc_id"], x["first_word"], x["words"])).alias("documents"),
+    )
+
+
+def mix_sources(
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    mix: Mix | None = None,
+    seat: Column | None = None,
+    tie: Column | None = None,
+) -> DataFrame:
+    """doc_id, size, source_size, target, taken: one row for each row of ``df``.
+
+    ``seat`` may name rows and ``tie`` hash them; both are returned if they are given.
+
+    ``taken`` counts the words of a document in the blocks of the mix (``mix_blocks`` gives those with their text), with
+    repeats, never over ``most_repeats`` times its size. Slots and blocks meet in a join on (source, block), which has
+    about as many keys as blocks, so a hot source spreads over all tasks. Null texts and texts without words have size 0 and take nothing; null sources are a source, the
+    last one; null ids are ordinary; equal rows are interchangeable; an empty frame gives an empty frame. The
+    result depends on the rows alone, not on their order or partitions.
+    """
+    mix = mix or Mix()
+    named, sources = _plan(df, doc_id, text, source, mix, seat, tie)
+    drawn = _drawn(block_pieces(_located(named, mix.bucket_rows), mix), sources, mix)
+    taken = drawn.select(F.explode("parts").alias("p")).groupBy("p._seat").agg(F.sum("p.words").alias("taken"))
     out = named.join(taken, "_seat", "left")
     kept = ["doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")]
     if seat is None:

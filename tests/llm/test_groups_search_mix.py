@@ -165,6 +165,32 @@ def test_mix_meets_targets(spark):
         assert abs(taken[s] - want[s]) < 0.005 * want[s] + 64
 
 
+def test_mixed_blocks_hold_the_words_that_are_taken(spark):
+    rng = random.Random(6)
+    spaces = [" ", "\n", " \t ", "\n\n"]
+    rows = [(i, rng.choice(["", " "]) + "".join(f"d{i}w{k}" + rng.choice(spaces) for k in range(rng.choice([0, 1, 5, 40, 300]))), rng.choice(["a", "b", None])) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("words", F.lit(1))
+    mix = mixing.Mix(shard_blocks=64)
+    blocks = mixing.mix_blocks(df, mix=mix).collect()
+    texts, taken, passes = {i: WORD.findall(t) for i, t, _ in rows}, {}, set()
+    whole = {i: t for i, t, _ in rows}
+    for r in blocks:
+        want = []
+        for d in r["documents"]:
+            want += texts[d["doc_id"]][d["first_word"] : d["first_word"] + d["words"]]
+            taken[d["doc_id"]] = taken.get(d["doc_id"], 0) + d["words"]
+            assert rows[d["doc_id"]][2] == r["source"]
+        assert WORD.findall(r["text"]) == want and len(want) == r["n_words"] <= 32
+        if len(r["documents"]) == 1:
+            assert r["text"] in whole[r["documents"][0]["doc_id"]]
+        passes.add((r["source"], r["pass"], r["block"]))
+    assert len(passes) == len(blocks) > 100
+    n = len(blocks)
+    assert {(r["shard"], r["slot"]) for r in blocks} == {(i // 64, i % 64) for i in range(n)}
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix_sources(df, mix=mix).collect()} == {i: taken.get(i, 0) for i in texts}
+    assert mixing.mix_blocks(df.where("false")).count() == 0
+
+
 def test_mix_of_awkward_rows(spark):
     rows = [(i, "w " * (i % 9), s) for i, s in enumerate(["a", "b", None, "Ä", "z"] * 30)]
     rows += [(None, "one two three", "a"), (5, None, "b"), (5, None, "b"), (6, "x " * 70_000, None), (7, "", "empty")]
