@@ -274,17 +274,26 @@ def mix_sources(
 def mixed_documents(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", mix: Mix | None = None
 ) -> DataFrame:
-    """The rows of ``df`` as often as the mix takes them: taken / size times, the fraction settled by a hash.
+    """The rows of ``df`` as often as it takes to give each source the words that the mix takes of it, exactly.
 
-    A document without words holds nothing to take and is left out. No row comes more than ``most_repeats`` times.
+    Every document of a source comes as often as the words to take hold the whole source. The rest comes from the
+    first documents in the hash order of the source, once more each; of the last one only the first words that are still
+    wanted, so at most one text for each source is cut. A document without words holds nothing to take and is left
+    out. No row comes more than ``most_repeats`` times.
     """
     mix = mix or Mix()
-    seat, copy = free_name(df, "seat"), free_name(df, "copy")
+    seat, copy, size = free_name(df, "seat"), free_name(df, "copy"), free_name(df, "all_words")
     fixed = stage(df.withColumn(seat, F.monotonically_increasing_id()), "mixing")
     tie = F.xxhash64(*map(quoted, df.columns))
-    taken = mix_sources(fixed, doc_id, text, source, mix, F.col(seat), tie).where("taken > 0")
-    rate = F.col("taken") / F.col("size")
-    chance = F.pmod(F.xxhash64(F.lit(mix.seed + 2), "tie"), F.lit(1 << 30)) / (1 << 30)
-    copies = F.floor(rate) + F.when(chance < rate - F.floor(rate), 1).otherwise(0)
-    counts = taken.select(F.col("seat").alias(seat), F.array_repeat(F.lit(1), copies.cast("int")).alias(copy))
-    return fixed.join(counts, seat).withColumn(copy, F.explode(copy)).select(*map(quoted, df.columns))
+    named, _ = _plan(fixed, doc_id, text, source, mix, F.col(seat), tie)
+    located = _located(named, mix.bucket_rows).where("size > 0")
+    wanted = F.least(F.round("target").cast("bigint"), F.col("source_size") * mix.most_repeats)
+    whole = F.floor(wanted / F.col("source_size"))
+    more = F.greatest(F.lit(0), F.least("size", wanted - whole * F.col("source_size") - F.col("_start")))
+    words = F.concat(
+        F.array_repeat(F.col("size"), whole.cast("int")), F.when(more > 0, F.array(more)).otherwise(F.array().cast("array<bigint>"))
+    )
+    counts = located.select(F.col("_seat").alias(seat), F.col("size").alias(size), F.explode(words).alias(copy))
+    first = F.slice(F.regexp_extract_all(quoted(text), F.lit(SPACED_WORD_SQL), F.lit(0)), 1, F.col(copy).cast("int"))
+    cut = F.when(F.col(copy) < F.col(size), F.array_join(first, "")).otherwise(quoted(text))
+    return fixed.join(counts, seat).select(*[cut.alias(c) if c == text else quoted(c) for c in df.columns])

@@ -1,7 +1,9 @@
 """The stages of the corpus pipeline, each against what its operator decides."""
 
 import corpus_pipeline as pipeline
-from stationflow.llm import quality, simhash
+from pyspark.sql import functions as F
+
+from stationflow.llm import mixing, quality, simhash
 from stationflow.llm.queries import ORACLES, QUERIES
 
 from oracle_check import connect, difference, rows_of_spark, rows_of_sql
@@ -27,6 +29,23 @@ def test_stages_follow_one_another(spark):
     assert packed.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
 
 
+def test_mixing_stage_meets_the_target_of_each_source(spark):
+    """Also where one document is most of its source."""
+    rows = [(i, f"w{i} " * 7, "a") for i in range(9)] + [(9, "long\n" * 5000, "a"), (10, "x y " * 4000, "b"), (11, "z " * 900, "c")]
+    docs = spark.createDataFrame(rows + [(12, " ", "c"), (13, None, "b")], "doc_id bigint, text string, source string")
+    for name in ("size", "_size", "copy", "words", "seat"):
+        docs = docs.withColumn(name, F.lit(1))
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    target = {r["doc_id"]: r["target"] for r in mixing.mix_sources(docs).collect()}
+    sizes = dict((r["source"], r["n"]) for r in mixed.groupBy("source").agg(F.sum(mixing.n_words(F.col("text"))).alias("n")).collect())
+    assert all(abs(sizes[s] - target[i]) <= 1 for i, s in ((0, "a"), (10, "b"), (11, "c"))), (sizes, target)
+    whole = {r["doc_id"]: r["text"] for r in docs.collect()}
+    parts = [r["source"] for r in mixed.collect() if r["text"] != whole[r["doc_id"]]]
+    assert all(r["text"] == whole[r["doc_id"]][: len(r["text"])] for r in mixed.collect())
+    assert len(parts) == len(set(parts)) and {12, 13}.isdisjoint(r["doc_id"] for r in mixed.collect())
+
+
 def test_stages_take_an_empty_table(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").where("false")
     for _, stage in pipeline.STAGES:
