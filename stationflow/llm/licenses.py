@@ -46,11 +46,12 @@ FOUND = (
 
 @dataclass(frozen=True)
 class Scan:
-    """A block reaches from the start of the line with a trigger word over ``lines`` lines, at most ``reach``
-    characters to either side. A winner holds ``least_saved`` of its template's compressed size, and differs from it
+    """A block reaches from ``lines_before`` lines before the line with a trigger word over ``lines`` lines, at most
+    ``reach`` characters to either side; what lies before and after a find in it is scanned again. A winner holds ``least_saved`` of its template's compressed size, and differs from it
     in at most ``most_different`` of the words, never in a number."""
 
     lines: int = 5
+    lines_before: int = 2
     reach: int = 1500
     level: int = 3
     least_saved: float = 0.25
@@ -111,22 +112,44 @@ def _scanner(templates: dict[str, str], scan: Scan):
                     best = found
         return best
 
+    def best_of(text: str, starts: list[int], stop: int) -> dict | None:
+        """The winner with the fewest different words over blocks from each of ``starts``: lines before a notice can hide it."""
+        best = None
+        for start in starts:
+            found = winner(text[start:stop])
+            if found and (best is None or found["different_words"] < best["different_words"]):
+                best = found | {"start": found["start"] + start, "stop": found["stop"] + start}
+        return best
+
+    def scan_block(text: str, start: int, stop: int) -> list[dict]:
+        """Every find from ``start`` to ``stop``, in order: the winner, and those of what lies before and after it."""
+        out, spans = [], [(start, stop)]
+        while spans:
+            a, b = spans.pop()
+            hit = TRIGGER.search(text, a, b)
+            line = max(a, text.rfind("\n", a, hit.start()) + 1) if hit else a
+            if hit and (found := best_of(text, sorted({a, line}), b)):
+                out.append(found)
+                spans += [(a, found["start"]), (found["stop"], b)]
+        return sorted(out, key=lambda x: x["start"])
+
     def find(data: bytes | None) -> list[dict]:
         text = (data or b"").decode("utf-8", "replace")
         out, covered = [], 0
         for hit in TRIGGER.finditer(text):
             if hit.start() < covered:
                 continue
-            start = max(covered, text.rfind("\n", 0, hit.start()) + 1, hit.start() - scan.reach)
+            start = text.rfind("\n", 0, hit.start())
+            for _ in range(scan.lines_before):
+                start = text.rfind("\n", 0, max(0, start))
+            start = max(covered, start + 1, hit.start() - scan.reach)
             stop = hit.end()
             for _ in range(scan.lines):
                 line = text.find("\n", stop, hit.end() + scan.reach)
                 stop = line + 1 if line >= 0 else min(len(text), hit.end() + scan.reach)
-            if found := winner(text[start:stop]):
-                found["start"] += start
-                found["stop"] += start
-                covered = found["stop"]
-                out.append(found)
+            if found := scan_block(text, start, stop):
+                covered = found[-1]["stop"]
+                out += found
         return out
 
     return find
@@ -142,7 +165,8 @@ def scan_licenses(
     """``df`` with an array ``into`` of the license wordings of each text, with spans in code points.
 
     Each candidate block is compressed alone and with every template as raw dictionary; templates are tried in the
-    order of how much they save, and the first whose words differ little enough is taken, with the differences.
+    order of how much they save, and the first whose words differ little enough is taken, with the differences. The
+    rest of the block before and after it is tried again, until no template is confirmed.
     One map, no shuffle; templates are a short list. Null and empty texts give an empty array; rows are scanned
     one by one; an existing column ``into`` is replaced.
     """

@@ -171,6 +171,28 @@ def test_licenses_are_named_with_their_differences(line, name, exact):
     assert text[found[0]["start"] : found[0]["stop"]].lower().startswith(line.split()[0].lower())
 
 
+SHORT = ("Apache-2.0", "CC-BY-4.0", "CC-BY-NC-4.0", "GPL-2.0", "MIT", "MPL-2.0")
+
+
+@pytest.mark.parametrize("between", ["\n", " ", "\n\n"])
+def test_both_of_two_near_notices_are_found(between):
+    find = licenses._scanner(licenses.TEMPLATES, licenses.Scan())
+    for one in SHORT:
+        for two in SHORT:
+            text = "some words before\n" + licenses.TEMPLATES[one] + between + licenses.TEMPLATES[two] + "\nand after\n"
+            assert [(f["license"], f["exact"]) for f in find(text.encode())] == [(one, True), (two, True)], (one, two)
+
+
+def test_wrapped_notices_are_found_from_their_first_word():
+    find = licenses._scanner(licenses.TEMPLATES, licenses.Scan())
+    wrapped = "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0."
+    for name, notice in [("MPL-2.0", wrapped), ("Apache-2.0-header", licenses.TEMPLATES["Apache-2.0-header"].replace("; ", ";\n"))]:
+        text = "a line of code\nanother one\n\n" + notice + "\nthe end\n"
+        found = find(text.encode())
+        assert [(f["license"], f["exact"]) for f in found] == [(name, True)]
+        assert found[0]["start"] == text.index(notice[:10])
+
+
 def test_a_talk_about_licenses_is_no_license():
     text = "The license of a driver is checked by the office, and copyright is another matter to discuss at length."
     assert licenses._scanner(licenses.TEMPLATES, licenses.Scan())(text.encode()) == []
