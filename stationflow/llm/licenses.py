@@ -35,8 +35,56 @@ TEMPLATES = {
         'associated documentation files (the "Software"), to deal in the Software without restriction'
     ),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version."
+    ),
+    "GPL-2.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation, either version 2 of the "
+        "License, or (at your option) any later version."
+    ),
+    "GPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version."
+    ),
+    "LGPL-2.1-header": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the "
+        "License, or (at your option) any later version."
+    ),
+    "LGPL-3.0-header": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version."
+    ),
+    "CC-BY-4.0-header": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-NC-4.0-header": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-ND-4.0-header": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0-header": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-ND-4.0-header": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-SA-4.0-header": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC0-1.0-header": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+        "rights to this software to the public domain worldwide. This software is distributed without any warranty."
+    ),
+    "EPL-2.0-header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0"
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software"
+    ),
 }
-TRIGGER = re.compile(r"licen[sc]e|copyright|hereby granted|redistribution|creative commons|\bcc by", re.I)
+TRIGGER = re.compile(r"licen[sc]e|copyright|hereby granted|redistribution|creative commons|\bcc by|public domain", re.I)
 WORD = re.compile(r"\w+(?:[.-]\w+)*")
 FOUND = (
     "array<struct<license: string, start: int, stop: int, reduction: double, different_words: int, "
@@ -46,12 +94,13 @@ FOUND = (
 
 @dataclass(frozen=True)
 class Scan:
-    """A block reaches from ``lines_before`` lines before the line with a trigger word over ``lines`` lines, at most
+    """A block reaches from ``lines_before`` lines before the line with a trigger word over ``lines`` lines, or those
+    that the longest template fills at 30 characters each, at most
     ``reach`` characters to either side; what lies before and after a find in it is scanned again. A winner holds ``least_saved`` of its template's compressed size, and differs from it
     in at most ``most_different`` of the words, never in a number."""
 
     lines: int = 5
-    lines_before: int = 2
+    lines_before: int = 4
     reach: int = 1500
     level: int = 3
     least_saved: float = 0.25
@@ -84,6 +133,8 @@ def _scanner(templates: dict[str, str], scan: Scan):
         press = zstandard.ZstdCompressor(dict_data=known, write_dict_id=False, **options)
         kinds.append((name, press, len(plain.compress(data)), [w.lower() for w in WORD.findall(wording)]))
 
+    lines = max([scan.lines, *(len(wording) // 30 for wording in templates.values())])
+
     def winner(block: str) -> dict | None:
         """Templates by what they save, and the first one that the words confirm; longer wordings go first if equal."""
         data = block.lower().encode()
@@ -144,7 +195,7 @@ def _scanner(templates: dict[str, str], scan: Scan):
                 start = text.rfind("\n", 0, max(0, start))
             start = max(covered, start + 1, hit.start() - scan.reach)
             stop = hit.end()
-            for _ in range(scan.lines):
+            for _ in range(lines):
                 line = text.find("\n", stop, hit.end() + scan.reach)
                 stop = line + 1 if line >= 0 else min(len(text), hit.end() + scan.reach)
             if found := scan_block(text, start, stop):

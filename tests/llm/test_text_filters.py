@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -193,6 +194,16 @@ def test_wrapped_notices_are_found_from_their_first_word():
         assert found[0]["start"] == text.index(notice[:10])
 
 
+@pytest.mark.parametrize("width", [45, 76])
+def test_every_template_is_told_from_the_others_when_wrapped(width):
+    find = licenses._scanner(licenses.TEMPLATES, licenses.Scan())
+    assert {"AGPL-3.0-header", "CC0-1.0-header", "EPL-2.0-header", "ISC", "LGPL-3.0-header", "Unlicense"} <= set(licenses.TEMPLATES)
+    for name, wording in licenses.TEMPLATES.items():
+        notice = "\n# ".join(textwrap.wrap(wording, width, break_on_hyphens=False))
+        found = find(("code here\n\n# " + notice + "\nmore code\n").encode())
+        assert [(f["license"], f["exact"]) for f in found] == [(name, True)], name
+
+
 def test_a_talk_about_licenses_is_no_license():
     text = "The license of a driver is checked by the office, and copyright is another matter to discuss at length."
     assert licenses._scanner(licenses.TEMPLATES, licenses.Scan())(text.encode()) == []
