@@ -6,8 +6,23 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import language_model, licenses, mixing, packing, quality, search, simhash, tokens, toxicity, urls
+from stationflow.llm import (
+    collocations,
+    decontamination,
+    language_model,
+    licenses,
+    mixing,
+    packing,
+    prefix_trie,
+    quality,
+    search,
+    simhash,
+    tokens,
+    toxicity,
+    urls,
+)
 from stationflow.llm.common import reach_workers
+from stationflow.llm.sql import COLLOCATIONS, PASSAGES, PREFIX_TRIE
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 RULES = (
@@ -78,6 +93,20 @@ def op10_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op11_vertical_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op12_winnowed_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontamination.find_passages(documents.select("doc_id", "text"), benchmark.select("item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op13_screened_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_compression_bands": op1_compression_bands,
     "op2_url_trees": op2_url_trees,
@@ -89,6 +118,9 @@ QUERIES = {
     "op8_prefix_counts": op8_prefix_counts,
     "op9_multiple_instance_toxicity": op9_multiple_instance_toxicity,
     "op10_multinomial_mix": op10_multinomial_mix,
+    "op11_vertical_collocations": op11_vertical_collocations,
+    "op12_winnowed_passages": op12_winnowed_passages,
+    "op13_screened_prefix_trie": op13_screened_prefix_trie,
 }
 
 ORACLES = {
@@ -108,4 +140,7 @@ ORACLES = {
         )
         select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
     """,
+    "op11_vertical_collocations": COLLOCATIONS,
+    "op12_winnowed_passages": PASSAGES,
+    "op13_screened_prefix_trie": PREFIX_TRIE,
 }
