@@ -23,6 +23,7 @@ _MAP = bytes(0xFF if b in PIECE_END else 0x20 if b == 9 else b + 32 if 65 <= b <
 END = b"\xff"
 ID_BITS = 21
 NO_WORD = (1 << ID_BITS) - 1
+RANK_PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -444,7 +445,12 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", mining:
     share = F.col("inside").cast("decimal(19,0)") * 100 >= F.col("a").cast("decimal(19,0)") * mining.swallowed
     kept = kept.where(F.col("inside").isNull() | ~share)
 
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= mining.top)
+    # The best of a language are among the best of its parts, so no task orders all phrases of a language.
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    parted = Window.partitionBy("lang", part).orderBy(*order)
+    kept = kept.withColumn("rank", F.row_number().over(parted)).where(F.col("rank") <= mining.top)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    ranked = kept.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= mining.top)
     ranked = ranked.join(broadcast_if_small(totals), "lang")
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("bigint").alias("score"))
