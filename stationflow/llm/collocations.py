@@ -37,7 +37,7 @@ class Mining:
     least: int = 10
     swallowed: int = 50
     top: int = 2000
-    budget: int = 1 << 21
+    budget: int = 1 << 20
     classes: int = 1 << 16
     flush: int = 1 << 20
     slice_bytes: int = 1 << 22
