@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from stationflow.spec import SeriesSpec
+from stationflow.storage import broadcast_if_small, stage
 
 # Output column suffixes and names.
 INDEX, ONE_HOT = "_idx", "_vec"
@@ -38,3 +40,29 @@ def base_preparation(spec: SeriesSpec) -> Pipeline:
 def fit_base(train: DataFrame, spec: SeriesSpec) -> PipelineModel:
     """The common preparation, fitted once."""
     return base_preparation(spec).fit(train)
+
+
+def label_index(rows: DataFrame, key: str) -> DataFrame:
+    """(key, idx) of every label: falling frequency, ties by label, from 0; null labels have none.
+
+    The same order as the indexer of ``preparation``, which takes all labels to the driver and into every task. Here
+    they stay a table: labels are counted, range-partitioned in that order, numbered inside their part, and the sizes
+    of the parts before are added. Only these sizes, one row a part, meet in one task.
+    """
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    order = (F.desc("_n"), F.asc(key))
+    # Written, so that a part keeps its number and rows whatever is computed again.
+    parts = stage(counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "index")
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    numbered = parts.withColumn("_inside", inside).join(F.broadcast(sizes), "_part")
+    return numbered.select(key, (F.col("_first") + F.col("_inside")).alias("idx"))
+
+
+def with_label_index(rows: DataFrame, index: DataFrame, key: str, into: str) -> DataFrame:
+    """``rows`` with the index of their label; labels that are not in it, and null, get the next free number."""
+    size = index.agg(F.count(F.lit(1)).alias("_unseen"))
+    found = rows.join(broadcast_if_small(index.withColumnRenamed("idx", "_idx")), key, "left").join(F.broadcast(size))
+    return found.withColumn(into, F.coalesce("_idx", "_unseen")).drop("_idx", "_unseen")

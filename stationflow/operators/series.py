@@ -48,9 +48,13 @@ class Series:
         spec: SeriesSpec,
         max_rows: int = MAX_ROWS_PER_TASK,
         superset: DataFrame | None = None,
+        laid_out: bool = False,
     ) -> Series:
         """Count rows per entity (one narrow, map-side combined job) and set long ones apart.
 
+        ``laid_out`` says that ``df`` reads a table bucketed by the entity: its rows are where windows need them,
+        so ordinary entities are not shuffled.
+
         ``superset`` may name a frame with at least these rows that is cheaper to count. ``counted`` keeps the
         number of rows found, i.e. an upper bound.
         """
@@ -59,7 +63,7 @@ class Series:
         sizes = source.groupBy(spec.entity).count().agg(F.sum("count"), F.collect_list(hot)).first()
         counted, hot = sizes[0] or 0, sizes[1]
         if not hot:
-            return cls(spec, partitioned_for(df, counted, spec.entity), counted=counted)
+            return cls(spec, df if laid_out else partitioned_for(df, counted, spec.entity), counted=counted)
         # Each name listed stands for more than max_rows rows, so the list is at most rows / max_rows.
         names = df.sparkSession.createDataFrame(
             [(row[0],) for row in hot], df.select(spec.entity).schema
@@ -72,7 +76,8 @@ class Series:
             .withColumn(BLOCK, F.spark_partition_id())
         )
         rest = df.join(F.broadcast(names), spec.entity, "left_anti").select(df.columns)
-        rest = partitioned_for(rest, counted - counted_long, spec.entity)
+        if not laid_out:
+            rest = partitioned_for(rest, counted - counted_long, spec.entity)
         return cls(spec, rest, stage(long, "blocks"), counted, counted_long)
 
     def each(self, change: Callable[[DataFrame], DataFrame]) -> Series:

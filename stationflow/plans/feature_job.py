@@ -17,10 +17,14 @@ def labelled_series(
     spec: SeriesSpec,
     threshold: float = RAIN_THRESHOLD,
     max_rows: int = MAX_ROWS_PER_TASK,
+    laid_out: bool = False,
 ) -> Series:
-    """Parsed, labelled rows that have both targets, not yet imputed."""
+    """Parsed, labelled rows that have both targets, not yet imputed.
+
+    From a table bucketed by the entity (``laid_out``) the windows of ordinary entities need no shuffle.
+    """
     # Counting before parsing reads the entity column only.
-    series = Series.of(parsed(cleaned, spec), spec, max_rows, superset=cleaned)
+    series = Series.of(parsed(cleaned, spec), spec, max_rows, superset=cleaned, laid_out=laid_out)
     return with_targets(series.each(lambda rows: with_rain(rows, threshold))).each(drop_without_target)
 
 
@@ -30,13 +34,14 @@ def preprocessed_series(
     threshold: float = RAIN_THRESHOLD,
     max_rows: int = MAX_ROWS_PER_TASK,
     exact: bool = True,
+    laid_out: bool = False,
 ) -> Series:
     """Labelled rows with missing measures filled.
 
     Filling comes last on purpose: a row whose own measure was missing keeps its null depression (and is
     dropped later), while its neighbours' lags and means see the filled value.
     """
-    series = labelled_series(cleaned, spec, threshold, max_rows)
+    series = labelled_series(cleaned, spec, threshold, max_rows, laid_out)
     rows = series.frame()
     if exact:
         medians = exact_medians(rows, spec.measures, at_most=series.counted)

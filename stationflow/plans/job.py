@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stationflow.operators.clean import canonical, parsed
 from stationflow.operators.evaluate import DECIDING_METRIC, compare_models
 from stationflow.operators.labels import with_rain, with_regression_label
-from stationflow.operators.models import Trainer
+from stationflow.operators.models import CLASSIFIERS, REGRESSORS, Trainer
 from stationflow.operators.profile import all_present, positive_ratio, summary_frame
 from stationflow.operators.sampling import split_column
 from stationflow.plans.feature_job import feature_rows
@@ -40,7 +40,7 @@ AUDITS = "stage string, before bigint, after bigint, removed bigint"
 
 
 # What a run writes below its folder; nothing else there is touched.
-OUTPUTS = ("clean", "features", "models", "metrics", "audits", "comparison", "confusion")
+OUTPUTS = ("clean", "features", "models", "metrics", "audits", "comparison", "confusion", "predictions")
 
 
 def run(
@@ -86,8 +86,8 @@ def _run(spark, observations, metadata, out, stations, minimum, settings, thresh
     log.info("train %d rows, test %d rows", *sizes)
     labelled = with_regression_label(train)
     trainer = Trainer(labelled, spec, f"{out}/models", settings)
-    classification, matrices = run_classification(trainer, test)
-    regression = run_regression(trainer, test)
+    classification, matrices = run_classification(trainer, test, CLASSIFIERS, f"{out}/predictions/clf")
+    regression = run_regression(trainer, test, REGRESSORS, f"{out}/predictions/reg")
     save_frame(matrices.coalesce(1), f"{out}/confusion")
     metrics = classification.unionByName(regression)
     for row in matrices.collect():

@@ -224,6 +224,18 @@ def _widths() -> str:
     return f"{len(NUMERIC)} + (select count(distinct StationID) from features) + 1"
 
 
+def _vector_sums() -> str:
+    numeric = " union all ".join(
+        f"""select cast({at} as bigint) as "at", coalesce(sum("{n}") / nullif(stddev_samp("{n}"), 0), 0) as total from features"""
+        for at, n in enumerate(NUMERIC)
+    )
+    return feed(f"""select "at", round(total, 3) + cast(0 as double) as total from ({numeric}
+        union all select {len(NUMERIC)} + idx, coalesce(k / nullif(sqrt(k * (n - k) / (n * (n - 1))), 0), 0)
+          from ({RANKED}) r join (select StationID, cast(count(*) as double) as k from features group by StationID) c
+            using (StationID), (select cast(count(*) as double) as n from features) a
+        union all select {len(NUMERIC)} + (select count(distinct StationID) from features), 0) s""")
+
+
 def _scaled() -> str:
     stats = ", ".join(f'stddev_samp("{n}") as "s_{n}"' for n in NUMERIC)
     shown_columns = ", ".join(
@@ -238,11 +250,19 @@ def _scaled() -> str:
 RANKED = """select StationID, row_number() over (order by count(*) desc, StationID) - 1 as idx
   from features group by StationID"""
 
+_STAGED = feed("""select cast(50 as bigint) as stages, cast(0 as bigint) as rises, count(*) as rows, count(*) as agreeing
+    from features where split = 'train'""")
 ORACLES: dict[str, str] = {
     "a01_read_observations": feed(f"""select r.StationID, DATE, {r6("s.longitude")} as LONGITUDE,
         {r6("s.latitude")} as LATITUDE, {r6("TMP")} as TMP, {r6("DEW")} as DEW, {r6("WND_ANGLE")} as WND_ANGLE,
         {r6("WND_RATE")} as WND_RATE, {r6("SLP")} as SLP, MASK, cast(null as double) as TIME_DIFF
         from raw r left join stations s on r.StationID = s.StationID"""),
+    "a01_mixed_headers": feed(f"""select r.StationID, DATE, {r6("s.longitude")} as LONGITUDE,
+        {r6("s.latitude")} as LATITUDE, {r6("TMP")} as TMP, {r6("DEW")} as DEW, {r6("WND_ANGLE")} as WND_ANGLE,
+        case when kind < 2 then {r6("WND_RATE")} end as WND_RATE, case when kind < 2 then {r6("SLP")} end as SLP,
+        MASK, cast(null as double) as TIME_DIFF
+        from (select *, cast(substr(StationID, 2) as bigint) % 3 as kind from raw) r
+        left join stations s on r.StationID = s.StationID"""),
     "a02_entity_from_file": feed("select StationID, count(*) as rows from raw group by StationID"),
     "a03_read_stations": feed(f"""select StationID, StationID || '.csv' as file_name,
         {r6("latitude")} as latitude, {r6("longitude")} as longitude, {r6("ELEVATION")} as ELEVATION,
@@ -291,6 +311,12 @@ ORACLES: dict[str, str] = {
         join (values {REGIONS}) r(region, south, north, west, east)
           on latitude between south and north and longitude between west and east
         where not (latitude = 0 and longitude = 0)"""),
+    "b13_region_table": feed("""select box, StationID from (
+          select c_custkey as box, cast((c_custkey * 37) % 181 - 90 as double) as south,
+            cast((c_custkey * 73) % 361 - 180 as double) as west, (c_custkey % 7) * (c_custkey % 5) as high,
+            (c_custkey % 11) * (c_custkey % 9) * (c_custkey % 3) as wide from customer) b
+        join stations on latitude between south and south + high and longitude between west and west + wide
+        where not (latitude = 0 and longitude = 0)"""),
     "b14_located": feed(f"""select StationID, {r6("latitude")} as latitude, {r6("longitude")} as longitude
         from stations where not (latitude = 0 and longitude = 0)"""),
     "b15_map_points": feed(f"""select StationID as Station, {r6("latitude")} as latitude,
@@ -431,6 +457,31 @@ ORACLES: dict[str, str] = {
     "h11_normal_equations": feed(f"""select inputs, inputs as orthogonal from (select cast({_widths()}
         - (select count(distinct StationID) from features)
         + (select count(distinct StationID) from features where split = 'train') as bigint) as inputs) x"""),
+    "h09_walked": feed("select count(*) as rows, count(*) as agreeing from features where split = 'test'"),
+    "h12_walked": feed("select count(*) as rows, count(*) as agreeing from features where split = 'test'"),
+    "h10_staged_loss": _STAGED,
+    "h13_staged_loss": _STAGED,
+    "h08_stationary": feed(f"""select inputs, inputs as flat, cast(1 as bigint) as flat_intercepts from (select cast({_widths()}
+        - (select count(distinct StationID) from features)
+        + (select count(distinct StationID) from features where split = 'train') as bigint) as inputs) x"""),
+    "h15_scores_by_join": feed("""select task, model, rows, rows as agreeing
+        from (values ('clf', 'lr'), ('reg', 'linear')) m(task, model),
+          (select count(*) as rows from features where split = 'test') r"""),
+    "h05_vector_sums": _vector_sums(),
+    "i01_auc_by_station": feed(f"""select StationID, cast(sum(y) as bigint) as positives,
+          cast(count(*) - sum(y) as bigint) as negatives, case when sum(y) > 0 and sum(y) < count(*) then
+          {r6("(sum(case when y = 1 then rk end) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * (count(*) - sum(y)))")} end as auc
+        from (select StationID, y, rank() over (partition by StationID order by s)
+                + (count(*) over (partition by StationID, s) - 1) / cast(2 as double) as rk
+              from (select StationID, label_clf as y, {CLASS_BASELINES["PERSISTENCE"][1]} as s from features) a) b
+        group by StationID"""),
+    "j03_classification_values": feed("""select 'classification' as task, model, metric, rows, true as same
+        from (values ('LR'), ('RF'), ('GBT')) m(model),
+          (values ('Accuracy'), ('Precision'), ('Recall'), ('F1-Score'), ('AUC-ROC')) v(metric),
+          (select count(*) as rows from features where split = 'test') r"""),
+    "j04_regression_values": feed("""select 'regression' as task, model, metric, rows, true as same
+        from (values ('LINEAR'), ('RF'), ('GBT')) m(model), (values ('RMSE'), ('MAE'), ('R2')) v(metric),
+          (select count(*) as rows from features where split = 'test') r"""),
     "h14_train_or_load": """select * from (values ('clf', 'lr', true, true, cast(5 as bigint)),
         ('reg', 'linear', true, true, cast(5 as bigint))) t(task, model, stored, same, stages)""",
     "h14_model_statements": feed("""select task, model, rows, rows as valid, true as beats_constant
@@ -457,6 +508,8 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["j02_feature_rows_in_blocks"] = ORACLES["j02_feature_rows"]
+ORACLES["d05_rolling_means_bucketed"] = ORACLES["d05_rolling_means"]
+ORACLES["h01_string_index_distributed"] = ORACLES["h01_string_index"]
 
 # The scalar functions are checked on every parsed row, before targets and imputation.
 for _name in [n for n in ORACLES if n.startswith("c0")]:

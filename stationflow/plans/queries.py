@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationflow.functions.calendar import calendar_columns
@@ -19,11 +19,13 @@ from stationflow.operators import evaluate as ev
 from stationflow.operators import features as ft
 from stationflow.operators import impute as im
 from stationflow.operators import labels as lb
+from stationflow.operators import linear as ln
 from stationflow.operators import models as md
 from stationflow.operators import prepare as pp
 from stationflow.operators import profile as pf
 from stationflow.operators import regions as rg
 from stationflow.operators import sampling as sp
+from stationflow.operators import trees as tr
 from stationflow.operators.series import Series
 from stationflow.plans import feature_job as fj
 from stationflow.plans import forecast as fc
@@ -172,6 +174,12 @@ def a01_read_observations(spark, sf):
     return tidy_types(ob.read_observations(spark, csv).drop("row_key"))
 
 
+@query
+def a01_mixed_headers(spark, sf):
+    """Files whose headers have other orders, fewer columns or one more."""
+    return tidy_types(ob.read_mixed_observations(spark, feed.write_mixed_files(spark, sf)).drop("row_key"))
+
+
 @query
 def a02_entity_from_file(spark, sf):
     csv = feed.write_observation_files(spark, sf)
@@ -332,6 +340,25 @@ def b13_regions(spark, sf):
     return rg.by_region(rg.located(feed.stations(spark, sf))).select("region", "StationID")
 
 
+def _boxes(spark, sf) -> DataFrame:
+    """A box for each customer, of very different sizes."""
+    number = F.col("c_custkey")
+    south, west = (number * 37) % 181 - 90.0, (number * 73) % 361 - 180.0
+    return spark.read.parquet(f"{sf}/customer.parquet").select(
+        F.col("c_custkey").cast("bigint").alias("box"),
+        south.alias("south"),
+        (south + number % 7 * (number % 5)).alias("north"),
+        west.alias("west"),
+        (west + number % 11 * (number % 9) * (number % 3)).alias("east"),
+    )
+
+
+@query
+def b13_region_table(spark, sf):
+    """Stations in the boxes of a table as long as the station table itself."""
+    return rg.in_boxes(rg.located(feed.stations(spark, sf)), _boxes(spark, sf)).select("box", "StationID")
+
+
 @query
 def b14_located(spark, sf):
     return tidy_types(rg.located(feed.stations(spark, sf)).select("StationID", "latitude", "longitude"))
@@ -475,6 +502,22 @@ def d05_rolling_means(spark, sf):
     return _rolled(spark, sf, "Temp_roll6h", "Temp_roll24h", "DewPoint_roll6h", "Pressure_roll6h")
 
 
+def bucketed_rows(spark, sf) -> DataFrame:
+    """Clean rows as a table bucketed by station."""
+    rows = clean_rows(spark, sf)
+    name = f"clean_{uuid.uuid4().hex}"
+    buckets = tb.bucket_count(feed.observations(spark, sf).count())
+    return tb.save_bucketed(rows, name, f"{work_dir(spark)}/{name}", FEED.entity, ("datetime", *FEED.tiebreak), buckets)
+
+
+@query
+def d05_rolling_means_bucketed(spark, sf):
+    """As d05_rolling_means, from a table bucketed by station: targets and means without a shuffle."""
+    filled = fj.preprocessed_series(bucketed_rows(spark, sf), FEED, laid_out=True)
+    names = ("Temp_roll6h", "Temp_roll24h", "DewPoint_roll6h", "Pressure_roll6h")
+    return keyed(ft.with_rolling(filled).frame(), *names)
+
+
 @query
 def d06_rolling_sums(spark, sf):
     return _rolled(spark, sf, "Rain_sum6h", "Rain_sum24h")
@@ -652,6 +695,14 @@ def h01_string_index(spark, sf):
     return _indexed_stations(spark, sf).select("StationID", F.col("StationID_idx").cast("bigint").alias("idx"))
 
 
+@query
+def h01_string_index_distributed(spark, sf):
+    """As h01_string_index, with the labels as a table from end to end."""
+    rows = feature_table(spark, sf).select("StationID")
+    index = pp.label_index(rows, "StationID")
+    return pp.with_label_index(rows.distinct(), index, "StationID", "idx").select("StationID", "idx")
+
+
 @query
 def h02_one_hot(spark, sf):
     dense = vector_to_array("StationID_vec")
@@ -852,6 +903,122 @@ def h15_batch_scoring(spark, sf):
     )
 
 
+def _stored_trees(spark, sf, task: str, name: str) -> tuple[DataFrame, DataFrame, md.Trainer]:
+    """Prepared rows with a key and the model's predictions, its node table, and the trainer; test rows first."""
+    trainer = _trainer(spark, sf)
+    model = trainer.model(task, name)
+    path = md.model_path(trainer.store, task, name, trainer.key)
+    return model, tr.tree_table(spark, path, model.stages[-1].uid), trainer
+
+
+def _said(model, rows: DataFrame, label: str) -> DataFrame:
+    """Key, label, vector and prediction of rows, written: the walk and the model are compared on the same ones."""
+    scored = model.transform(rows).select(*KEYS, F.col(label).alias("label"), "features", "prediction")
+    return stage(scored, "said")
+
+
+def _agreeing(said: DataFrame, walked: DataFrame) -> DataFrame:
+    both = said.join(walked, list(KEYS), "left")
+    near = F.abs(F.col("walked") - F.col("prediction")) <= 1e-9 * (1 + F.abs(F.col("prediction")))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(near).alias("agreeing"))
+
+
+@query
+def h09_walked(spark, sf):
+    """Votes of the stored forest by joins with its node table, against the fitted model, on every test row."""
+    model, trees, trainer = _stored_trees(spark, sf, "clf", "rf")
+    said = _said(model, split_tables(spark, sf)[1], md.TASK_LABEL["clf"])
+    ends = tr.walked(said.select(*KEYS, "features"), trees, trainer.settings.forest_depth)
+    return _agreeing(said, tr.forest_votes(ends, list(KEYS)))
+
+
+@query
+def h12_walked(spark, sf):
+    """Means of the stored forest by joins with its node table, against the fitted model, on every test row."""
+    model, trees, trainer = _stored_trees(spark, sf, "reg", "rf")
+    said = _said(model, split_tables(spark, sf)[1], md.TASK_LABEL["reg"])
+    ends = tr.walked(said.select(*KEYS, "features"), trees, trainer.settings.forest_depth)
+    return _agreeing(said, tr.forest_means(ends, list(KEYS)))
+
+
+def _staged(spark, sf, task: str) -> DataFrame:
+    """Stages of a boosted model over its training rows: how many, how often the loss rises, and whether the last
+    stage says what the fitted model says."""
+    model, trees, trainer = _stored_trees(spark, sf, task, "gbt")
+    said = _said(model, split_tables(spark, sf)[0], md.TASK_LABEL[task])
+    ends = tr.walked(said.select(*KEYS, "label", "features"), trees, trainer.settings.boost_depth)
+    margins = stage(tr.staged_margins(ends, list(KEYS)).select(*KEYS, "label", "tree", "margin"), "margins")
+    loss = (tr.log_loss if task == "clf" else tr.squared_loss)(F.col("label"), F.col("margin"))
+    # A row for each tree of the model.
+    losses = tr.staged_loss(margins, loss).withColumn("before", F.lag("loss").over(Window.partitionBy(F.lit(0)).orderBy("tree")))
+    counts = losses.agg(
+        F.count(F.lit(1)).alias("stages"), F.count_if(F.col("loss") > F.col("before") * (1 + 1e-12)).alias("rises")
+    )
+    last = margins.join(F.broadcast(trees.agg(F.max("tree").alias("tree"))), "tree")
+    final = F.when(F.col("margin") > 0, 1.0).otherwise(0.0) if task == "clf" else F.col("margin")
+    return counts.join(F.broadcast(_agreeing(said, last.select(*KEYS, final.alias("walked")))))
+
+
+@query
+def h10_staged_loss(spark, sf):
+    return _staged(spark, sf, "clf")
+
+
+@query
+def h13_staged_loss(spark, sf):
+    return _staged(spark, sf, "reg")
+
+
+@query
+def h08_stationary(spark, sf):
+    """At the fitted coefficients the penalised loss is flat in the direction of every input."""
+    train, _ = split_tables(spark, sf)
+    trainer = _trainer(spark, sf)
+    model = trainer.model("clf", "lr")
+    base = PipelineModel(stages=model.stages[:-1])
+    inputs = stage(ln.sparse_inputs(train, base, FEED, list(KEYS)), "inputs")
+    weights = ln.coefficients(model.stages[-1], train)
+    slopes = ln.logistic_gradient(inputs, train, weights, list(KEYS), md.TASK_LABEL["clf"], trainer.settings.l2)
+    flat = F.count_if((F.col("at") != ln.INTERCEPT) & (F.abs("gradient") < 1e-3)).alias("flat")
+    return slopes.agg(
+        F.count_if(F.col("at") != ln.INTERCEPT).alias("inputs"),
+        flat,
+        F.count_if((F.col("at") == ln.INTERCEPT) & (F.abs("gradient") < 1e-3)).alias("flat_intercepts"),
+    )
+
+
+@query
+def h15_scores_by_join(spark, sf):
+    """Every test row's score from coefficients joined to its inputs, against the fitted models."""
+    _, test = split_tables(spark, sf)
+    trainer, parts = _trainer(spark, sf), []
+    for task, name in (("clf", "lr"), ("reg", "linear")):
+        model = trainer.model(task, name)
+        base = PipelineModel(stages=model.stages[:-1])
+        inputs = ln.sparse_inputs(test, base, FEED, list(KEYS))
+        dots = ln.dot_products(inputs, ln.coefficients(model.stages[-1], test), list(KEYS))
+        scored = md.score(model, test)
+        said = ev.score_value(scored, "rawPrediction") if task == "clf" else F.col("prediction")
+        both = scored.select(*KEYS, said.alias("prediction")).join(dots.withColumnRenamed("dot", "walked"), list(KEYS), "left")
+        near = F.abs(F.col("walked") - F.col("prediction")) <= 1e-6 * (1 + F.abs(F.col("prediction")))
+        parts.append(
+            both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(near).alias("agreeing")).select(
+                F.lit(task).alias("task"), F.lit(name).alias("model"), "rows", "agreeing"
+            )
+        )
+    return cl.union_all(parts)
+
+
+@query
+def h05_vector_sums(spark, sf):
+    """Sums over all rows of every position of the prepared vectors."""
+    rows = feature_table(spark, sf)
+    vectors = pp.fit_base(rows, FEED).transform(rows)
+    tall = vectors.select(F.posexplode(vector_to_array("features")).alias("at", "x"))
+    sums = tall.groupBy(F.col("at").cast("bigint").alias("at")).agg(F.round(F.sum("x"), 3).alias("total"))
+    return sums.withColumn("total", F.col("total") + 0.0)
+
+
 # ---- I: evaluation ------------------------------------------------------------------------------------
 
 
@@ -863,6 +1030,13 @@ def i01_auc(spark, sf):
     return tidy_types(spark.createDataFrame(rows, "model string, auc double"))
 
 
+@query
+def i01_auc_by_station(spark, sf):
+    """The area of the persistence score at every station, in one pass; null where a station has one class only."""
+    areas = ev.areas_under_roc(class_predictions(spark, sf), ["StationID"])
+    return tidy_types(areas.withColumnRenamed("AUC-ROC", "auc"))
+
+
 def _class_metric(spark, sf, metric: str, name: str):
     return tidy_types(ev.class_metrics(class_predictions(spark, sf)).select(F.col(f"`{metric}`").alias(name)))
 
@@ -985,6 +1159,32 @@ def j04_regression_grid(spark, sf):
     return _grid(fc.run_regression(_trainer(spark, sf), test))
 
 
+def _values(spark, metrics: DataFrame, table: DataFrame, task: str) -> DataFrame:
+    """Metrics of a run, the test rows each was taken over, and whether one grouped aggregate over the written
+    predictions gives the same values."""
+    again = ev.grouped_metrics(table, task).withColumnRenamed("value", "again")
+    sizes = table.groupBy("model").agg(F.count(F.lit(1)).alias("rows"))
+    both = metrics.join(again, ["model", "metric"], "left").join(sizes, "model", "left")
+    same = F.abs(F.col("value") - F.col("again")) <= 1e-9 * (1 + F.abs(F.col("value")))
+    return both.select("task", "model", "metric", "rows", F.coalesce(same, F.lit(False)).alias("same"))
+
+
+@query
+def j03_classification_values(spark, sf):
+    _, test = split_tables(spark, sf)
+    folder = _folder(spark, "predictions")
+    metrics, _ = fc.run_classification(_trainer(spark, sf), test, predictions=folder)
+    return _values(spark, metrics, spark.read.schema(fc.PREDICTIONS).parquet(folder), "classification")
+
+
+@query
+def j04_regression_values(spark, sf):
+    _, test = split_tables(spark, sf)
+    folder = _folder(spark, "predictions")
+    metrics = fc.run_regression(_trainer(spark, sf), test, predictions=folder)
+    return _values(spark, metrics, spark.read.schema(fc.PREDICTIONS).parquet(folder), "regression")
+
+
 _runs: dict[tuple[str, str], str] = {}
 
 

@@ -60,6 +60,13 @@ def write_station_files(spark: SparkSession, folder: str) -> tuple[str, str]:
     return write_observation_files(spark, folder), write_metadata_files(spark, folder)
 
 
+def _readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the observation files, and the station as ``name``."""
+    placed = {"LONGITUDE": F.col("longitude"), "LATITUDE": F.col("latitude"), "TIME_DIFF": F.lit(None).cast("double")}
+    rows = observations(spark, folder).join(stations(spark, folder), "StationID", "left")
+    return rows.select(F.col("StationID").alias("name"), *[placed.get(c, F.col(c)).alias(c) for c in RAW_COLUMNS])
+
+
 def write_observation_files(spark: SparkSession, folder: str) -> str:
     """One CSV file per station, as the input format asks for."""
     key = (spark.sparkContext.applicationId, folder, "csv")
@@ -67,26 +74,28 @@ def write_observation_files(spark: SparkSession, folder: str) -> str:
         return _written[key]
     root = f"{work_dir(spark)}/files-{uuid.uuid4().hex}"
     csv = f"{root}/csv"
-    readings = (
-        observations(spark, folder)
-        .join(stations(spark, folder), "StationID", "left")
-        .select(
-            F.col("StationID").alias("name"),
-            *[
-                {"LONGITUDE": F.col("longitude"), "LATITUDE": F.col("latitude"), "TIME_DIFF": F.lit(None).cast("double")}
-                .get(c, F.col(c))
-                .alias(c)
-                for c in RAW_COLUMNS
-            ],
-        )
-    )
     # One file per station is the input format itself, so the rows of a station meet in one writer here.
-    readings.repartition("name").write.partitionBy("name").option("header", True).csv(f"{root}/parts")
+    rows = _readings(spark, folder).repartition("name")
+    rows.write.partitionBy("name").option("header", True).csv(f"{root}/parts")
     _rename_to_station_files(spark, f"{root}/parts", csv)
     _written[key] = csv
     return csv
 
 
+def write_mixed_files(spark: SparkSession, folder: str) -> str:
+    """One CSV file per station, with three kinds of header: the usual one, its columns turned round, and one without
+    pressure and wind speed but with a column more."""
+    root = f"{work_dir(spark)}/files-{uuid.uuid4().hex}"
+    kind = F.pmod(F.substring("name", 2, 18).cast("bigint"), F.lit(3))
+    rows = _readings(spark, folder).withColumns({"kind": kind, "NOTE": F.lit("x")})
+    fewer = [c for c in RAW_COLUMNS if c not in ("SLP", "WND_RATE")]
+    for at, columns in enumerate((RAW_COLUMNS, RAW_COLUMNS[::-1], ["NOTE", *fewer])):
+        part = rows.where(F.col("kind") == at).select("name", *columns).repartition("name")
+        part.write.partitionBy("name").option("header", True).csv(f"{root}/parts-{at}")
+        _rename_to_station_files(spark, f"{root}/parts-{at}", f"{root}/csv")
+    return f"{root}/csv"
+
+
 def write_metadata_files(spark: SparkSession, folder: str) -> str:
     """The station dimension as metadata files, one object in each; no observation is read."""
     key = (spark.sparkContext.applicationId, folder, "meta")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions.scalars import strip_csv
@@ -10,7 +13,13 @@ from stationflow.sources.stations import read_stations, sample_stations, valid_s
 from stationflow.spec import MIN_VALID_SHARE, OBSERVATION_DDL, SEED, STATION_SAMPLE
 
 LISTED_FILES = 20_000
-RAW_COLUMNS = [field.split()[0] for field in OBSERVATION_DDL.split(", ")]
+RAW_TYPES = dict(field.split() for field in OBSERVATION_DDL.split(", "))
+RAW_COLUMNS = list(RAW_TYPES)
+
+
+def _station(file_name: str) -> Column:
+    """The station a file is named after; Spark gives names of files as parts of a URI."""
+    return strip_csv(F.url_decode(F.replace(F.col(file_name), F.lit("+"), F.lit("%2B"))))
 
 
 def read_observations(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -28,12 +37,59 @@ def read_observations(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .csv(paths)
     )
     return rows.select(
-        strip_csv(F.col("_metadata.file_name")).alias("StationID"),
+        _station("_metadata.file_name").alias("StationID"),
         *RAW_COLUMNS,
         F.xxhash64("_metadata.file_name", *RAW_COLUMNS).alias("row_key"),
     )
 
 
+def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, header) of every observation file that has a line: its first one.
+
+    One pass over the text, in which only the first split of a file gives a row per task; nothing is parsed.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(paths)
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("seat"),
+        "value",
+    )
+    return lines.where("start = 0").groupBy("path").agg(F.min_by("value", "seat").alias("header"))
+
+
+def read_mixed_observations(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """As ``read_observations``, for files that do not all have the same header.
+
+    Files are grouped by header, each group is one scan with the columns in its order, and the groups are united by
+    name. A column that a file lacks is null, one that is not an observation column is left out; names are compared
+    without quotes and blanks around them. A header that names a column twice raises ``ValueError``, and so does a
+    folder in which no file has a line. The driver holds names of files and headers, not rows.
+    """
+    groups = file_headers(spark, paths).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    parts = []
+    for row in groups.orderBy("header").collect():
+        names = [name.strip().strip('"').strip() for name in row["header"].removeprefix("\ufeff").split(",")]
+        known = [name for name in names if name in RAW_TYPES]
+        if len(set(known)) < len(known):
+            raise ValueError(f"a column comes twice in {row['header']!r}")
+        # Columns bind by place; those of no interest get names that cannot clash.
+        schema = ", ".join(
+            f"{name} {RAW_TYPES[name]}" if name in RAW_TYPES else f"`other {at}` string" for at, name in enumerate(names)
+        )
+        rows = spark.read.schema(schema).option("header", True).csv([unquote(path) for path in row["paths"]])
+        absent = {name: F.lit(None).cast(kind) for name, kind in RAW_TYPES.items() if name not in known}
+        parts.append(rows.select("*", "_metadata.file_name").withColumns(absent).select("file_name", *RAW_COLUMNS))
+    if not parts:
+        raise ValueError(f"no observation file with a header in {paths}")
+    united = reduce(DataFrame.unionByName, parts)
+    return united.select(
+        _station("file_name").alias("StationID"),
+        *RAW_COLUMNS,
+        F.xxhash64("file_name", *RAW_COLUMNS).alias("row_key"),
+    )
+
+
 def list_observation_files(spark: SparkSession, folder: str) -> DataFrame:
     """Path and station of every CSV file in a folder; contents are not read."""
     return (

@@ -54,6 +54,25 @@ def part_sizes(spark: SparkSession, path: str) -> dict[str, int]:
     return {} if table is None else {r["split"]: r["count"] for r in table.groupBy("split").count().collect()}
 
 
+def save_bucketed(df: DataFrame, name: str, path: str, entity: str, order: tuple[str, ...], buckets: int) -> DataFrame:
+    """Write ``df`` as the table ``name`` below ``path``, bucketed by entity and sorted inside; what reads it next.
+
+    One shuffle brings the rows of a bucket into one task, so each bucket is one sorted file. Whatever is
+    partitioned by the entity afterwards (windows, counts, joins with equal buckets) needs none. The catalogue keeps the
+    name, so later sessions with the same catalogue find the layout again.
+    """
+    buckets = max(1, buckets)
+    ordered = df.repartition(buckets, entity)
+    writer = ordered.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, entity).sortBy(entity, *order).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def bucket_count(rows: int) -> int:
+    """Buckets for a number of rows: a bucket is read by one task."""
+    return max(1, math.ceil(rows / ROWS_PER_PARTITION))
+
+
 def save_by_station(df: DataFrame, path: str, spec: SeriesSpec) -> None:
     """Write rows in entity and time order, so a later read of one entity skips most row groups.
 
