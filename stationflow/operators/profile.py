@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions.scalars import depression, present, rain_flag
 from stationflow.spec import MEASURES, RAIN_THRESHOLD
-from stationflow.storage import broadcast_if_small
+from stationflow.storage import broadcast_if_small, stage
 
 
 def summary_frame(rows: DataFrame) -> DataFrame:
@@ -105,11 +105,12 @@ def station_histogram(
 ) -> DataFrame:
     """As ``histogram``, separately for every station.
 
-    The bounds, one row per station and measure, are counted before they are broadcast; more of them are joined
-    by a shuffle instead.
+    The bounds, one row per station and measure, are written and counted before they are broadcast; more of them are
+    joined by a shuffle instead. So the values are read twice, as in ``histogram``.
     """
     tall = series_of_measures(values, [entity], measures)
     bounds = tall.groupBy(entity, "measure").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    bounds = stage(bounds, "bounds")
     return (
         tall.join(broadcast_if_small(bounds), [entity, "measure"])
         .groupBy(entity, "measure", _bin(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.spec import SeriesSpec
-from stationflow.storage import ROWS_PER_PARTITION, exists
+from stationflow.storage import ROWS_PER_PARTITION, exists, stage
 
 
 def save_frame(df: DataFrame, path: str) -> None:
@@ -77,9 +77,11 @@ def save_by_station(df: DataFrame, path: str, spec: SeriesSpec) -> None:
     """Write rows in entity and time order, so a later read of one entity skips most row groups.
 
     Range partitioning cuts by rows, not by entity: a dominant station spreads over many files. The number of
-    parts follows the number of rows, which costs one count.
+    parts follows the number of rows. The rows are written as they come first, so that counting them, looking for the
+    ranges and sorting do not each compute them again.
     """
-    parts = max(1, math.ceil(df.count() / ROWS_PER_PARTITION))
+    df = stage(df, "unordered")
+    parts = bucket_count(df.count())
     (
         df.repartitionByRange(parts, spec.entity, *spec.order)
         .sortWithinPartitions(spec.entity, *spec.order)
