@@ -31,20 +31,21 @@ LN10 = float(np.log(10.0))
 @dataclass(frozen=True)
 class Settings:
     """``head`` bounds the words that every task holds, ``common`` those with a vector of their own (the end among
-    them). Training reads every training document once, dealt to ``turns`` rounds; a ``share`` below 1 makes it read
-    that share, or as many documents as make ``least_tokens`` tokens. Replicas of about ``replica_tokens`` tokens start a round from the same parameters, and their
-    averages, weighted by tokens, begin the next."""
+    them). Training reads every training document once, dealt to ``turns`` rounds. Replicas of about
+    ``replica_tokens`` tokens start a round from the same parameters, and their averages, weighted by tokens, begin the
+    next. A stream is cut into ``least_lanes`` lanes, or more while that leaves ``many_windows`` windows, up to
+    ``lanes``: wide windows cost less time a token, few windows learn less."""
 
     head: int = 1 << 18
     common: int = 1024
     class_size: int = 32
     rare_classes: int = 24
     hidden: int = 32
-    share: float = 1.0
-    least_tokens: int = 1_000_000
     turns: int = 2
-    replica_tokens: int = 1_000_000
-    lanes: int = 48
+    replica_tokens: int = 4_000_000
+    lanes: int = 192
+    least_lanes: int = 48
+    many_windows: int = 1_000
     window: int = 20
     rate: float = 0.01
     score_lanes: int = 384
@@ -242,9 +243,11 @@ def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -
     g = {k: np.zeros_like(v) for k, v in p.items()}
     g["c"], g["cb"] = flat.T @ share, share.sum(axis=0)
     down = share @ p["c"].T
-    for c in range(len(p["o"])):
-        at = np.flatnonzero(kind == c)
-        if len(at):
+    order = np.argsort(kind, kind="stable")
+    edges = np.searchsorted(kind[order], np.arange(len(p["o"]) + 1))
+    for c, (a, b) in enumerate(zip(edges, edges[1:])):
+        if b > a:
+            at = order[a:b]
             inside = flat[at] @ p["o"][c] + p["ob"][c]
             picked = inside[np.arange(len(at)), place[at]]
             share, log_sum = _log_sum(inside)
@@ -266,7 +269,11 @@ def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -
         g["u"] += before.T @ inner
         back = inner @ p["u"].T + d * update
         back[inputs[t] == 0] = 0
-    np.add.at(g["x"], inputs.ravel(), moved.reshape(-1, 3 * n))
+    # Rows of equal symbols are added up side by side.
+    order = np.argsort(inputs, axis=None, kind="stable")
+    symbols = inputs.ravel()[order]
+    first = np.flatnonzero(np.r_[True, symbols[1:] != symbols[:-1]])
+    g["x"][symbols[first]] = np.add.reduceat(moved.reshape(-1, 3 * n)[order], first, axis=0)
     size = steps * lanes
     return loss / size, {k: v / size for k, v in g.items()}, h
 
@@ -276,7 +283,8 @@ def train_stream(p: dict, stream: np.ndarray, settings: Settings) -> dict:
 
     The state goes on from window to window; gradients stop at the window's edge.
     """
-    lanes = max(1, min(settings.lanes, len(stream) // (4 * settings.window)))
+    wide = max(settings.least_lanes, len(stream) // (settings.many_windows * settings.window))
+    lanes = max(1, min(settings.lanes, wide, len(stream) // (4 * settings.window)))
     length = -(-(len(stream) - 1) // lanes)
     if length < 2:
         return p
@@ -341,17 +349,12 @@ def _average(rows: DataFrame, parts: int) -> DataFrame:
 
 def train(texts: DataFrame, known: Lexicon) -> dict[str, np.ndarray]:
     """Parameters learned from the columns doc_id and text of the training documents by replicas, whose number grows
-    with the tokens. A share below 1 is chosen by a hash of both columns, so that of the copies of a frequent text only
-    that share is taken too."""
+    with the tokens."""
     s = known.settings
     p = first_parameters(known)
-    share = min(1.0, max(s.share, s.least_tokens / max(1, known.tokens)))
-    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(s.seed)), F.lit(1_000_000))
     sample = texts.select("doc_id", "text")
-    if share < 1:
-        sample = stage(sample.where(draw < int(1_000_000 * share)), "lm-sample")
     sc = texts.sparkSession.sparkContext
-    replicas = max(1, round(known.tokens * share / s.turns / s.replica_tokens))
+    replicas = max(1, round(known.tokens / s.turns / s.replica_tokens))
     shared = sc.broadcast(known)
     for turn in range(s.turns):
         now = sc.broadcast(p)

@@ -110,7 +110,7 @@ def test_held_out_gain(spark):
 
 def test_every_training_document_reaches_the_network(spark):
     """Each document holds a word of its own, whose vector moves only if the document is trained on."""
-    settings = lm.Settings(common=512, hidden=6, lanes=4, window=5, least_tokens=50, replica_tokens=500)
+    settings = lm.Settings(common=512, hidden=6, lanes=4, window=5, replica_tokens=500)
     docs = spark.createDataFrame([(i, f"w{i} " * 5) for i in range(400)], "doc_id bigint, text string")
     lex = lm.lexicon(lm.word_counts(docs), settings)
     moved = np.abs(lm.train(docs, lex)["x"] - lm.first_parameters(lex)["x"]).max(axis=1)
