@@ -95,7 +95,7 @@ def test_counts_and_base_scores_of_whole_table(spark, small):
 def test_small_head_gives_the_same_counts(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     get = lambda s: {r["doc_id"]: r for r in lm.score_documents(docs, fold("doc_id", 7) != 2, settings=s).collect()}
-    quick = {"least_tokens": 2000, "common": 64, "hidden": 8}
+    quick = {"common": 64, "hidden": 8}
     one, two = get(lm.Settings(**quick)), get(lm.Settings(head=300, **quick))
     for d in one:
         assert one[d]["n_known"] == two[d]["n_known"]
