@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from stationflow.llm import licenses, quality, toxicity
@@ -70,6 +71,53 @@ def test_bands_reject_repetitive_and_incompressible_text():
     assert judge(half.encode())["kept"] is False
 
 
+def plain_verdict(text, bands):
+    """The bands, read off one by one."""
+    data, press = (text or "").encode(), zstandard.ZstdCompressor(level=bands.level, write_content_size=False)
+    if plain_counts(text)[-1]:
+        return "base"
+    ratio = lambda b: len(press.compress(b)) / len(b)
+    for least, low, high in reversed(bands.limits):
+        if len(data) >= least:
+            if ratio(data) < low:
+                return "repetitive"
+            if ratio(data) > high:
+                return "incompressible"
+            break
+    chunks = [data[i : i + bands.chunk_bytes] for i in range(0, len(data), bands.chunk_bytes)]
+    chunks = [c for c in chunks if len(c) == bands.chunk_bytes]
+    low, high = bands.chunk_band
+    return "chunks" if 2 * sum(not low <= ratio(c) <= high for c in chunks) > len(chunks) else None
+
+
+def test_verdict_equals_plain_version_and_tells_junk_from_good_text(spark):
+    """On labelled rows with odd ids; the limits were read from even ones."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(spark.read.parquet(f"{folder}/labels.parquet").withColumnRenamed("quality", "label"), "doc_id")
+    bands, gone, all_of, reasons = quality.Bands(), Counter(), Counter(), Counter()
+    for r in quality.judge_quality(docs.where("doc_id % 2 = 1")).collect():
+        reason = plain_verdict(r["text"], bands)
+        assert (r["quality"].reason, r["quality"].kept) == (reason, reason is None)
+        reasons[reason] += 1
+        if reason != "base":
+            all_of[r["label"]] += 1
+            gone[r["label"]] += reason is not None
+    assert reasons["chunks"] and reasons["repetitive"]
+    assert gone[0] >= 0.8 * all_of[0] > 0 and gone[1] <= 0.025 * all_of[1]
+
+
+def test_lowest_ratios_are_quantiles_of_good_texts(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (300, 310, 350, 700, 1024, 1448, 1449)]
+    df = spark.createDataFrame([(t, 1) for t in texts] + [(None, 1), ("", 1), ("aa" * 200, 0)], "text string, mark int")
+    rows = quality.lowest_ratios(df, F.col("mark") == 1).collect()
+    assert [(r["least_bytes"], r["n"]) for r in rows] == [(256, 3), (512, 1), (1024, 2), (1449, 1)]
+    press = zstandard.ZstdCompressor(level=3, write_content_size=False)
+    ratios = [len(press.compress(t.encode())) / len(t) for t in texts]
+    assert rows[0]["lowest_ratio"] == min(ratios[:3]) and rows[2]["lowest_ratio"] == min(ratios[4:6])
+    assert quality.lowest_ratios(df, F.lit(False)).count() == 0
+
+
 AWKWARD = [
     (None, None, "x"),
     (1, "", None),
