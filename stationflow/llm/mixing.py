@@ -274,26 +274,41 @@ def mix_sources(
 def mixed_documents(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", mix: Mix | None = None
 ) -> DataFrame:
-    """The rows of ``df`` as often as it takes to give each source the words that the mix takes of it, exactly.
-
-    Every document of a source comes as often as the words to take hold the whole source. The rest comes from the
-    first documents in the hash order of the source, once more each; of the last one only the first words that are still
-    wanted, so at most one text for each source is cut. A document without words holds nothing to take and is left
-    out. No row comes more than ``most_repeats`` times.
+    """The mix as rows of ``df``: one for each document and pass, with the text cut to what the drawn blocks hold.
+
+    The words are those of ``mix_blocks``, put back to the documents they come from, so a source has as many words as
+    its slots hold, and a document as many as ``mix_sources`` counts. A pass that takes all blocks of a document gives
+    its text unchanged; otherwise neighbouring blocks make a passage, with the white space between words kept, and
+    ``mix.between`` stands between passages. No document comes more than ``most_repeats`` times; one without words, or
+    without a drawn block, does not come. What holds for nulls, repeated rows and empty frames is said at
+    ``mix_sources``. A task holds the passages of a document, whose number its own words bound.
     """
     mix = mix or Mix()
-    seat, copy, size = free_name(df, "seat"), free_name(df, "copy"), free_name(df, "all_words")
+    seat, passages = free_name(df, "seat"), free_name(df, "passages")
     fixed = stage(df.withColumn(seat, F.monotonically_increasing_id()), "mixing")
     tie = F.xxhash64(*map(quoted, df.columns))
-    named, _ = _plan(fixed, doc_id, text, source, mix, F.col(seat), tie)
-    located = _located(named, mix.bucket_rows).where("size > 0")
-    wanted = F.least(F.round("target").cast("bigint"), F.col("source_size") * mix.most_repeats)
-    whole = F.floor(wanted / F.col("source_size"))
-    more = F.greatest(F.lit(0), F.least("size", wanted - whole * F.col("source_size") - F.col("_start")))
-    words = F.concat(
-        F.array_repeat(F.col("size"), whole.cast("int")), F.when(more > 0, F.array(more)).otherwise(F.array().cast("array<bigint>"))
+    named, sources = _plan(fixed, doc_id, text, source, mix, F.col(seat), tie)
+    drawn = _drawn(block_pieces(_located(named, mix.bucket_rows), mix), sources, mix)
+    parts = drawn.select("pass", F.explode("parts").alias("p")).select("pass", "p._seat", "p.first_word", "p.words")
+    one = Window.partitionBy("_seat", "pass").orderBy("first_word")
+    ends = F.lag(F.col("first_word") + F.col("words")).over(one)
+    parts = parts.repartition("_seat").withColumn("_new", F.when(ends == F.col("first_word"), 0).otherwise(1))
+    parts = parts.withColumn("_run", F.sum("_new").over(one))
+    runs = parts.groupBy("_seat", "pass", "_run").agg(F.min("first_word").alias("first"), F.sum("words").alias("n"))
+    rows = runs.groupBy("_seat", "pass").agg(F.sum("n").alias("_n"), F.collect_list(F.struct("first", "n")).alias("_runs"))
+    rows = rows.join(named.select("_seat", "size"), "_seat").select(
+        F.col("_seat").alias(seat), F.when(F.col("_n") < F.col("size"), F.sort_array("_runs")).alias(passages)
     )
-    counts = located.select(F.col("_seat").alias(seat), F.col("size").alias(size), F.explode(words).alias(copy))
-    first = F.slice(F.regexp_extract_all(quoted(text), F.lit(SPACED_WORD_SQL), F.lit(0)), 1, F.col(copy).cast("int"))
-    cut = F.when(F.col(copy) < F.col(size), F.array_join(first, "")).otherwise(quoted(text))
-    return fixed.join(counts, seat).select(*[cut.alias(c) if c == text else quoted(c) for c in df.columns])
+    # Bound to a name of its own, so that a text is split once and not once for each passage.
+    split = F.array(F.regexp_extract_all(quoted(text), F.lit(SPACED_WORD_SQL), F.lit(0)))
+    cut = F.transform(
+        split,
+        lambda w: F.array_join(
+            F.transform(
+                F.col(passages), lambda r: F.array_join(F.slice(w, (r["first"] + 1).cast("int"), r["n"].cast("int")), "")
+            ),
+            mix.between,
+        ),
+    )[0]
+    mixed = F.when(F.col(passages).isNull(), quoted(text)).otherwise(cut)
+    return fixed.join(rows, seat).select(*[mixed.alias(c) if c == text else quoted(c) for c in df.columns])
