@@ -7,13 +7,17 @@ import re
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, StructType
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
+# A task turns at most so many bytes of texts into Python objects at a time, or one longer text.
+SLICE_BYTES = 16 << 20
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -37,10 +41,21 @@ def raw_texts(array: pa.Array) -> list[bytes | None]:
     return array.cast(pa.large_binary() if pa.types.is_large_string(array.type) else pa.binary()).to_pylist()
 
 
+def slices(array: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """``array`` in runs of texts that together hold at most ``most_bytes``, or one longer text each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(array):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most_bytes, "right")))
+        yield array.slice(at, stop - at)
+        at = stop
+
+
 def per_text(
     start: Callable[[], Callable[[bytes | None], object]], returns: StructType | DataType | str, as_bytes: bool = True
 ) -> Callable[[Column], Column]:
-    """A column function that applies ``start()`` to each text, Arrow batch by Arrow batch.
+    """A column function that applies ``start()`` to each text, by slices of Arrow batches of bounded size in bytes.
 
     ``start`` runs once per task and builds what the texts share. Its function gets null for a null text. The
     result counts as non-deterministic so that the optimiser does not evaluate it twice.
@@ -51,8 +66,11 @@ def per_text(
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         judge = start()
         for batch in batches:
-            texts = raw_texts(batch) if as_bytes else batch.to_pylist()
-            yield pa.array([judge(text) for text in texts], type=arrow)
+            if not len(batch):
+                yield pa.array([], type=arrow)
+            for part in slices(batch):
+                texts = raw_texts(part) if as_bytes else part.to_pylist()
+                yield pa.array([judge(text) for text in texts], type=arrow)
 
     return F.arrow_udf(run, kind).asNondeterministic()
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import quoted, raw_texts, words
+from stationflow.llm.common import SLICE_BYTES, quoted, raw_texts, slices, words
 from stationflow.storage import stage
 
 # Fixed value: the end of a document, which no word can be.
@@ -486,7 +486,8 @@ def score_documents(
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array(_scored(shared.value, parameters.value, raw_texts(batch)), kind)
+            for part in slices(batch, 4 * SLICE_BYTES):
+                yield pa.array(_scored(shared.value, parameters.value, raw_texts(part)), kind)
 
     judged = F.arrow_udf(run, SCORED).asNondeterministic()(F.col("text"))
     staged = stage(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from stationflow.llm.common import per_text, quoted
+from stationflow.llm.common import free_name, per_text, quoted
 from stationflow.llm.tokens import encoder
 from stationflow.storage import stage
 
@@ -82,12 +82,16 @@ def plan(counts: dict[int, int], room: Capacities) -> np.ndarray:
     return np.array(sorted(out), np.int64).reshape(-1, 5)
 
 
-PIECES = "array<struct<piece: int, start: bigint, length: bigint, ids_crc32: bigint>>"
+PIECES = "array<struct<piece: int, start: bigint, length: bigint, ids_crc32: bigint{ids}>>"
 
 
-def token_pieces(df: DataFrame, path: str, doc_id: str, text: str, tokens: int, end_id: int) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32. Only documents over ``tokens`` are cut, and the
-    first piece takes the odd remainder. A null text is empty: its only token is ``end_id``."""
+def token_pieces(
+    df: DataFrame, path: str, doc_id: str, text: str, tokens: int, end_id: int, with_ids: bool = True
+) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, and ids (array of int) unless they are not wanted.
+
+    Only documents over ``tokens`` are cut, and the first piece takes the odd remainder. A null text is empty: its
+    only token is ``end_id``."""
 
     def start():
         encode = encoder(path)
@@ -96,16 +100,16 @@ def token_pieces(df: DataFrame, path: str, doc_id: str, text: str, tokens: int,
             ids = encode.ids((data or b"").decode("utf-8", "replace"))
             ids = np.append(ids, end_id).astype("<u4")
             edges = [0, *range(len(ids) % tokens or tokens, len(ids) + 1, tokens)]
-            return [
-                {"piece": i, "start": a, "length": b - a, "ids_crc32": zlib.crc32(ids[a:b].tobytes())}
-                for i, (a, b) in enumerate(zip(edges, edges[1:]))
-            ]
+            pieces = []
+            for i, (a, b) in enumerate(zip(edges, edges[1:])):
+                piece = {"piece": i, "start": a, "length": b - a, "ids_crc32": zlib.crc32(ids[a:b].tobytes())}
+                pieces.append({**piece, "ids": ids[a:b].astype(np.int32)} if with_ids else piece)
+            return pieces
 
         return cut
 
-    return df.select(
-        quoted(doc_id).alias("doc_id"), F.inline(per_text(start, PIECES)(quoted(text)))
-    )
+    kind = PIECES.format(ids=", ids: array<int>" if with_ids else "")
+    return df.select(quoted(doc_id).alias("doc_id"), F.inline(per_text(start, kind)(quoted(text))))
 
 
 def pack(pieces: DataFrame, room: Capacities | None = None) -> DataFrame:
@@ -114,34 +118,32 @@ def pack(pieces: DataFrame, room: Capacities | None = None) -> DataFrame:
     Pieces are staged once, which fixes a number for each row; ranks within a length come from counts of blocks of
     rows and a numbering inside each block, so a length that a third of all pieces share is spread over tasks. Only
     the histogram of lengths (one row per length up to the token capacity) reaches the driver. Equal rows are
-    packed one by one; null ids are ordinary; an empty frame gives an empty frame. A null or non-positive length
-    or one beyond the capacity raises an error.
+    packed one by one; null ids are ordinary; an empty frame gives an empty frame. Columns sequence_id and offset
+    are replaced, all others pass through. A null or non-positive length or one beyond the capacity raises an error.
     """
     room = room or Capacities()
-    found = stage(pieces.withColumn("_seat", F.monotonically_increasing_id()), "pieces")
+    kept = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    seat, part, rank, before, place = (
+        free_name(pieces, name) for name in ("_seat", "_block", "_rank", "_before", "_place")
+    )
+    found = stage(pieces.select(*map(quoted, kept)).withColumn(seat, F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if any(length is None or length < 1 for length in counts):
         raise ValueError("every piece needs a positive length")
     steps = plan(counts, room)
-    block = F.col("_seat").bitwiseAND((1 << 33) - 1)
-    block = F.shiftright("_seat", 33) * F.lit(1 << 17) + F.floor(block / BLOCK_ROWS)
-    blocks = found.select("length", block.alias("_block"), *[c for c in found.columns if c != "length"])
-    before = (
-        blocks.groupBy("length", "_block")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_before",
-            F.sum("_n").over(Window.partitionBy("length").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .select("length", "_block", F.coalesce("_before", F.lit(0)).alias("_before"))
-    )
-    inside = F.row_number().over(Window.partitionBy("length", "_block").orderBy("_seat")) - 1
-    ranked = blocks.withColumn("_rank", inside).join(before, ["length", "_block"])
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_before"))
+    block = F.col(seat).bitwiseAND((1 << 33) - 1)
+    block = F.shiftright(seat, 33) * F.lit(1 << 17) + F.floor(block / BLOCK_ROWS)
+    blocks = found.withColumn(part, block)
+    earlier = Window.partitionBy("length").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sums = blocks.groupBy("length", part).agg(F.count(F.lit(1)).alias("n"))
+    sums = sums.select("length", part, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before))
+    inside = F.row_number().over(Window.partitionBy("length", part).orderBy(seat)) - 1
+    ranked = blocks.withColumn(rank, inside).join(sums, ["length", part])
+    ranked = ranked.withColumn(rank, F.col(rank) + F.col(before))
     shared = found.sparkSession.sparkContext.broadcast(steps)
     kind = DataType.fromDDL("sequence_id bigint, offset bigint")
 
-    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+    def places(length: pa.Array, rank: pa.Array) -> pa.Array:
         steps = shared.value
         size = length.to_numpy(zero_copy_only=False).astype(np.int64)
         number = rank.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -152,8 +154,8 @@ def pack(pieces: DataFrame, room: Capacities | None = None) -> DataFrame:
             [pa.array(first + nth // each), pa.array(offset + nth % each * size)], ["sequence_id", "offset"]
         )
 
-    placed = ranked.withColumn("_place", F.arrow_udf(place, kind)("length", "_rank"))
-    return placed.select(*[quoted(c) for c in pieces.columns], "_place.sequence_id", "_place.offset")
+    placed = ranked.withColumn(place, F.arrow_udf(places, kind)("length", rank))
+    return placed.select(*map(quoted, kept), f"{place}.sequence_id", f"{place}.offset")
 
 
 def pack_documents(
@@ -163,10 +165,18 @@ def pack_documents(
     text: str = "text",
     room: Capacities | None = None,
     end_id: int = 2,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """Tokenise, cut and pack: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Tokenise, cut and pack: doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset."""
     room = room or Capacities()
-    return pack(token_pieces(df, path, doc_id, text, room.tokens, end_id), room)
+    return pack(token_pieces(df, path, doc_id, text, room.tokens, end_id, with_ids), room)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """sequence_id, length, ids: what ``pack_documents`` has placed, put together; a group is at most one sequence."""
+    part = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    whole = F.flatten(F.transform(part, lambda p: p["ids"]))
+    return packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), whole.alias("ids"))
 
 
 def sequences_needed(tokens: int, capacity: int) -> int:

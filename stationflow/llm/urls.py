@@ -5,6 +5,7 @@ Only DataFrame functions and Spark ML run here; no Python touches a row.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -33,7 +34,10 @@ class Rule:
 
 @dataclass(frozen=True)
 class Trees:
-    """At most ``train_rows`` labelled URLs, chosen by a hash of the whole row, fit ``trees`` trees of ``depth`` levels."""
+    """``train_rows`` labelled URLs, half of each label as far as there are so many, fit ``trees`` trees of ``depth`` levels.
+
+    Rows are weighted by the share in which their label was drawn, but no label weighs less than ``least_weight`` of all.
+    """
 
     train_rows: int = 10_000
     trees: int = 12
@@ -41,6 +45,7 @@ class Trees:
     step: float = 0.2
     seed: int = 11
     block_at: float = 0.5
+    least_weight: float = 0.1
 
 
 def host_of(url: Column) -> Column:
@@ -117,27 +122,49 @@ def with_suffix_statistics(lexed: DataFrame) -> DataFrame:
     return lexed.join(statistics, "suffix")
 
 
+def draw(rows: DataFrame, label: str, settings: Trees) -> DataFrame | None:
+    """FEATURES, target and weight of the training rows, or None unless both labels (0 and 1) occur.
+
+    Each label is drawn with its own share, so a rare one is not lost. Rows equal in every column hash alike and
+    count as one row, whose weight is their number, so that many copies neither fill the sample nor are left out
+    together. Only hashes and counts are shuffled to find the shares; about ``train_rows`` rows result.
+    """
+    found = rows.groupBy("pick", label).agg(F.count(F.lit(1)).alias("copies"))
+    found = found.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies")).collect()
+    counted = {r[label]: (r["n"], r["copies"]) for r in found}
+    if not {0.0, 1.0} <= counted.keys():
+        return None
+    everything = counted[0.0][1] + counted[1.0][1]
+    chosen, each = F.lit(False), F.lit(None).cast("double")
+    for side in (0.0, 1.0):
+        n, copies = counted[side]
+        share = min(1.0, settings.train_rows / 2 / n)
+        drawn = F.pmod(F.xxhash64("pick", F.lit(settings.seed)), F.lit(1 << 30)) < math.ceil(share * (1 << 30))
+        chosen = chosen | ((F.col(label) == side) & drawn)
+        # What the label weighs as a whole, dealt out to the rows that stand for it.
+        whole = max(copies / everything, settings.least_weight)
+        each = F.when(F.col(label) == side, F.lit(whole * settings.train_rows / (copies * share))).otherwise(each)
+    one = rows.where(chosen).groupBy("pick", label).agg(*[F.first(c).alias(c) for c in FEATURES], F.count(F.lit(1)).alias("n"))
+    drawn = one.select(*FEATURES, F.col(label).alias("target"), (each * F.col("n")).alias("weight"))
+    return stage(drawn, "url-train").coalesce(8)
+
+
 def train(featured: DataFrame, label: str, settings: Trees):
-    """A fitted model, or None unless both labels occur. The training rows are staged and bounded in number."""
-    rows = featured.where(F.col(label).isNotNull())
-    counted = rows.groupBy(label).count().collect()
-    total = sum(r["count"] for r in counted)
-    if len(counted) < 2:
+    """A fitted model, or None unless both labels (0 and 1) occur. The training rows are staged and bounded in number."""
+    chosen = draw(featured.where(F.col(label).isNotNull()), label, settings)
+    if chosen is None or chosen.select("target").distinct().count() < 2:
         return None
-    share = F.pmod(F.xxhash64("pick", F.lit(settings.seed)), F.lit(1_000_000))
-    chosen = rows.where(share < int(1_000_000 * min(1.0, settings.train_rows * 0.95 / total)))
-    chosen = stage(chosen.select(*FEATURES, F.col(label).cast("double").alias("target")), "url-train").coalesce(8)
     vector = VectorAssembler(inputCols=FEATURES, outputCol="vector")
     boost = GBTClassifier(
         featuresCol="vector",
         labelCol="target",
+        weightCol="weight",
         maxIter=settings.trees,
         maxDepth=settings.depth,
         stepSize=settings.step,
         seed=settings.seed,
     )
-    ready = vector.transform(chosen).select("vector", "target")
-    return boost.fit(ready) if ready.select("target").distinct().count() == 2 else None
+    return boost.fit(vector.transform(chosen).select("vector", "target", "weight"))
 
 
 def judge_urls(

@@ -293,6 +293,47 @@ def test_trees_learn_labelled_urls(spark):
     assert right >= 0.98 * 600
 
 
+def labelled_urls(spark, n, bad):
+    """Block URLs (those ``bad`` names) have a long number in their query."""
+    tail = F.when(bad, F.concat(F.lit("?id="), F.col("page_id") + 10**9)).otherwise(F.concat(F.lit("page/"), F.col("page_id")))
+    pages = spark.range(n).select(F.col("id").alias("page_id")).withColumn("bad", bad.cast("int"))
+    return pages.withColumn("url", F.concat(F.lit("https://h"), F.col("page_id") % 7, F.lit(".site.info/"), tail))
+
+
+def test_a_rare_label_is_drawn(spark):
+    df = labelled_urls(spark, 30_000, F.col("page_id") % 7500 == 0)
+    out = urls.judge_urls(df, (), labels=F.col("bad"))
+    found = {(r["bad"], r["v"]): r["n"] for r in out.groupBy("bad", F.col("url_verdict.verdict").alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert found == {(0, "allow"): 29_996, (1, "block"): 4}
+
+
+def test_copies_neither_fill_the_sample_nor_vanish(spark):
+    few = labelled_urls(spark, 200, F.lit(True))
+    copies = spark.range(12_000).select(F.lit(-1).cast("bigint").alias("page_id"), F.lit(0).alias("bad"), F.lit("https://a.site.info/page/1").alias("url"))
+    df = few.unionByName(copies).withColumn("pick", F.xxhash64("page_id", "url")).withColumn("label", F.col("bad").cast("double"))
+    cut = df.withColumn("host", urls.host_of(F.col("url"))).withColumn("path", urls.path_of(F.col("url")))
+    drawn = urls.draw(urls.with_suffix_statistics(urls.lexical(cut)), "label", urls.Trees(train_rows=200))
+    rows = drawn.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).collect()
+    found = {r["target"]: r for r in rows}
+    assert found[0.0]["n"] == 1 and 60 < found[1.0]["n"] < 140
+    assert abs(found[0.0]["w"] - 200 * 12_000 / 12_200) < 1 and 12 < found[1.0]["w"] < 28
+    out = urls.judge_urls(df.select("page_id", "url", "bad"), (), labels=F.col("bad"))
+    assert out.where((F.col("url_verdict.verdict") == "block") != (F.col("bad") == 1)).count() == 0
+
+
+def test_held_out_urls_that_rules_decide(spark):
+    """Trees that learn from the even half of the URLs with a rule judge the odd half."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    host, path = urls.host_of(F.col("url")), urls.path_of(F.col("url"))
+    decided = pages.withColumn("ruled", urls.rule_of(host, path, RULES, "verdict")).where("ruled is not null")
+    known = F.when(F.col("page_id") % 2 == 0, (F.col("ruled") == "block").cast("double"))
+    out = urls.judge_urls(decided, (), labels=known).where("page_id % 2 = 1")
+    right, block = F.col("url_verdict.verdict") == F.col("ruled"), F.col("ruled") == "block"
+    row = out.agg(F.avg(right.cast("double")).alias("right"), F.avg(block.cast("double")).alias("base")).first()
+    print("held out", row)
+    assert row["right"] > max(row["base"], 1 - row["base"])
+
+
 def test_urls_run_without_python(spark, small):
     plan = QUERIES["op2_url_trees"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -5,11 +5,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stationflow.llm import packing, tokens
+from stationflow.llm.common import per_text, slices
 from stationflow.llm.queries import BPE, QUERIES
 
 LIBRARY = Tokenizer.from_file(BPE)
@@ -96,7 +98,7 @@ def test_pieces_and_places_of_whole_table(spark, small):
     assert check_places(rows) <= 1.02 * packing.sequences_needed(total, 1024) + 1
 
 
-def one_by_one(lengths, caps, weights):
+def one_by_one(lengths, caps, weights, rule):
     """Best fit decreasing, piece by piece."""
     bins = []
     scale = np.array(weights) / np.array(caps, float) ** 2
@@ -104,7 +106,10 @@ def one_by_one(lengths, caps, weights):
         item = np.array([length, 1, length * length])
         fits = [b for b in bins if (b >= item).all()]
         if fits:
-            best = min(fits, key=lambda b: float(((b - item) ** 2) @ scale))
+            if rule == "dot":
+                best = max(fits, key=lambda b: float(b @ (scale * item)))
+            else:
+                best = min(fits, key=lambda b: float(((b - item) ** 2) @ scale))
         else:
             best = np.array(caps)
             bins.append(best)
@@ -127,8 +132,77 @@ def test_every_capacity_holds_and_counts_match_single_pieces(spark, rule, limits
     for r in rows:
         groups.setdefault(r["sequence_id"], []).append(r["length"])
     assert all(len(g) <= docs and sum(n * n for n in g) <= cost for g in groups.values())
-    if rule == "norm":
-        assert used <= one_by_one(lengths, room.limits(), room.weights) * 1.03 + 1
+    assert used <= one_by_one(lengths, room.limits(), room.weights, rule) * 1.03 + 1
+
+
+def test_names_of_columns_do_not_clash(spark):
+    names = ["_block", "_seat", "_rank", "_place", "_before", "n", "sequence_id", "offset"]
+    df = spark.createDataFrame([(i, 1 + i % 30) for i in range(200)], "doc_id int, length bigint")
+    for name in names:
+        df = df.withColumn(name, F.col("doc_id") * 2)
+    out = packing.pack(df, packing.Capacities(60))
+    assert out.columns == [c for c in df.columns if c not in ("sequence_id", "offset")] + ["sequence_id", "offset"]
+    rows = out.collect()
+    assert all(r[name] == 2 * r["doc_id"] for r in rows for name in names[:6]) and len(rows) == 200
+    check_places(rows, 60)
+
+
+def test_packed_sequences_hold_the_ids_of_their_pieces(spark):
+    texts = [(i, "word and more " * (37 * i % 400)) for i in range(40)] + [(None, None)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    packed = packing.pack_documents(df, BPE)
+    pieces = packed.collect()
+    by_place = {(r["sequence_id"], r["offset"]): r for r in pieces}
+    for r in pieces:
+        assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"]
+    for r in packing.sequences(packing.pack_documents(df, BPE)).collect():
+        want = []
+        while len(want) < r["length"]:
+            want += by_place[r["sequence_id"], len(want)]["ids"]
+        assert r["ids"] == want and len(want) <= 1024
+    for doc, text in texts:
+        mine = sorted((r for r in pieces if r["doc_id"] == doc), key=lambda r: r["piece"])
+        assert [x for r in mine for x in r["ids"]] == [*ids(text or ""), 2]
+    assert "ids" not in packing.pack_documents(df, BPE, with_ids=False).columns
+
+
+def bins_of(steps, counts):
+    bins = {}
+    for length, rank, first, each, _ in steps:
+        later = [r for n, r, *_ in steps if n == length and r > rank]
+        for nth in range(min(later, default=counts[length]) - rank):
+            bins.setdefault(first + nth // each, []).append(length)
+    return bins
+
+
+def test_choice_by_all_capacities_beats_choice_by_tokens():
+    """Where attention cost binds, the vector choice needs fewer sequences than best fit by tokens alone."""
+    rng = random.Random(12)
+    better = worse = 0
+    for _ in range(30):
+        counts = dict(Counter(rng.choice([4, 5, 7, 9, 11, 14, 17, 23, 29]) for _ in range(300)))
+        needed = {}
+        for name, weights in (("tokens", (1.0, 0.0, 0.0)), ("vector", (1.0, 1.0, 1.0))):
+            room = packing.Capacities(60, 8, 1000, weights)
+            bins = bins_of(packing.plan(counts, room).tolist(), counts)
+            assert Counter(n for b in bins.values() for n in b) == Counter(counts)
+            assert all(len(b) <= 8 and sum(b) <= 60 and sum(n * n for n in b) <= 1000 for b in bins.values())
+            needed[name] = len(bins)
+        better += needed["vector"] < needed["tokens"]
+        worse += needed["vector"] > needed["tokens"]
+    assert better > 2 * worse, (better, worse)
+
+
+def test_slices_of_a_batch_are_bounded_in_bytes(spark):
+    texts = [None, "", "x" * 50, "é" * 30, None, "y" * 300, "z", "", "w" * 99, "v", None]
+    array = pa.array(texts).slice(0)
+    for part in (array, array.slice(2, 7), pa.array([], pa.string()), pa.array(texts, pa.large_string())):
+        found = list(slices(part, 100))
+        assert [t for s in found for t in s.to_pylist()] == part.to_pylist()
+        assert all(len(s) == 1 or sum(len((t or "").encode()) for t in s.to_pylist()) <= 100 for s in found)
+    long = spark.range(0, 120, 1, 1).select("id", F.repeat(F.lit("a b c d e "), 50_000).alias("text"))
+    sizes = long.select("id", per_text(lambda: len, "bigint")(F.col("text")).alias("n")).collect()
+    assert sorted((r["id"], r["n"]) for r in sizes) == [(i, 500_000) for i in range(120)]
 
 
 def test_awkward_pieces(spark):
