@@ -48,7 +48,7 @@ class Settings:
     many_windows: int = 1_000
     window: int = 20
     rate: float = 0.01
-    score_lanes: int = 384
+    score_lanes: int = 192
     score_window: int = 24
     seed: int = 3
 
@@ -171,8 +171,9 @@ def first_parameters(known: Lexicon) -> dict[str, np.ndarray]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.multiply(x, -1, out=x)
-    np.exp(x, out=x)
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):  # beyond the range of exp the result is 0, as it should be
+        np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
@@ -180,11 +181,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def step(p: dict, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     """One gated step of many lanes: (new state, update, reset, candidate, recurrent part of the candidate)."""
     n = h.shape[1]
-    x, u = p["x"][symbols], h @ p["u"]
-    gates = _sigmoid(np.clip(x[:, : 2 * n] + u[:, : 2 * n], -30, 30))
-    update, reset, own = gates[:, :n], gates[:, n:], u[:, 2 * n :]
-    candidate = np.tanh(x[:, 2 * n :] + reset * own)
-    return candidate + update * (h - candidate), update, reset, candidate, own
+    x, u = p["x"].take(symbols, axis=0), h @ p["u"]
+    own = u[:, 2 * n :]
+    update, reset = _sigmoid(x[:, :n] + u[:, :n]), _sigmoid(x[:, n : 2 * n] + u[:, n : 2 * n])
+    candidate = reset * own
+    candidate += x[:, 2 * n :]
+    np.tanh(candidate, out=candidate)
+    new = h - candidate
+    new *= update
+    new += candidate
+    return new, update, reset, candidate, own
 
 
 def class_of(p: dict, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,87 +201,128 @@ def class_of(p: dict, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(rare, classes + symbols - common, symbols // size), np.where(rare, -1, symbols % size)
 
 
-def _log_sum(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials of the logits less their maximum, in place, and the log of their original sum."""
+def _log_sum(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials of the logits, their sums and the log of the sums of the original logits. Rows are shifted by
+    their maxima only if some exponential would leave the range of the numbers."""
+    ones = np.ones(logits.shape[1], logits.dtype)
+    with np.errstate(over="ignore"):
+        out = np.exp(logits)
+    sums = out @ ones
+    if not len(sums) or (sums.max() < 1e30 and sums.min() > 1e-30):
+        return out, sums, np.log(sums)
     top = logits.max(axis=1)
-    logits -= top[:, None]
-    np.exp(logits, out=logits)
-    return logits, np.log(logits.sum(axis=1)) + top
+    out = np.exp(logits - top[:, None])
+    sums = out @ ones
+    return out, sums, np.log(sums) + top
+
+
+def _by_class(p: dict, states: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """States and targets in order of the target's class, so that a class is a slice: (order, states, class, place,
+    edges of the classes with words of their own)."""
+    kind, place = class_of(p, targets)
+    order = np.argsort(kind.astype(np.int16), kind="stable")
+    kind = kind[order]
+    return order, states.take(order, axis=0), kind, place[order], np.searchsorted(kind, np.arange(len(p["o"]) + 1))
+
+
+def _inside(p: dict, states: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Logits of the words of the class of each row."""
+    inside = np.empty((edges[-1], p["o"].shape[2]), states.dtype)
+    for c, (a, b) in enumerate(zip(edges, edges[1:])):
+        if b > a:
+            np.matmul(states[a:b], p["o"][c], out=inside[a:b])
+            inside[a:b] += p["ob"][c]
+    return inside
 
 
 def log_probability(p: dict, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target symbol after each state."""
-    kind, place = class_of(p, targets)
+    order, states, kind, place, edges = _by_class(p, np.asarray(states, p["c"].dtype), targets)
     logits = states @ p["c"]
     logits += p["cb"]
-    picked = logits[np.arange(len(kind)), kind]
-    out = picked - _log_sum(logits)[1]
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(len(p["o"]) + 1))
-    for c, (a, b) in enumerate(zip(edges, edges[1:])):
-        if b > a:
-            at = order[a:b]
-            inside = states[at] @ p["o"][c]
-            inside += p["ob"][c]
-            picked = inside[np.arange(b - a), place[at]]
-            out[at] += picked - _log_sum(inside)[1]
+    logs = logits[np.arange(len(kind)), kind] - _log_sum(logits)[2]
+    inside, m = _inside(p, states, edges), edges[-1]
+    logs[:m] += inside[np.arange(m), place[:m]] - _log_sum(inside)[2]
+    out = np.empty_like(logs)
+    out[order] = logs
     return out
 
 
+def _share_less_one(logits: np.ndarray, wanted: np.ndarray) -> tuple[float, np.ndarray]:
+    """Summed loss of the wanted columns, and its derivative by the logits."""
+    at = np.arange(len(wanted))
+    picked = logits[at, wanted]
+    share, sums, log_sum = _log_sum(logits)
+    share *= np.reciprocal(sums)[:, None]
+    share[at, wanted] -= 1
+    return float((log_sum - picked).sum(dtype=np.float64)), share
+
+
 def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
     """Mean negative log probability of a window (steps x lanes), its gradients truncated at the window, last state."""
     steps, lanes = inputs.shape
-    n = h.shape[1]
-    trail, states = [], np.empty((steps, lanes, n), np.float32)
+    n, kind_of = h.shape[1], p["u"].dtype
+    starts = inputs == 0  # a document begins: symbol 0 is the end
+    opens = starts.any(axis=1)
+    before, states, update, reset, candidate, own = (np.empty((steps, lanes, n), kind_of) for _ in range(6))
     for t in range(steps):
-        h = np.where((inputs[t] == 0)[:, None], np.float32(0), h)  # a document begins: symbol 0 is the end
-        new, *parts = step(p, inputs[t], h)
-        trail.append((h, *parts))
-        states[t] = h = new
-    flat, wanted = states.reshape(-1, n), targets.ravel()
-    kind, place = class_of(p, wanted)
-    logits = flat @ p["c"] + p["cb"]
-    picked = logits[np.arange(len(kind)), kind]
-    share, log_sum = _log_sum(logits)
-    loss = float((log_sum - picked).sum())
-    share /= share.sum(axis=1)[:, None]
-    share[np.arange(len(kind)), kind] -= 1
-    g = {k: np.zeros_like(v) for k, v in p.items()}
-    g["c"], g["cb"] = flat.T @ share, share.sum(axis=0)
-    down = share @ p["c"].T
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(len(p["o"]) + 1))
+        before[t] = h
+        if opens[t]:
+            before[t][starts[t]] = 0
+        h, update[t], reset[t], candidate[t], own[t] = step(p, inputs[t], before[t])
+        states[t] = h
+    g = {}
+    order, flat, kind, place, edges = _by_class(p, states.reshape(-1, n), targets.ravel())
+    logits = flat @ p["c"]
+    logits += p["cb"]
+    loss, share = _share_less_one(logits, kind)
+    ones = np.ones(len(kind), kind_of)
+    g["c"], g["cb"] = flat.T @ share, ones @ share
+    sorted_down = share @ p["c"].T
+    more, share = _share_less_one(_inside(p, flat, edges), place[: edges[-1]])
+    g["o"], g["ob"] = np.zeros_like(p["o"]), np.zeros_like(p["ob"])
     for c, (a, b) in enumerate(zip(edges, edges[1:])):
         if b > a:
-            at = order[a:b]
-            inside = flat[at] @ p["o"][c] + p["ob"][c]
-            picked = inside[np.arange(len(at)), place[at]]
-            share, log_sum = _log_sum(inside)
-            loss += float((log_sum - picked).sum())
-            share /= share.sum(axis=1)[:, None]
-            share[np.arange(len(at)), place[at]] -= 1
-            g["o"][c], g["ob"][c] = flat[at].T @ share, share.sum(axis=0)
-            down[at] += share @ p["o"][c].T
+            np.matmul(flat[a:b].T, share[a:b], out=g["o"][c])
+            g["ob"][c] = ones[a:b] @ share[a:b]
+            sorted_down[a:b] += share[a:b] @ p["o"][c].T
+    down = np.empty_like(sorted_down)
+    down[order] = sorted_down
     down = down.reshape(steps, lanes, n)
-    back, moved = np.zeros((lanes, n), np.float32), np.empty((steps, lanes, 3 * n), np.float32)
+    # What the derivatives of the gates are multiplied with, for all steps at once.
+    rest = 1 - update
+    by_update = (before - candidate) * update
+    by_update *= rest
+    by_candidate = 1 - candidate * candidate
+    by_candidate *= rest
+    by_reset = own * (1 - reset)
+    back = np.zeros((lanes, n), kind_of)
+    inner, moved = np.empty((steps, lanes, 3 * n), kind_of), np.empty((steps, lanes, n), kind_of)
+    turned = np.ascontiguousarray(p["u"].T)
     for t in reversed(range(steps)):
-        before, update, reset, candidate, own = trail[t]
-        d = down[t] + back
-        d_candidate = d * (1 - update) * (1 - candidate**2)
-        d_update = d * (before - candidate) * update * (1 - update)
-        d_reset = d_candidate * own * reset * (1 - reset)
-        moved[t, :, :n], moved[t, :, n : 2 * n], moved[t, :, 2 * n :] = d_update, d_reset, d_candidate
-        inner = np.concatenate([d_update, d_reset, d_candidate * reset], axis=1)
-        g["u"] += before.T @ inner
-        back = inner @ p["u"].T + d * update
-        back[inputs[t] == 0] = 0
+        back += down[t]
+        np.multiply(back, by_candidate[t], out=moved[t])
+        through = moved[t] * reset[t]
+        np.multiply(back, by_update[t], out=inner[t, :, :n])
+        np.multiply(through, by_reset[t], out=inner[t, :, n : 2 * n])
+        inner[t, :, 2 * n :] = through
+        back *= update[t]
+        back += inner[t] @ turned
+        if opens[t]:
+            back[starts[t]] = 0
+    g["u"] = before.reshape(-1, n).T @ inner.reshape(-1, 3 * n)
+    inner[:, :, 2 * n :] = moved
     # Rows of equal symbols are added up side by side.
-    order = np.argsort(inputs, axis=None, kind="stable")
-    symbols = inputs.ravel()[order]
-    first = np.flatnonzero(np.r_[True, symbols[1:] != symbols[:-1]])
-    g["x"][symbols[first]] = np.add.reduceat(moved.reshape(-1, 3 * n)[order], first, axis=0)
-    size = steps * lanes
-    return loss / size, {k: v / size for k, v in g.items()}, h
+    seen = inputs.ravel()
+    order = np.argsort(seen.astype(np.int16) if len(p["x"]) < 1 << 15 else seen, kind="stable")
+    seen = seen[order]
+    first = np.flatnonzero(np.r_[True, seen[1:] != seen[:-1]])
+    g["x"] = np.zeros_like(p["x"])
+    g["x"][seen[first]] = np.add.reduceat(inner.reshape(-1, 3 * n).take(order, axis=0), first, axis=0)
+    size = kind_of.type(steps * lanes)
+    for v in g.values():
+        v /= size
+    return (loss + more) / float(size), g, h
 
 
 def train_stream(p: dict, stream: np.ndarray, settings: Settings) -> dict:
@@ -300,14 +347,23 @@ def train_stream(p: dict, stream: np.ndarray, settings: Settings) -> dict:
     for at in range(0, length, settings.window):
         _, g, h = gradients(p, inputs[at : at + settings.window], targets[at : at + settings.window], h)
         count += 1
-        norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
+        norm = sum(float(np.vdot(v, v)) for v in g.values()) ** 0.5
         scale = min(1.0, 1.0 / (norm + 1e-9))
-        rate = settings.rate * (1 - 0.8 * count / total)
+        rate = settings.rate * (1 - 0.8 * count / total) / (1 - 0.9**count)
         for k, v in g.items():
             v *= scale
-            mean[k] += 0.1 * (v - mean[k])
-            square[k] += 0.005 * (v * v - square[k])
-            p[k] -= rate * (mean[k] / (1 - 0.9**count)) / (np.sqrt(square[k] / (1 - 0.995**count)) + 1e-8)
+            mean[k] *= 0.9
+            mean[k] += 0.1 * v
+            v *= v
+            v *= 0.005
+            square[k] *= 0.995
+            square[k] += v
+            size = np.sqrt(square[k])
+            size *= (1 - 0.995**count) ** -0.5
+            size += 1e-8
+            np.divide(mean[k], size, out=size)
+            size *= rate
+            p[k] -= size
     return p
 
 
@@ -317,8 +373,8 @@ def train_stream(p: dict, stream: np.ndarray, settings: Settings) -> dict:
 def _symbols(known: Lexicon, found: list[bytes]) -> np.ndarray:
     at = np.fromiter(map(known.head.get, found, repeat(-1)), np.int64, len(found))
     symbols = known.symbol[at]
-    for i in np.flatnonzero(at < 0):
-        symbols[i] = known.common + rare_class(found[i], known.settings.rare_classes)
+    lost = np.flatnonzero(at < 0).tolist()
+    symbols[lost] = [known.common + rare_class(found[i], known.settings.rare_classes) for i in lost]
     return symbols
 
 
@@ -402,7 +458,6 @@ def sequence_logs(p: dict, documents: list[np.ndarray], settings: Settings) -> n
                 block[: len(part), lane] = part
             alive = np.minimum(lengths[:live] - at, wide)
             states = np.empty((wide, live, n), np.float32)
-            seen = np.arange(wide)[:, None] < alive[None, :]
             # Each state comes from the symbols before its target; the first one reads the end symbol.
             before = np.zeros(live, np.int32) if at == 0 else np.array([documents[i][at - 1] for i in group[:live]], np.int32)
             now = h[:live]
@@ -410,9 +465,13 @@ def sequence_logs(p: dict, documents: list[np.ndarray], settings: Settings) -> n
                 now = states[t] = step(p, before, now)[0]
                 before = block[t]
             h[:live] = now
-            logs = np.zeros((wide, live))
-            logs[seen] = log_probability(p, states[seen], block[seen])
-            total[:live] += logs.sum(axis=0)
+            if alive.min() == wide:
+                logs = log_probability(p, states.reshape(-1, n), block.ravel()).reshape(wide, live)
+            else:
+                seen = np.arange(wide)[:, None] < alive[None, :]
+                logs = np.zeros((wide, live))
+                logs[seen] = log_probability(p, states[seen], block[seen])
+            total[:live] += logs.sum(axis=0, dtype=np.float64)
         out[group] = total
     return out
 
@@ -423,37 +482,43 @@ SCORED = (
 )
 
 
-def _scored(known: Lexicon, p: dict, texts: list[bytes | None]) -> list[dict]:
+def _scored(known: Lexicon, p: dict, texts: list[bytes | None], kind: pa.StructType) -> pa.Array:
     """For each text: tokens, known ones and the sum of log10(c + 1) as far as the head goes, log10 probability but
     for the counts of tail words, and those words."""
     s = known.settings
-    documents, rows = [], []
-    for data in texts:
+    documents, tail_words, tail_counts, ends = [], [], [], [0]
+    n_known, log_counts, log_model = (np.zeros(len(texts)) for _ in range(3))
+    for row, data in enumerate(texts):
         found = words((data or b"").lower())
         found.append(END)
         at = np.fromiter(map(known.head.get, found, repeat(-1)), np.int64, len(found))
         symbols = known.symbol[at]
-        lost = np.flatnonzero(at < 0)
-        tail = Counter([found[i] for i in lost])
-        for i in lost:
-            symbols[i] = known.common + rare_class(found[i], s.rare_classes)
+        lost = np.flatnonzero(at < 0).tolist()
+        if lost:
+            tail = Counter([found[i] for i in lost])
+            tail_words += tail.keys()
+            tail_counts += tail.values()
+            symbols[lost] = [known.common + rare_class(found[i], s.rare_classes) for i in lost]
+        ends.append(len(tail_words))
         inside = at[at >= 0]
-        rare = symbols >= known.common
+        rare = symbols[symbols >= known.common]
         documents.append(symbols)
         logs = known.log_count[inside]
-        own = logs[known.symbol[inside] >= known.common].sum() - known.rare_log[symbols[rare] - known.common].sum()
-        rows.append(
-            {
-                "n_tokens": len(found),
-                "n_known": int(np.count_nonzero(logs > 0)),
-                "log_counts": float(logs.sum()),
-                "log_model": float(own),
-                "tail": [{"word": w, "n": n} for w, n in tail.items()],
-            }
-        )
-    for row, log in zip(rows, sequence_logs(p, documents, s)):
-        row["log_model"] += float(log) / LN10
-    return rows
+        n_known[row], log_counts[row] = np.count_nonzero(logs > 0), logs.sum()
+        log_model[row] = logs[known.symbol[inside] >= known.common].sum() - known.rare_log[rare - known.common].sum()
+    log_model += sequence_logs(p, documents, s) / LN10
+    tails = kind.field("tail").type
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(tail_words, pa.binary()), pa.array(tail_counts, pa.int32())], fields=list(tails.value_type)
+    )
+    columns = [
+        pa.array(list(map(len, documents)), pa.int64()),
+        pa.array(n_known.astype(np.int64)),
+        pa.array(log_counts),
+        pa.array(log_model),
+        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs, type=tails),
+    ]
+    return pa.StructArray.from_arrays(columns, fields=list(kind))
 
 
 def score_documents(
@@ -487,7 +552,7 @@ def score_documents(
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             for part in slices(batch, 4 * SLICE_BYTES):
-                yield pa.array(_scored(shared.value, parameters.value, raw_texts(part)), kind)
+                yield _scored(shared.value, parameters.value, raw_texts(part), kind)
 
     judged = F.arrow_udf(run, SCORED).asNondeterministic()(F.col("text"))
     staged = stage(
