@@ -2,35 +2,24 @@
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, StructType
 
+from stationflow.storage import reach_workers as reach_workers
+
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 # A task turns at most so many bytes of texts into Python objects at a time, or one longer text.
 SLICE_BYTES = 16 << 20
 
 
-def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, if the driver was not told by PYTHONPATH.
-
-    On a cluster whose machines do not share that folder, send the package along with ``--py-files``.
-    """
-    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in known:
-        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
-
-
 def words(data: bytes) -> list[bytes]:
     """Words of a UTF-8 text: what lies between the bytes 20 and 09 to 0D, which is where ``bytes.split`` cuts."""
     return data.split()

@@ -9,9 +9,10 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 
+from stationflow.operators import ensembles
 from stationflow.operators.prepare import base_preparation, fit_base
 from stationflow.sources.models import fingerprint, load_model, model_path, save_model
-from stationflow.spec import CLF_LABEL, REG_LABEL, ModelSettings, SeriesSpec
+from stationflow.spec import CLF_LABEL, NUMERIC_FEATURES, REG_LABEL, ModelSettings, SeriesSpec
 from stationflow.storage import stage
 
 CLASSIFIERS = ("lr", "rf", "gbt")
@@ -85,7 +86,11 @@ class Trainer:
         found = load_model(self.train.sparkSession, path)
         if found is None:
             base, vectors = self._prepared()
-            save_model(PipelineModel(stages=[*base.stages, unfitted.fit(vectors)]), path)
+            if (task, name) in ensembles.MODELS:
+                fitted = ensembles.fit(vectors, unfitted, task, name, len(NUMERIC_FEATURES))
+            else:
+                fitted = unfitted.fit(vectors)
+            save_model(PipelineModel(stages=[*base.stages, fitted]), path)
             # A fresh linear model drags its training summary into every task that scores with it.
             found = load_model(self.train.sparkSession, path)
         return found

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.spec import SeriesSpec
@@ -42,6 +42,27 @@ def fit_base(train: DataFrame, spec: SeriesSpec) -> PipelineModel:
     return base_preparation(spec).fit(train)
 
 
+def vector_width(vector: str) -> Column:
+    """Positions of a vector."""
+    v = F.unwrap_udt(vector)
+    return F.when(v["type"] == 0, v["size"]).otherwise(F.size(v["values"]))
+
+
+def vector_value(vector: str, at: Column) -> Column:
+    """The value at a position of a vector, found among those it holds: a sparse one is not made dense."""
+    v = F.unwrap_udt(vector)
+    held = F.get(v["values"], F.array_position(v["indices"], at) - 1)
+    return F.when(v["type"] == 0, F.coalesce(held, F.lit(0.0))).otherwise(F.get(v["values"], at))
+
+
+def vector_entries(vector: str) -> Column:
+    """Array of (at, x) of the values a vector holds; positions a sparse one leaves out are zero."""
+    v = F.unwrap_udt(vector)
+    every = F.transform(v["values"], lambda x, at: F.struct(at.alias("at"), x.alias("x")))
+    held = F.zip_with(v["indices"], v["values"], lambda at, x: F.struct(at.alias("at"), x.alias("x")))
+    return F.when(v["type"] == 0, held).otherwise(every)
+
+
 def label_index(rows: DataFrame, key: str) -> DataFrame:
     """(key, idx) of every label: falling frequency, ties by label, from 0; null labels have none.
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stationflow.operators.prepare import vector_value
 from stationflow.storage import broadcast_if_small
 
 
@@ -45,9 +45,13 @@ def walked(rows: DataFrame, trees: DataFrame, depth: int, features: str = "featu
     nodes = broadcast_if_small(trees)
     step = nodes.select("tree", "node", "left", "right", "feature", "cut", "categories")
     starts = trees.where("node = 0").agg(F.sort_array(F.collect_list("tree")).alias("trees"))
-    now = rows.select(*kept, vector_to_array(features).alias("_x")).join(F.broadcast(starts))
+    # Vectors stay as they are: a dense one-hot entity would be as wide as there are entities, in every row and tree.
+    # A row is walked in every tree, so few bytes are much work: they are dealt over more tasks than a scan of them has.
+    spark = rows.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    now = rows.select(*kept, F.col(features).alias("_x")).repartition(tasks).join(F.broadcast(starts))
     now = now.select(*kept, "_x", F.explode("trees").alias("tree"), F.lit(0).alias("node"))
-    value = F.get("_x", F.col("feature"))
+    value = vector_value("_x", F.col("feature"))
     goes_left = F.when(F.col("categories").isNull(), value <= F.col("cut")).otherwise(
         F.array_contains("categories", value)
     )
