@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,6 +45,7 @@ KEYS = ("StationID", "event_id")
 SAMPLED_STATIONS = 50
 SAMPLE_ROWS = 1_000
 SHORT_BLOCKS = 70
+FILE_TASKS = 16
 # Clean rows have no parsed time yet; their date text sorts the same way.
 FEED_BY_TEXT = SeriesSpec(time="datetime", tiebreak=FEED.tiebreak)
 
@@ -716,13 +717,12 @@ def h02_one_hot(spark, sf):
 def _vectors(spark, sf, column: str) -> DataFrame:
     """The numeric part of a feature vector as columns again, and the vector's width."""
     rows = feature_table(spark, sf)
-    dense = pp.fit_base(rows, FEED).transform(rows).select(*KEYS, vector_to_array(column).alias("v"))
+    vectors = pp.fit_base(rows, FEED).transform(rows)
+    # Only the numeric positions are made dense: the rest is as wide as there are stations.
+    numeric = VectorSlicer(inputCol=column, outputCol="numeric", indices=list(range(len(NUMERIC_FEATURES)))).transform(vectors)
+    numeric = numeric.select(*KEYS, pp.vector_width(column).alias("width"), vector_to_array("numeric").alias("v"))
     return tidy_types(
-        dense.select(
-            *KEYS,
-            F.size("v").alias("width"),
-            *[F.col("v")[i].alias(name) for i, name in enumerate(NUMERIC_FEATURES)],
-        )
+        numeric.select(*KEYS, "width", *[F.col("v")[i].alias(name) for i, name in enumerate(NUMERIC_FEATURES)])
     )
 
 
@@ -740,7 +740,7 @@ def h04_scaled(spark, sf):
 def h05_base_stages(spark, sf):
     """What the shared preparation yields: rows, and the width of their vectors."""
     rows = feature_table(spark, sf)
-    widths = pp.fit_base(rows, FEED).transform(rows).select(F.size(vector_to_array("features")).alias("width"))
+    widths = pp.fit_base(rows, FEED).transform(rows).select(pp.vector_width("features").alias("width"))
     return tidy_types(widths.agg(F.count(F.lit(1)).alias("rows"), F.max("width").alias("width")))
 
 
@@ -753,17 +753,20 @@ def h06_hash_split(spark, sf):
 def h06_csv_split(spark, sf):
     """Rows of the CSV files, and how many change sides or keys when the files are cut into other input splits."""
     csv = feed.write_observation_files(spark, sf)
-    spec, setting = SeriesSpec(), "spark.sql.files.maxPartitionBytes"
-    usual = spark.conf.get(setting)
+    spec, setting, packing = SeriesSpec(), "spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum"
+    usual, packed = spark.conf.get(setting), spark.conf.get(packing, None)
     sides = []
     for size in (usual, "2k"):
         spark.conf.set(setting, size)
+        # Files are cut at the size all the same; the pieces share tasks, as one for each would be a task per file or more.
+        spark.conf.set(packing, str(FILE_TASKS * spark.sparkContext.defaultParallelism))
         try:
             # Staged, because the scan is planned with the setting of the moment.
             rows = sp.with_split(ob.read_observations(spark, csv), spec).select("StationID", "row_key", "split")
             sides.append(stage(rows, "csv-split"))
         finally:
             spark.conf.set(setting, usual)
+            spark.conf.unset(packing) if packed is None else spark.conf.set(packing, packed)
     one, two = sides
     return one.agg(F.count(F.lit(1)).alias("rows")).crossJoin(
         one.exceptAll(two).agg(F.count(F.lit(1)).alias("moved"))
@@ -883,13 +886,16 @@ def h11_normal_equations(spark, sf):
     base = pp.fit_base(train, FEED)
     vectors = base.transform(train).select("features", "label_reg")
     line = md.estimator("reg", "linear", md.ModelSettings(l2=0.0)).fit(vectors)
-    dense = vector_to_array("features")
     residual = F.col("label_reg") - F.col("prediction")
-    sums = line.transform(vectors).select(residual.alias("r"), F.posexplode(dense).alias("at", "x"))
+    scored = line.transform(vectors).select(residual.alias("r"), "features")
+    # Zeros of an input add to no sum, and all inputs share the sum over the squared residuals.
+    held = scored.select("r", F.inline(pp.vector_entries("features")))
+    sums = held.groupBy("at").agg(F.sum(F.col("r") * F.col("x")).alias("rx"), F.sum(F.col("x") ** 2).alias("xx"))
+    whole = scored.agg(F.sum(F.col("r") ** 2).alias("rr"))
     # Per input: the cosine between residuals and input, which is scale-free.
-    cosines = sums.groupBy("at").agg(
-        F.try_divide(F.abs(F.sum(F.col("r") * F.col("x"))), F.sqrt(F.sum(F.col("r") ** 2) * F.sum(F.col("x") ** 2))).alias("c")
-    )
+    cosine = F.try_divide(F.abs("rx"), F.sqrt(F.col("rr") * F.col("xx")))
+    inputs = _positions(spark, vectors).join(sums, "at", "left").join(F.broadcast(whole))
+    cosines = inputs.select(cosine.alias("c"))
     return cosines.agg(F.count(F.lit(1)).alias("inputs"), F.count_if(F.coalesce("c", F.lit(0.0)) < 1e-4).alias("orthogonal"))
 
 
@@ -1014,9 +1020,16 @@ def h05_vector_sums(spark, sf):
     """Sums over all rows of every position of the prepared vectors."""
     rows = feature_table(spark, sf)
     vectors = pp.fit_base(rows, FEED).transform(rows)
-    tall = vectors.select(F.posexplode(vector_to_array("features")).alias("at", "x"))
-    sums = tall.groupBy(F.col("at").cast("bigint").alias("at")).agg(F.round(F.sum("x"), 3).alias("total"))
-    return sums.withColumn("total", F.col("total") + 0.0)
+    held = vectors.select(F.inline(pp.vector_entries("features")))
+    sums = held.groupBy(F.col("at").cast("bigint").alias("at")).agg(F.round(F.sum("x"), 3).alias("total"))
+    # Positions that are zero in every row add up to zero.
+    every = _positions(spark, vectors).join(sums, "at", "left")
+    return every.select("at", (F.coalesce("total", F.lit(0.0)) + 0.0).alias("total"))
+
+
+def _positions(spark, vectors: DataFrame) -> DataFrame:
+    """(at) of every position of vectors of one preparation."""
+    return spark.range(vectors.agg(F.max(pp.vector_width("features"))).first()[0] or 0).withColumnRenamed("id", "at")
 
 
 # ---- I: evaluation ------------------------------------------------------------------------------------
