@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationflow.operators.prepare import vector_value
+from stationflow.operators.prepare import vector_entries, vector_value, vector_width
 from stationflow.storage import broadcast_if_small
 
 
@@ -34,32 +34,50 @@ def tree_table(spark: SparkSession, path: str, uid: str) -> DataFrame:
     )
 
 
-def walked(rows: DataFrame, trees: DataFrame, depth: int, features: str = "features") -> DataFrame:
+# Positions of a vector that rows hold as an array while they are walked; the others are looked for.
+HEAD = 64
+
+
+def _head_and_tail(vector: str) -> tuple[Column, Column]:
+    """The first ``HEAD`` values of a vector as an array, and (at, x) of what it holds beyond them."""
+    head = F.transform(F.sequence(F.lit(0), F.least(F.lit(HEAD), vector_width(vector)) - 1), lambda at: vector_value(vector, at))
+    return head, F.filter(vector_entries(vector), lambda held: held["at"] >= HEAD)
+
+
+def walked(
+    rows: DataFrame, trees: DataFrame, depth: int, features: str = "features", keys: list[str] | None = None
+) -> DataFrame:
     """Where every row ends in every tree: the columns of ``rows`` but the vector, tree, prediction, stats, weight.
 
     Each round joins (row, tree, node) with the nodes on (tree, node) and moves to a child; leaves stay. The node
     table has at most trees * 2 ** (depth + 1) rows, so it is broadcast and the rounds follow each other in one stage.
-    A missing input (NaN) goes right, as it is not ``<= cut``.
+    A missing input (NaN) goes right, as it is not ``<= cut``. Rows are dealt by ``keys`` if given, so that what is
+    grouped by them afterwards stays where it is, in all trees.
     """
     kept = [c for c in rows.columns if c != features]
     nodes = broadcast_if_small(trees)
     step = nodes.select("tree", "node", "left", "right", "feature", "cut", "categories")
     starts = trees.where("node = 0").agg(F.sort_array(F.collect_list("tree")).alias("trees"))
-    # Vectors stay as they are: a dense one-hot entity would be as wide as there are entities, in every row and tree.
     # A row is walked in every tree, so few bytes are much work: they are dealt over more tasks than a scan of them has.
     spark = rows.sparkSession
     tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    now = rows.select(*kept, F.col(features).alias("_x")).repartition(tasks).join(F.broadcast(starts))
-    now = now.select(*kept, "_x", F.explode("trees").alias("tree"), F.lit(0).alias("node"))
-    value = vector_value("_x", F.col("feature"))
+    # The vector is opened once a row, not in every tree and round. A dense one would be as wide as there are entities.
+    head, tail = _head_and_tail(features)
+    now = rows.repartition(tasks, *(keys or [])).select(*kept, head.alias("_head"), tail.alias("_tail"))
+    now = now.join(F.broadcast(starts))
+    now = now.select(*kept, "_head", "_tail", F.explode("trees").alias("tree"), F.lit(0).alias("node"))
+    # A lambda ends Spark's generated code. Without one in each round, all rounds are one method, and the JVM does
+    # not compile methods of that length.
+    far = F.aggregate("_tail", F.lit(0.0), lambda x, held: F.when(held["at"] == F.col("feature"), held["x"]).otherwise(x))
+    value = F.when(F.col("feature") < HEAD, F.get("_head", F.col("feature"))).otherwise(far)
     goes_left = F.when(F.col("categories").isNull(), value <= F.col("cut")).otherwise(
         F.array_contains("categories", value)
     )
     child = F.when(F.col("left") < 0, F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right"))
     for _ in range(depth):
-        now = now.join(step, ["tree", "node"]).select(*kept, "_x", "tree", child.alias("node"))
+        now = now.join(step, ["tree", "node"]).select(*kept, "_head", "_tail", "tree", child.alias("node"))
     leaves = nodes.select("tree", "node", "prediction", "stats", "weight")
-    return now.drop("_x").join(leaves, ["tree", "node"]).drop("node")
+    return now.drop("_head", "_tail").join(leaves, ["tree", "node"]).drop("node")
 
 
 def forest_votes(ends: DataFrame, keys: list[str], classes: int = 2) -> DataFrame:

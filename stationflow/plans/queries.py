@@ -934,7 +934,7 @@ def h09_walked(spark, sf):
     """Votes of the stored forest by joins with its node table, against the fitted model, on every test row."""
     model, trees, trainer = _stored_trees(spark, sf, "clf", "rf")
     said = _said(model, split_tables(spark, sf)[1], md.TASK_LABEL["clf"])
-    ends = tr.walked(said.select(*KEYS, "features"), trees, trainer.settings.forest_depth)
+    ends = tr.walked(said.select(*KEYS, "features"), trees, trainer.settings.forest_depth, keys=list(KEYS))
     return _agreeing(said, tr.forest_votes(ends, list(KEYS)))
 
 
@@ -943,7 +943,7 @@ def h12_walked(spark, sf):
     """Means of the stored forest by joins with its node table, against the fitted model, on every test row."""
     model, trees, trainer = _stored_trees(spark, sf, "reg", "rf")
     said = _said(model, split_tables(spark, sf)[1], md.TASK_LABEL["reg"])
-    ends = tr.walked(said.select(*KEYS, "features"), trees, trainer.settings.forest_depth)
+    ends = tr.walked(said.select(*KEYS, "features"), trees, trainer.settings.forest_depth, keys=list(KEYS))
     return _agreeing(said, tr.forest_means(ends, list(KEYS)))
 
 

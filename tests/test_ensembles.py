@@ -1,5 +1,8 @@
 """Tree ensembles and vector sums over a wide one-hot entity, and station files written by the tasks."""
 
+import re
+from collections import Counter
+
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -67,6 +70,50 @@ def test_entities_do_not_widen_rows(spark, tmp_path, task, name):
         assert both.where("abs(prediction - walked) < 1e-9").count() == 1200
 
 
+NODES = (
+    "tree int, node int, left int, right int, feature int, cut double, categories array<double>, prediction double, "
+    "stats array<double>, weight double"
+)
+
+
+def test_rounds_of_a_walk_are_no_single_method(spark):
+    """Nine joins in one generated method are more than the JVM compiles: a step took some 50 microseconds."""
+    rows = spark.createDataFrame([(1, Vectors.dense([1.0]))], ["id", "features"])
+    trees = spark.createDataFrame([(0, 0, -1, -1, -1, None, None, 2.0, [1.0], 1.0)], NODES)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ends = tr.walked(rows, trees, 8)
+        text = ends._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(r) for r in ends.collect()] == [(0, 1, 2.0, [1.0], 1.0)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    together = Counter(re.findall(r"\*\((\d+)\) BroadcastHashJoin", text))
+    assert text.count("BroadcastHashJoin") == 9 and max(together.values(), default=0) <= 2
+
+
+def test_walks_read_near_and_far_positions(spark):
+    """Positions before and beyond those that are held as an array, in sparse and dense vectors, held or zero."""
+    first, far = tr.HEAD - 1, tr.HEAD + 7
+    held = [{}, {first: 1.0}, {far: 1.0}, {first: 1.0, far: 1.0}, {first: float("nan"), far: 1.0}]
+    width = tr.HEAD + 20
+    vectors = [Vectors.sparse(width, v) for v in held] + [Vectors.dense(Vectors.sparse(width, v).toArray()) for v in held]
+    rows = spark.createDataFrame(list(enumerate(vectors)), ["id", "features"])
+    leaf = (-1, -1, -1, None, None)
+    trees = spark.createDataFrame(
+        [
+            (3, 0, 1, 2, first, 0.5, None, 0.0, [1.0], 1.0),
+            (3, 1, 3, 4, far, None, [0.0, 2.0], 0.0, [1.0], 1.0),
+            (3, 2, *leaf, 9.0, [1.0], 1.0),
+            (3, 3, *leaf, 7.0, [1.0], 1.0),
+            (3, 4, *leaf, 8.0, [1.0], 1.0),
+        ],
+        NODES,
+    )
+    ends = tr.walked(rows, trees, 2, keys=["id"])
+    said = [r["prediction"] for r in ends.orderBy("id").collect()]
+    assert said == 2 * [7.0, 9.0, 8.0, 9.0, 9.0]
+
+
 def test_values_and_entries_of_vectors(spark):
     vectors = [Vectors.sparse(50_000_000, [1, 40_000_000], [2.0, 3.0]), Vectors.dense([0.0, 5.0, 6.0])]
     rows = spark.createDataFrame([(v,) for v in vectors], ["v"])
