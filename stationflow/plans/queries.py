@@ -952,7 +952,7 @@ def _staged(spark, sf, task: str) -> DataFrame:
     stage says what the fitted model says."""
     model, trees, trainer = _stored_trees(spark, sf, task, "gbt")
     said = _said(model, split_tables(spark, sf)[0], md.TASK_LABEL[task])
-    ends = tr.walked(said.select(*KEYS, "label", "features"), trees, trainer.settings.boost_depth)
+    ends = tr.walked(said.select(*KEYS, "label", "features"), trees, trainer.settings.boost_depth, keys=list(KEYS))
     margins = stage(tr.staged_margins(ends, list(KEYS)).select(*KEYS, "label", "tree", "margin"), "margins")
     loss = (tr.log_loss if task == "clf" else tr.squared_loss)(F.col("label"), F.col("margin"))
     # A row for each tree of the model.
