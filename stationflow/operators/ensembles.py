@@ -226,11 +226,9 @@ def _opened(part: int, rows):
 # ---- one level of all trees ---------------------------------------------------------------------------
 
 
-def _by_node(node: np.ndarray, at: np.ndarray, nodes: int, size: int, weights) -> np.ndarray:
-    """Sums (node, at, statistic)."""
-    index = node * np.int64(size) + at
-    sums = [np.bincount(index, w, nodes * size).reshape(nodes, size) for w in weights]
-    return np.stack(sums, -1)
+def _by_node(cells: np.ndarray, nodes: int, size: int, weights) -> np.ndarray:
+    """Sums (node, place, statistic) over rows of the cell ``node * size + place``; rows count once without a weight."""
+    return np.stack([np.bincount(cells, w, nodes * size).reshape(nodes, size) for w in weights], -1)
 
 
 def _gains(right: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -268,41 +266,47 @@ def _statistics(block: dict, inputs: Inputs, tree: Tree, number: int, level: int
     low, size = 2**level - 1, 2**level
     rows = np.arange(len(label)) if weight is None else np.flatnonzero(weight)
     node = tree.ends(block, rows, level) - low
-    inside = node >= 0
-    rows, node = rows[inside], node[inside]
+    # In order of nodes, so that those of some nodes are a slice; inside a node they stay in the order of the block.
+    order = np.argsort(node.astype(np.int16), kind="stable")
+    order = order[np.searchsorted(node, 0, sorter=order) :]
+    rows, node = rows[order], node[order].astype(np.int64)
     y = label[rows]
-    w = np.ones(len(rows)) if weight is None else weight[rows].astype(float)
-    weights = (w, w * y, w * y * y)
+    w = None if weight is None else weight[rows].astype(float)
+    wy = y if w is None else w * y
+    weights = (w, wy, wy * y)
     nodes = np.arange(size) + low
     allowed, chance = _shares(inputs, taken, seed, number, nodes)
     dense = np.zeros((inputs.dense, size, inputs.bins, 3))
-    for at in range(inputs.dense):
-        if allowed[:, at].all():
-            dense[at] = _by_node(node, block["bins"][at][rows], size, inputs.bins, weights)
-        elif allowed[:, at].any():
-            some = allowed[node, at]
-            dense[at] = _by_node(node[some], block["bins"][at][rows[some]], size, inputs.bins, [x[some] for x in weights])
-    spread = _by_node(node, block["spread"][rows], size, len(inputs.heavy) + 1, weights)[:, :-1]
-    best, names = np.full((size, 6), -np.inf), block["names"]
+    bins, cells = block["bins"].take(rows, axis=1), node * inputs.bins
+    for at in np.flatnonzero(allowed.any(0)):
+        # Rows of other nodes are added up too: leaving them out takes longer.
+        dense[at] = _by_node(cells + bins[at], size, inputs.bins, weights)
+        dense[at][~allowed[:, at]] = 0
+    spread = _by_node(node * (len(inputs.heavy) + 1) + block["spread"][rows], size, len(inputs.heavy) + 1, weights)[:, :-1]
+    best, names, own = np.full((size, 6), -np.inf), block["names"], block["own"][rows]
     total = tree.stats[nodes]
     for start in range(0, size, 16):
-        # A few nodes at a time: the entities of a block are many.
-        some = (node >= start) & (node < start + 16)
-        if not some.any():
-            continue
+        # A few nodes at a time: the entities of a block are many. Few of them are in any one node further down.
         few = min(16, size - start)
-        own = _by_node(node[some] - start, block["own"][rows[some]], few, len(names), [x[some] for x in weights])
-        gains = _gains(own, total[start : start + few, None])
-        gains[:, names < 0] = -np.inf
+        a, b = np.searchsorted(node, [start, start + few])
+        if a == b:
+            continue
+        cells = (node[a:b] - start) * len(names) + own[a:b]
+        sums = [np.bincount(cells, None if x is None else x[a:b], few * len(names)) for x in weights]
+        held = np.flatnonzero(sums[0])
+        line, name = np.divmod(held, len(names))
+        sums = np.stack([x[held] for x in sums], -1)
+        gains = _gains(sums, total[start + line])
+        gains[names[name] < 0] = -np.inf
         if (chance[start : start + few] < 1).any():
-            at, name = np.nonzero(gains > 0)
-            out = _chance(seed, number, nodes[start + at], names[name]) >= chance[start + at]
-            gains[at[out], name[out]] = -np.inf
-        top = gains.argmax(1)
-        lines = np.arange(few)
-        # Gain, position, threshold, and the statistics on its right.
-        found = [gains[lines, top][:, None], names[top][:, None], block["scales"][top][:, None] / 2, own[lines, top]]
-        best[start : start + few] = np.hstack(found)
+            some = np.flatnonzero(gains > 0)
+            drawn = _chance(seed, number, nodes[start + line[some]], names[name[some]])
+            gains[some[drawn >= chance[start + line[some]]]] = -np.inf
+        edges = np.searchsorted(line, np.arange(few + 1))
+        for at in np.flatnonzero(np.diff(edges)):
+            top = edges[at] + gains[edges[at] : edges[at + 1]].argmax()
+            # Gain, position, threshold, and the statistics on its right.
+            best[start + at] = [gains[top], names[name[top]], block["scales"][name[top]] / 2, *sums[top]]
     return dense, spread, best
 
 

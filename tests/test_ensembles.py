@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -52,6 +53,29 @@ def test_boosting_makes_the_trees_of_spark(spark, task):
     assert splits[0] == splits[1] and values[0] == pytest.approx(values[1], rel=1e-9, abs=1e-9)
 
 
+def test_gains_are_taken_of_the_entities_a_node_holds(monkeypatch):
+    """Gains per (node, entity) with rows, not of all entities of a block at every node; the best one as by a plain loop."""
+    entities, count = 5_000, 300
+    names = np.arange(2, 2 + entities, dtype=np.int32)
+    own = (np.arange(count) * 7 % 40 * 100).astype(np.int32)
+    label = np.arange(count) % 13 + own / 1_000
+    block = {"bins": (np.arange(2 * count).reshape(2, count) % 5).astype(np.uint8), "hot": names[own], "own": own}
+    block |= {"spread": np.zeros(count, np.int16), "names": names, "scales": np.full(entities, 2.0)}
+    tree = en.Tree(2, en._totals(label))
+    tree.feature[0], tree.cut[0] = 1, 2
+    right = block["bins"][1] > 2
+    tree.stats[1], tree.stats[2] = en._totals(label[~right]), en._totals(label[right])
+    sizes, inner = [], en._gains
+    monkeypatch.setattr(en, "_gains", lambda sums, total: sizes.append(len(sums.reshape(-1, 3))) or inner(sums, total))
+    inputs = en.Inputs([np.arange(4.0)] * 2, 2 + entities, 5, [])
+    best = en._statistics(block, inputs, tree, 0, 1, inputs.width, 1, None, label)[2]
+    assert max(sizes) <= count
+    for node, rows in enumerate((~right, right)):
+        gains = {e: float(inner(en._totals(label[rows & (own == e)]), tree.stats[1 + node])) for e in sorted({*own[rows]})}
+        top = max(gains, key=gains.get)
+        assert best[node] == pytest.approx([gains[top], names[top], 1.0, *en._totals(label[rows & (own == top)])])
+
+
 @pytest.mark.parametrize("task, name", [("reg", "rf"), ("clf", "rf"), ("reg", "gbt"), ("clf", "gbt")])
 def test_entities_do_not_widen_rows(spark, tmp_path, task, name):
     """2 million positions: dense rows of bins or values would be 10 and 20 GB."""
