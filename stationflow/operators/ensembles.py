@@ -32,6 +32,8 @@ from stationflow.storage import delete, reach_workers, stage, work_dir
 ROWS_PER_BLOCK = 250_000
 # An entity with more than this share of the rows is spread over all parts; there are fewer than 256 such.
 HEAVY_SHARE = 1 / 256
+# Statistics of a single tree's level, over all parts, up to which the driver adds them up itself: a stage less a level.
+FEW_BYTES = 32 << 20
 # Rows from which candidates of numeric inputs are taken, as in Spark ML: at least this many, and bins squared.
 SPLIT_ROWS = 10_000
 BINNED = "key long, hot int, scale double, label double, bins binary"
@@ -365,7 +367,13 @@ def _grown(blocks, inputs: Inputs, trees: list[Tree], depth: int, taken: int, se
             free = np.array(free).reshape(len(inputs.heavy), len(nodes)).T
             return number, _chosen(found, inputs, live[number].stats[nodes], allowed, free)
 
-        for number, choice in blocks.flatMap(partial).reduceByKey(_merged, parts).map(choose).collect():
+        found = blocks.flatMap(partial)
+        if len(live) == 1 and blocks.getNumPartitions() * inputs.dense * len(nodes) * inputs.bins * 24 <= FEW_BYTES:
+            number = next(iter(live))
+            choices = [choose((number, found.values().reduce(_merged)))]
+        else:
+            choices = found.reduceByKey(_merged, parts).map(choose).collect()
+        for number, choice in choices:
             tree = trees[number]
             for node, (gain, feature, cut, threshold, *right) in zip(nodes, choice):
                 if not gain > 0 or tree.stats[node, 0] < 1.5:
@@ -416,22 +424,35 @@ def _boosted(blocks, inputs, estimator, task):
         return {**block, "margin": margin, "target": target}
 
     state, trees, weights = blocks.map(started).persist(StorageLevel.MEMORY_AND_DISK), [], []
-    before = None
+    before, root = None, None
     for number in range(estimator.getMaxIter()):
-        tree = Tree(depth, state.map(lambda b: _totals(b["target"])).reduce(np.add))
+        if root is None:
+            root = state.map(lambda b: _totals(b["target"])).reduce(np.add)
+        tree = Tree(depth, root)
+        _grown(state, inputs, [tree], depth, inputs.width, seed, None, lambda b: b["target"])
         if before is not None:
             # By now the rows are held in their new state.
             before.unpersist()
-        _grown(state, inputs, [tree], depth, inputs.width, seed, None, lambda b: b["target"])
         trees.append(tree)
         weights.append(1.0 if number == 0 else rate)
         before, state = state, _next(state, moved, tree, weights[-1])
+        # Slopes of the squared loss follow from the leaves, those of the other one need a pass over the rows.
+        root = None if task == "clf" else _left_over(tree, 2.0 if number == 0 else 1.0, 2 * weights[-1])
     if before is not None:
         before.unpersist()
     state.unpersist()
     return trees, weights
 
 
+def _left_over(tree: Tree, scale: float, step: float) -> np.ndarray:
+    """(rows, sum, squares) of ``scale * y - step * value`` over the rows of a tree, from those of y in its leaves."""
+    leaves = (tree.feature < 0) & (tree.stats[:, 0] > 0)
+    n, total, squares = tree.stats[leaves].T
+    by = step * total / n
+    sums = scale * total - by * n
+    return np.array([n.sum(), sums.sum(), (scale * scale * squares - 2 * scale * by * total + by * by * n).sum()])
+
+
 def _next(state, moved, tree, weight):
     return state.map(lambda block: moved(block, tree, weight)).persist(StorageLevel.MEMORY_AND_DISK)
 

@@ -53,6 +53,28 @@ def test_boosting_makes_the_trees_of_spark(spark, task):
     assert splits[0] == splits[1] and values[0] == pytest.approx(values[1], rel=1e-9, abs=1e-9)
 
 
+@pytest.mark.parametrize("task, most", [("reg", 7), ("clf", 8)])
+def test_a_level_is_one_pass(spark, monkeypatch, task, most):
+    """Stages of two boosted trees of three levels: they took two a level, and one a tree for its totals."""
+    rows, context, stages = rows_of(spark, 22, 20), spark.sparkContext, []
+    inner, group = en._boosted, f"grown-{task}"
+
+    def counted(*args):
+        context.setJobGroup(group, group)
+        try:
+            return inner(*args)
+        finally:
+            context.setJobGroup("other", "other")
+            tracker = context.statusTracker()
+            for job in tracker.getJobIdsForGroup(group):
+                ran = [tracker.getStageInfo(at) for at in tracker.getJobInfo(job).stageIds]
+                stages.extend(s.stageId for s in ran if s and s.numCompletedTasks)
+
+    monkeypatch.setattr(en, "_boosted", counted)
+    en.fit(rows, md.estimator(task, "gbt", TINY), task, "gbt", 2)
+    assert 0 < len(stages) <= most
+
+
 def test_gains_are_taken_of_the_entities_a_node_holds(monkeypatch):
     """Gains per (node, entity) with rows, not of all entities of a block at every node; the best one as by a plain loop."""
     entities, count = 5_000, 300
@@ -76,6 +98,16 @@ def test_gains_are_taken_of_the_entities_a_node_holds(monkeypatch):
         assert best[node] == pytest.approx([gains[top], names[top], 1.0, *en._totals(label[rows & (own == top)])])
 
 
+def test_slopes_left_over_by_a_tree():
+    y, side = np.array([1.0, 2.0, 4.0, 8.0, 8.5]), np.array([1, 1, 2, 2, 2])
+    tree = en.Tree(1, en._totals(y))
+    tree.feature[0] = 0
+    for node in (1, 2):
+        tree.stats[node] = en._totals(y[side == node])
+    left = 2.0 * y - 0.2 * tree.values()[side]
+    assert en._left_over(tree, 2.0, 0.2) == pytest.approx(en._totals(left))
+
+
 @pytest.mark.parametrize("task, name", [("reg", "rf"), ("clf", "rf"), ("reg", "gbt"), ("clf", "gbt")])
 def test_entities_do_not_widen_rows(spark, tmp_path, task, name):
     """2 million positions: dense rows of bins or values would be 10 and 20 GB."""
