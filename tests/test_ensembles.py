@@ -147,6 +147,19 @@ def test_rounds_of_a_walk_are_no_single_method(spark):
     assert text.count("BroadcastHashJoin") == 9 and max(together.values(), default=0) <= 2
 
 
+def test_rows_times_trees_are_not_shuffled(spark):
+    """Running sums over the trees of a row take the deal of the rows, before they are walked."""
+    rows = spark.createDataFrame([(1, 2.0, Vectors.dense([1.0]))], ["id", "label", "features"])
+    trees = spark.createDataFrame([(0, 0, -1, -1, -1, None, None, 2.0, [1.0], 1.0)], NODES)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for grouped in (lambda ends: tr.staged_margins(ends, ["id"]), lambda ends: tr.forest_means(ends, ["id"])):
+            text = grouped(tr.walked(rows, trees, 3, keys=["id"]))._jdf.queryExecution().executedPlan().toString()
+            assert len(re.findall("Exchange (?:hash|RoundRobin)", text)) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_walks_read_near_and_far_positions(spark):
     """Positions before and beyond those that are held as an array, in sparse and dense vectors, held or zero."""
     first, far = tr.HEAD - 1, tr.HEAD + 7
