@@ -236,6 +236,26 @@ def test_boxes_equal_all_pairs(spark, degrees):
     assert rg.in_boxes(p, b.limit(0)).collect() == [] and rg.in_boxes(p.limit(0), b).collect() == []
 
 
+def test_narrow_boxes_meet_few_points(spark):
+    """A long and narrow box is compared with the points along it, not with those of a square as wide as it is long."""
+    p = spark.range(3600).selectExpr("id", "cast(id div 60 as double) as latitude", "cast(id % 60 as double) as longitude")
+    b = spark.createDataFrame([(0, 8.0, 8.0, 0.0, 59.0), (1, 0.0, 59.0, 8.0, 8.0)], "box long, south double, north double, west double, east double")
+    sides = []
+    plain = rg.broadcast_if_small
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(rg, "broadcast_if_small", lambda entered: sides.append(entered) or plain(entered))
+        met = rg.in_boxes(p, b)
+    assert met.groupBy("box").count().orderBy("box").collect() == [(0, 60), (1, 60)]
+    # The area of all cells entered, in points: 64 by 1 for each box; square cells would take 64 by 64.
+    assert sides[0].selectExpr("sum(power(2, _high + _wide)) as area").first()["area"] <= 2 * 64
+
+
+def test_box_join_deals_few_points_to_many_tasks(spark):
+    p = spark.range(0, 50, 1, 1).selectExpr("id", "cast(id as double) as latitude", "cast(id as double) as longitude")
+    b = spark.createDataFrame([(0, 0.0, 90.0, 0.0, 90.0)], "box long, south double, north double, west double, east double")
+    assert rg.in_boxes(p, b).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_box_join_has_no_nested_loop(spark, small):
     text = plan(q.QUERIES["b13_region_table"](spark, small))
     assert "NestedLoop" not in text and "Cartesian" not in text and "HashJoin" in text
