@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -18,6 +22,7 @@ from stationflow.storage import stage
 CLASSIFIERS = ("lr", "rf", "gbt")
 REGRESSORS = ("linear", "rf", "gbt")
 TASK_LABEL = {"clf": CLF_LABEL, "reg": REG_LABEL}
+SLOWEST = ("gbt", "rf")
 
 
 def estimator(task: str, name: str, settings: ModelSettings):
@@ -72,6 +77,9 @@ class Trainer:
     _key: str | None = None
     _base: PipelineModel | None = None
     _vectors: DataFrame | None = None
+    # Models of this trainer that were fitted or loaded.
+    _found: dict[tuple[str, str], PipelineModel] = field(default_factory=dict)
+    _making: Lock = field(default_factory=Lock, repr=False, compare=False)
 
     @property
     def key(self) -> str:
@@ -82,26 +90,48 @@ class Trainer:
     def model(self, task: str, name: str) -> PipelineModel:
         """The stored model of these settings and rows, else a fitted and stored one."""
         unfitted = estimator(task, name, self.settings)
-        path = model_path(self.store, task, name, self.key)
-        found = load_model(self.train.sparkSession, path)
-        if found is None:
-            base, vectors = self._prepared()
-            if (task, name) in ensembles.MODELS:
-                fitted = ensembles.fit(vectors, unfitted, task, name, len(NUMERIC_FEATURES))
-            else:
-                fitted = unfitted.fit(vectors)
-            save_model(PipelineModel(stages=[*base.stages, fitted]), path)
-            # A fresh linear model drags its training summary into every task that scores with it.
+        if (task, name) not in self._found:
+            path = model_path(self.store, task, name, self.key)
             found = load_model(self.train.sparkSession, path)
-        return found
+            self._found[task, name] = self._fitted(task, name, unfitted, path) if found is None else found
+        return self._found[task, name]
+
+    def _fitted(self, task: str, name: str, unfitted, path: str) -> PipelineModel:
+        base, vectors = self._prepared()
+        if (task, name) in ensembles.MODELS:
+            fitted = ensembles.fit(vectors, unfitted, task, name, len(NUMERIC_FEATURES))
+        else:
+            fitted = unfitted.fit(vectors)
+        model = PipelineModel(stages=[*base.stages, fitted])
+        save_model(model, path)
+        # A fresh linear model drags its training summary into every task that scores with it; ensembles were loaded.
+        return model if (task, name) in ensembles.MODELS else load_model(self.train.sparkSession, path)
+
+    def models(self, wanted: Sequence[tuple[str, str]]) -> dict[tuple[str, str], PipelineModel]:
+        """Several models, fitted side by side as the searches of Spark ML do with their candidates.
+
+        A fit is many short jobs with work of the driver between them, so one alone leaves most cores idle.
+        """
+        # The key is one pass over the rows, for all of them. Those with most jobs after another begin first.
+        spark, _ = self.train.sparkSession, self.key
+        order = sorted(wanted, key=lambda one: SLOWEST.index(one[1]) if one[1] in SLOWEST else len(SLOWEST))
+        with ThreadPoolExecutor(max(len(order), 1)) as pool:
+            found = {one: pool.submit(inheritable_thread_target(spark)(self.model), *one) for one in order}
+            return {one: found[one].result() for one in wanted}
 
     def _prepared(self) -> tuple[PipelineModel, DataFrame]:
-        if self._base is None:
-            self._base = fit_base(self.train, self.spec)
-            labels = [c for c in TASK_LABEL.values() if c in self.train.columns]
-            self._vectors = stage(self._base.transform(self.train).select("features", *labels), "vectors")
+        with self._making:
+            if self._base is None:
+                base = fit_base(self.train, self.spec)
+                labels = [c for c in TASK_LABEL.values() if c in self.train.columns]
+                self._vectors = stage(base.transform(self.train).select("features", *labels), "vectors")
+                self._base = base
         return self._base, self._vectors
 
+    def vectors(self) -> DataFrame:
+        """The written vectors and labels of the training rows."""
+        return self._prepared()[1]
+
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows)

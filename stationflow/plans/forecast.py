@@ -65,9 +65,10 @@ def predicted_rows(
     spark, label = test.sparkSession, TASK_LABEL[task]
     folder = folder or f"{work_dir(spark)}/predictions-{uuid.uuid4().hex}"
     delete(spark, folder)
+    models = trainer.models([(task, name) for name in names])
     vectors = None
     for name in names:
-        model = trainer.model(task, name)
+        model = models[task, name]
         if vectors is None:
             # Models of one training frame share their preparation stages.
             shared = PipelineModel(stages=model.stages[:-1])

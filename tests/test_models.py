@@ -2,6 +2,7 @@
 
 import math
 from pathlib import Path
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,39 @@ def test_unseen_stations_get_their_own_index(spark):
     assert [(r["StationID_idx"], r["StationID_vec"].size) for r in found.collect()] == [(0.0, 4), (1.0, 4), (3.0, 4)]
 
 
+def test_models_are_fitted_side_by_side(learnable, tmp_path, monkeypatch):
+    """Two fits wait for each other, which ends only if both are under way; the shared vectors are made once."""
+    both, plain, bases = Barrier(2, timeout=60), md.ensembles.fit, []
+
+    def fit(*args):
+        both.wait()
+        return plain(*args)
+
+    monkeypatch.setattr(md.ensembles, "fit", fit)
+    prepare = md.fit_base
+    monkeypatch.setattr(md, "fit_base", lambda *args: bases.append(args) or prepare(*args))
+    trainer = md.Trainer(learnable[0], ROW, str(tmp_path), TINY)
+    metrics, _ = fc.run_classification(trainer, learnable[1], ("rf", "gbt"))
+    assert {r["model"] for r in metrics.collect()} == {"RF", "GBT"} and len(bases) == 1
+
+
+def test_models_fitted_side_by_side_are_the_same(trainer, learnable, tmp_path):
+    wanted = [("clf", name) for name in md.CLASSIFIERS]
+    found = md.Trainer(learnable[0], ROW, str(tmp_path), TINY).models(wanted)
+    assert list(found) == wanted
+    for (task, name), model in found.items():
+        one, two = (m.stages[-1] for m in (model, trainer.model(task, name)))
+        if name == "lr":
+            assert one.coefficients.toArray() == pytest.approx(two.coefficients.toArray(), rel=1e-9)
+        else:
+            # The first line of a tree is its identifier.
+            assert _shapes(one) == _shapes(two)
+
+
+def _shapes(model) -> list[str]:
+    return [t.toDebugString.split("\n", 1)[1] for t in model.trees]
+
+
 def test_both_tasks(trainer, learnable):
     metrics, matrices = fc.run_classification(trainer, learnable[1])
     assert {r["model"]: r["TP"] + r["FP"] + r["FN"] + r["TN"] for r in matrices.collect()} == dict.fromkeys(
