@@ -863,17 +863,22 @@ def h14_model_statements(spark, sf):
     forest of averages stays within the labels it saw, and on its own training rows a model beats the best constant."""
     train, test = split_tables(spark, sf)
     trainer, rows = _trainer(spark, sf), []
-    for task, name in [("clf", n) for n in md.CLASSIFIERS] + [("reg", n) for n in md.REGRESSORS]:
+    models = trainer.models([("clf", n) for n in md.CLASSIFIERS] + [("reg", n) for n in md.REGRESSORS])
+    # The preparation is the same in all six, so the vectors of either part are written once.
+    shared = PipelineModel(stages=models["clf", "lr"].stages[:-1])
+    tested = stage(md.score(shared, test).select("features", *md.TASK_LABEL.values()), "test-vectors")
+    learned = trainer.vectors()
+    for (task, name), model in models.items():
         label = md.TASK_LABEL[task]
-        model = trainer.model(task, name)
+        last = PipelineModel(stages=model.stages[-1:])
         low, high, constant = train.agg(
             F.min(label), F.max(label), F.greatest(F.avg(label), 1 - F.avg(label)) if task == "clf" else F.var_pop(label)
         ).first()
         said = F.col("prediction")
         valid = said.isin(0.0, 1.0) if task == "clf" else said.between(low, high) if name == "rf" else ~F.isnan(said)
-        scored = md.score(model, test).agg(F.count(F.lit(1)), F.count_if(valid)).first()
+        scored = md.score(last, tested).agg(F.count(F.lit(1)), F.count_if(valid)).first()
         error = F.avg((said != F.col(label)).cast("double") if task == "clf" else (said - F.col(label)) ** 2)
-        missed = md.score(model, train).agg(error).first()[0]
+        missed = md.score(last, learned).agg(error).first()[0]
         better = missed <= 1 - constant if task == "clf" else missed < constant
         rows.append((task, name, *scored, bool(better)))
     return spark.createDataFrame(rows, "task string, model string, rows bigint, valid bigint, beats_constant boolean")
