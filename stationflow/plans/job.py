@@ -86,6 +86,8 @@ def _run(spark, observations, metadata, out, stations, minimum, settings, thresh
     log.info("train %d rows, test %d rows", *sizes)
     labelled = with_regression_label(train)
     trainer = Trainer(labelled, spec, f"{out}/models", settings)
+    # All six side by side; the two evaluations find them there.
+    trainer.models([*[("clf", name) for name in CLASSIFIERS], *[("reg", name) for name in REGRESSORS]])
     classification, matrices = run_classification(trainer, test, CLASSIFIERS, f"{out}/predictions/clf")
     regression = run_regression(trainer, test, REGRESSORS, f"{out}/predictions/reg")
     save_frame(matrices.coalesce(1), f"{out}/confusion")
