@@ -12,20 +12,23 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heapreplace
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.common import SLICE_BYTES, quoted, raw_texts, slices, words
+from stationflow.llm.common import SLICE_BYTES, quoted, slices
 from stationflow.storage import stage
 
 # Fixed value: the end of a document, which no word can be.
 END = b""
 COUNTED = 400_000
 LN10 = float(np.log(10.0))
+SHORT_RUN = 4
 
 
 @dataclass(frozen=True)
@@ -57,6 +60,24 @@ def rare_class(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-2:]) % classes
 
 
+def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Lower-cased texts (null: empty) as words: the distinct ones, the place of each word among them, and how many
+    words each text has. Arrow cuts at the same bytes as ``bytes.split``, but leaves empty words at the edges."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    found, ends = cut.flatten(), np.diff(cut.offsets.to_numpy()).cumsum()
+    full = pc.binary_length(found).to_numpy() > 0
+    if not full.all():
+        ends = np.r_[0, full.cumsum()][ends]
+        found = found.filter(pa.array(full))
+    coded = found.dictionary_encode()
+    return coded.dictionary.cast(pa.binary()), coded.indices.to_numpy(), np.diff(ends, prepend=0)
+
+
+def listed(found: pa.Array) -> list[bytes]:
+    """What ``to_pylist`` gives, without a scalar of Arrow for each word."""
+    return found.to_numpy(zero_copy_only=False).tolist()
+
+
 # --- corpus counts
 
 
@@ -70,10 +91,10 @@ def _task_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        texts = raw_texts(batch.column(0))
-        counts[END] += len(texts)
-        for data in texts:
-            counts.update(words((data or b"").lower()))
+        for part in slices(batch.column(0), SLICE_BYTES // 4):
+            found, at, _ = cut_words(part)
+            counts[END] += len(part)
+            counts.update(dict(zip(listed(found), np.bincount(at, minlength=len(found)).tolist())))
             if len(counts) > COUNTED:
                 yield flush()
     if counts:
@@ -178,19 +199,32 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def parts_of(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Input and recurrent weights of update, reset and candidate as three planes, so that steps work on whole rows."""
+    x, u = p["x"], p["u"]
+    return tuple(np.ascontiguousarray(w.reshape(len(w), 3, -1).transpose(1, 0, 2)) for w in (x, u))
+
+
 def step(p: dict, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     """One gated step of many lanes: (new state, update, reset, candidate, recurrent part of the candidate)."""
-    n = h.shape[1]
-    x, u = p["x"].take(symbols, axis=0), h @ p["u"]
-    own = u[:, 2 * n :]
-    update, reset = _sigmoid(x[:, :n] + u[:, :n]), _sigmoid(x[:, n : 2 * n] + u[:, n : 2 * n])
-    candidate = reset * own
-    candidate += x[:, 2 * n :]
+    x, u = parts_of(p)
+    both, candidate, new = np.empty((3, *h.shape), h.dtype), np.empty_like(h), np.empty_like(h)
+    return _step(x.take(symbols, axis=1), u, h, both, candidate, new)
+
+
+def _step(x, u, h, both, candidate, new) -> tuple[np.ndarray, ...]:
+    """``step`` from the inputs of the three parts into arrays given, ``both`` for update, reset and recurrent part."""
+    np.matmul(h, u, out=both)
+    gates, own = both[:2], both[2]
+    gates += x[:2]
+    _sigmoid(gates)
+    np.multiply(gates[1], own, out=candidate)
+    candidate += x[2]
     np.tanh(candidate, out=candidate)
-    new = h - candidate
-    new *= update
+    np.subtract(h, candidate, out=new)
+    new *= gates[0]
     new += candidate
-    return new, update, reset, candidate, own
+    return new, gates[0], gates[1], candidate, own
 
 
 def class_of(p: dict, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,19 +292,43 @@ def _share_less_one(logits: np.ndarray, wanted: np.ndarray) -> tuple[float, np.n
     return float((log_sum - picked).sum(dtype=np.float64)), share
 
 
+def _sums_by(symbols: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the rows of each symbol below ``size``, planes side by side. Rows are ordered by symbol; most symbols of
+    a window have few rows, which are added one after another for all symbols at once, and longer runs are a product
+    each."""
+    order = np.argsort(symbols.astype(np.int16) if size < 1 << 15 else symbols, kind="stable")
+    number = np.bincount(symbols, minlength=size)
+    first = np.cumsum(number) - number
+    wide = np.empty((len(order), len(rows), rows.shape[2]), rows.dtype)
+    for k, plane in enumerate(rows):
+        wide[:, k] = plane.take(order, axis=0)
+    wide = wide.reshape(len(order), -1)
+    out = np.zeros((size, wide.shape[1]), rows.dtype)
+    few = number <= SHORT_RUN
+    for place in range(SHORT_RUN):
+        here = np.flatnonzero((number > place) & few)
+        out[here] += wide.take(first[here] + place, axis=0)
+    ones = np.ones(len(wide), rows.dtype)
+    long = np.flatnonzero(~few)
+    for symbol, a, b in zip(long.tolist(), first[long].tolist(), (first + number)[long].tolist()):
+        np.matmul(ones[a:b], wide[a:b], out=out[symbol])
+    return out
+
+
 def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
     """Mean negative log probability of a window (steps x lanes), its gradients truncated at the window, last state."""
     steps, lanes = inputs.shape
     n, kind_of = h.shape[1], p["u"].dtype
     starts = inputs == 0  # a document begins: symbol 0 is the end
     opens = starts.any(axis=1)
-    before, states, update, reset, candidate, own = (np.empty((steps, lanes, n), kind_of) for _ in range(6))
+    before, states, candidate = (np.empty((steps, lanes, n), kind_of) for _ in range(3))
+    both = np.empty((steps, 3, lanes, n), kind_of)
+    x, u = parts_of(p)
     for t in range(steps):
         before[t] = h
         if opens[t]:
             before[t][starts[t]] = 0
-        h, update[t], reset[t], candidate[t], own[t] = step(p, inputs[t], before[t])
-        states[t] = h
+        h = _step(x.take(inputs[t], axis=1), u, before[t], both[t], candidate[t], states[t])[0]
     g = {}
     order, flat, kind, place, edges = _by_class(p, states.reshape(-1, n), targets.ravel())
     logits = flat @ p["c"]
@@ -289,36 +347,36 @@ def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -
     down = np.empty_like(sorted_down)
     down[order] = sorted_down
     down = down.reshape(steps, lanes, n)
-    # What the derivatives of the gates are multiplied with, for all steps at once.
-    rest = 1 - update
-    by_update = (before - candidate) * update
-    by_update *= rest
-    by_candidate = 1 - candidate * candidate
-    by_candidate *= rest
-    by_reset = own * (1 - reset)
     back = np.zeros((lanes, n), kind_of)
-    inner, moved = np.empty((steps, lanes, 3 * n), kind_of), np.empty((steps, lanes, n), kind_of)
-    turned = np.ascontiguousarray(p["u"].T)
+    inner, moved = np.empty((3, steps, lanes, n), kind_of), np.empty((steps, lanes, n), kind_of)
+    turned = np.ascontiguousarray(u.transpose(0, 2, 1))
+    rest, through, part = (np.empty((lanes, n), kind_of) for _ in range(3))
     for t in reversed(range(steps)):
+        update, reset, own = both[t]
+        by_update, by_reset, by_own = inner[:, t]
         back += down[t]
-        np.multiply(back, by_candidate[t], out=moved[t])
-        through = moved[t] * reset[t]
-        np.multiply(back, by_update[t], out=inner[t, :, :n])
-        np.multiply(through, by_reset[t], out=inner[t, :, n : 2 * n])
-        inner[t, :, 2 * n :] = through
-        back *= update[t]
-        back += inner[t] @ turned
+        np.subtract(1, update, out=rest)
+        rest *= back
+        # The state before less the candidate, times update times (1 - update).
+        np.subtract(before[t], candidate[t], out=by_update)
+        by_update *= update
+        by_update *= rest
+        np.multiply(candidate[t], candidate[t], out=part)
+        np.subtract(1, part, out=part)
+        np.multiply(rest, part, out=moved[t])
+        np.multiply(moved[t], reset, out=by_own)
+        np.subtract(1, reset, out=part)
+        part *= own
+        np.multiply(part, by_own, out=by_reset)
+        back *= update
+        for k in range(3):
+            back += np.matmul(inner[k, t], turned[k], out=through)
         if opens[t]:
             back[starts[t]] = 0
-    g["u"] = before.reshape(-1, n).T @ inner.reshape(-1, 3 * n)
-    inner[:, :, 2 * n :] = moved
-    # Rows of equal symbols are added up side by side.
-    seen = inputs.ravel()
-    order = np.argsort(seen.astype(np.int16) if len(p["x"]) < 1 << 15 else seen, kind="stable")
-    seen = seen[order]
-    first = np.flatnonzero(np.r_[True, seen[1:] != seen[:-1]])
-    g["x"] = np.zeros_like(p["x"])
-    g["x"][seen[first]] = np.add.reduceat(inner.reshape(-1, 3 * n).take(order, axis=0), first, axis=0)
+    flat_before = before.reshape(-1, n).T
+    g["u"] = np.concatenate([flat_before @ k.reshape(-1, n) for k in inner], axis=1)
+    inner[2] = moved
+    g["x"] = _sums_by(inputs.ravel(), inner.reshape(3, -1, n), len(p["x"]))
     size = kind_of.type(steps * lanes)
     for v in g.values():
         v /= size
@@ -370,12 +428,33 @@ def train_stream(p: dict, stream: np.ndarray, settings: Settings) -> dict:
 # --- Spark: training and scoring
 
 
-def _symbols(known: Lexicon, found: list[bytes]) -> np.ndarray:
-    at = np.fromiter(map(known.head.get, found, repeat(-1)), np.int64, len(found))
-    symbols = known.symbol[at]
-    lost = np.flatnonzero(at < 0).tolist()
-    symbols[lost] = [known.common + rare_class(found[i], known.settings.rare_classes) for i in lost]
-    return symbols
+@dataclass
+class Encoded:
+    """Words of some texts, an end after each text. Arrays ``of_word`` have a row for each distinct word and one, the
+    last, for the end."""
+
+    words: pa.Array  # distinct words
+    place: np.ndarray  # of_word: place in the head, or -1
+    symbol: np.ndarray  # of_word: input and output symbol
+    at: np.ndarray  # distinct word of each token
+    starts: np.ndarray  # first token of each text
+
+
+def encode(known: Lexicon, texts: pa.Array) -> Encoded:
+    """Texts as tokens; each distinct word is looked up once."""
+    found, at, sizes = cut_words(texts)
+    each = [*listed(found), END]
+    place = np.fromiter(map(known.head.get, each, repeat(-1)), np.int64, len(each))
+    symbol = known.symbol[place]
+    lost, classes = np.flatnonzero(place < 0).tolist(), known.settings.rare_classes
+    symbol[lost] = [rare_class(each[i], classes) for i in lost]
+    symbol[lost] += known.common
+    ends = sizes.cumsum() + np.arange(len(sizes))
+    tokens = np.full(len(at) + len(sizes), len(found), np.int32)
+    inside = np.ones(len(tokens), bool)
+    inside[ends] = False
+    tokens[inside] = at
+    return Encoded(found, place, symbol, tokens, np.r_[0, ends[:-1] + 1] if len(ends) else ends)
 
 
 def _pack(p: dict) -> np.ndarray:
@@ -419,8 +498,9 @@ def train(texts: DataFrame, known: Lexicon) -> dict[str, np.ndarray]:
             lex = shared.value
             parts = [np.zeros(1, np.int32)]
             for batch in batches:
-                for data in raw_texts(batch.column(0)):
-                    parts += [_symbols(lex, words((data or b"").lower())), np.zeros(1, np.int32)]
+                for part in slices(batch.column(0), SLICE_BYTES // 4):
+                    coded = encode(lex, part)
+                    parts.append(coded.symbol[coded.at])
             stream = np.concatenate(parts)
             if len(parts) > 1:
                 flat = _pack(train_stream(now.value, stream, lex.settings))
@@ -439,40 +519,61 @@ def train(texts: DataFrame, known: Lexicon) -> dict[str, np.ndarray]:
     return p
 
 
+def _lanes(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents dealt to at most ``most`` lanes, long ones first and each to the shortest lane: the documents lane
+    by lane, longest lane first, and the number of documents of each lane."""
+    fill = [(0, lane) for lane in range(min(most, len(lengths)))]
+    heapify(fill)
+    lane_of = np.empty(len(lengths), np.int64)
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        size, lane = fill[0]
+        lane_of[i] = lane
+        heapreplace(fill, (size + int(lengths[i]), lane))
+    rank = np.empty(len(fill), np.int64)
+    rank[[lane for _, lane in sorted(fill, key=lambda x: (-x[0], x[1]))]] = np.arange(len(fill))
+    return np.argsort(rank[lane_of], kind="stable"), np.bincount(rank[lane_of], minlength=len(fill))
+
+
 def sequence_logs(p: dict, documents: list[np.ndarray], settings: Settings) -> np.ndarray:
-    """Natural log probability of each list of symbols, end included; states go on to the document's last word."""
-    order = sorted(range(len(documents)), key=lambda i: -len(documents[i]))
+    """Natural log probability of each list of symbols, end included; states go on to the document's last word.
+
+    Lanes read one document after another, so that they stay busy however the lengths differ.
+    """
     out = np.zeros(len(documents))
+    if not documents:
+        return out
+    lengths = np.array([len(d) for d in documents])
+    order, held = _lanes(lengths, settings.score_lanes)
+    stream = np.concatenate([documents[i] for i in order])
+    begins = np.cumsum(lengths[order]) - lengths[order]
+    lane_at = np.r_[begins, len(stream)][np.r_[0, held.cumsum()]]
+    lane_at, left = lane_at[:-1], np.diff(lane_at)
     n = p["u"].shape[0]
-    for first in range(0, len(order), settings.score_lanes):
-        group = order[first : first + settings.score_lanes]
-        lengths = np.array([len(documents[i]) for i in group])
-        h = np.zeros((len(group), n), np.float32)
-        total = np.zeros(len(group))
-        for at in range(0, int(lengths[0]), settings.score_window):
-            live = int(np.searchsorted(-lengths, -at, "left"))  # lanes are ordered by length
-            wide = min(settings.score_window, int(lengths[0]) - at)
-            block = np.zeros((wide, live), np.int32)
-            for lane, i in enumerate(group[:live]):
-                part = documents[i][at : at + wide]
-                block[: len(part), lane] = part
-            alive = np.minimum(lengths[:live] - at, wide)
-            states = np.empty((wide, live, n), np.float32)
-            # Each state comes from the symbols before its target; the first one reads the end symbol.
-            before = np.zeros(live, np.int32) if at == 0 else np.array([documents[i][at - 1] for i in group[:live]], np.int32)
-            now = h[:live]
-            for t in range(wide):
-                now = states[t] = step(p, before, now)[0]
-                before = block[t]
-            h[:live] = now
-            if alive.min() == wide:
-                logs = log_probability(p, states.reshape(-1, n), block.ravel()).reshape(wide, live)
-            else:
-                seen = np.arange(wide)[:, None] < alive[None, :]
-                logs = np.zeros((wide, live))
-                logs[seen] = log_probability(p, states[seen], block[seen])
-            total[:live] += logs.sum(axis=0, dtype=np.float64)
-        out[group] = total
+    logs = np.empty(len(stream), p["c"].dtype)
+    h, before = np.zeros((len(held), n), np.float32), np.zeros(len(held), np.int32)
+    x, u = parts_of(p)
+    for at in range(0, int(left[0]), settings.score_window):
+        live = int(np.searchsorted(-left, -at, "left"))  # lanes are ordered by length
+        wide = min(settings.score_window, int(left[0]) - at)
+        seats = np.arange(at, at + wide)[:, None] + lane_at[:live]
+        seen = np.arange(at, at + wide)[:, None] < left[:live]
+        block = stream.take(seats, mode="clip")
+        states = np.empty((wide, live, n), np.float32)
+        # Each state comes from the symbol before its target, and a document's first one from the end symbol.
+        inputs = np.concatenate([before[None, :live], block[:-1]])
+        both, candidate = np.empty((3, live, n), np.float32), np.empty((live, n), np.float32)
+        now, opens = h[:live], inputs == 0
+        for t, some in enumerate(opens.any(axis=1).tolist()):
+            if some:
+                now = now.copy()
+                now[opens[t]] = 0
+            now = _step(x.take(inputs[t], axis=1), u, now, both, candidate, states[t])[0]
+        h, before = now, block[-1]
+        if seen[-1, -1]:
+            logs[seats.ravel()] = log_probability(p, states.reshape(-1, n), block.ravel())
+        else:
+            logs[seats[seen]] = log_probability(p, states[seen], block[seen])
+    out[order] = np.add.reduceat(logs, begins, dtype=np.float64)
     return out
 
 
@@ -482,39 +583,33 @@ SCORED = (
 )
 
 
-def _scored(known: Lexicon, p: dict, texts: list[bytes | None], kind: pa.StructType) -> pa.Array:
+def _scored(known: Lexicon, p: dict, texts: pa.Array, kind: pa.StructType) -> pa.Array:
     """For each text: tokens, known ones and the sum of log10(c + 1) as far as the head goes, log10 probability but
     for the counts of tail words, and those words."""
-    s = known.settings
-    documents, tail_words, tail_counts, ends = [], [], [], [0]
-    n_known, log_counts, log_model = (np.zeros(len(texts)) for _ in range(3))
-    for row, data in enumerate(texts):
-        found = words((data or b"").lower())
-        found.append(END)
-        at = np.fromiter(map(known.head.get, found, repeat(-1)), np.int64, len(found))
-        symbols = known.symbol[at]
-        lost = np.flatnonzero(at < 0).tolist()
-        if lost:
-            tail = Counter([found[i] for i in lost])
-            tail_words += tail.keys()
-            tail_counts += tail.values()
-            symbols[lost] = [known.common + rare_class(found[i], s.rare_classes) for i in lost]
-        ends.append(len(tail_words))
-        inside = at[at >= 0]
-        rare = symbols[symbols >= known.common]
-        documents.append(symbols)
-        logs = known.log_count[inside]
-        n_known[row], log_counts[row] = np.count_nonzero(logs > 0), logs.sum()
-        log_model[row] = logs[known.symbol[inside] >= known.common].sum() - known.rare_log[rare - known.common].sum()
-    log_model += sequence_logs(p, documents, s) / LN10
+    s, coded = known.settings, encode(known, texts)
     tails = kind.field("tail").type
+    if not len(texts):
+        return pa.array([], kind)
+    starts, inside = coded.starts, coded.place >= 0
+    logs = np.where(inside, known.log_count[coded.place], 0.0)
+    rare = coded.symbol >= known.common
+    shares = np.where(rare, logs - known.rare_log[np.where(rare, coded.symbol - known.common, 0)], 0.0)
+    symbols = coded.symbol[coded.at]
+    sizes = np.diff(starts, append=len(symbols))
+    log_model = np.add.reduceat(shares[coded.at], starts)
+    log_model += sequence_logs(p, np.split(symbols, starts[1:]), s) / LN10
+    # Each tail word of a text once, with its number there.
+    lost = np.flatnonzero(~inside[coded.at])
+    text_of = np.searchsorted(starts, lost, "right") - 1
+    pair, n = np.unique(text_of * len(inside) + coded.at[lost], return_counts=True)
+    ends = np.searchsorted(pair, np.arange(len(starts) + 1) * len(inside))
     pairs = pa.StructArray.from_arrays(
-        [pa.array(tail_words, pa.binary()), pa.array(tail_counts, pa.int32())], fields=list(tails.value_type)
+        [coded.words.take(pa.array(pair % len(inside))), pa.array(n, pa.int32())], fields=list(tails.value_type)
     )
     columns = [
-        pa.array(list(map(len, documents)), pa.int64()),
-        pa.array(n_known.astype(np.int64)),
-        pa.array(log_counts),
+        pa.array(sizes, pa.int64()),
+        pa.array(np.add.reduceat((logs > 0)[coded.at], starts, dtype=np.int64)),
+        pa.array(np.add.reduceat(logs[coded.at], starts)),
         pa.array(log_model),
         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs, type=tails),
     ]
@@ -552,7 +647,7 @@ def score_documents(
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             for part in slices(batch, 4 * SLICE_BYTES):
-                yield _scored(shared.value, parameters.value, raw_texts(part), kind)
+                yield _scored(shared.value, parameters.value, part, kind)
 
     judged = F.arrow_udf(run, SCORED).asNondeterministic()(F.col("text"))
     staged = stage(

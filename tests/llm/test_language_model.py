@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stationflow.llm import language_model as lm
@@ -76,6 +77,49 @@ def test_state_is_carried_over_windows_and_lanes(spark):
         assert math.isclose(log, total, rel_tol=1e-4)
 
 
+def test_lanes_do_not_wait_for_the_longest_document(spark, monkeypatch):
+    lex = known(spark, ["a b c d e f g h a b a"])
+    rng = np.random.default_rng(4)
+    docs = [np.append(rng.integers(1, 8, n - 1), 0).astype(np.int32) for n in [100, *[10] * 30]]
+    steps, real = [], lm._step
+    monkeypatch.setattr(lm, "_step", lambda *a: steps.append(a[2].shape[0]) or real(*a))
+    lm.sequence_logs(lm.first_parameters(lex), docs, lm.Settings(score_lanes=4, score_window=7))
+    # 400 tokens in four lanes; group by group, each as long as its longest document, it takes 180 steps.
+    assert len(steps) <= 105 and sum(steps) <= 420
+
+
+def test_each_distinct_word_is_looked_up_once(spark):
+    class Counted(dict):
+        looked = 0
+
+        def get(self, *a):
+            self.looked += 1
+            return super().get(*a)
+
+    lex = known(spark, ["a b a"])
+    lex.head = Counted(lex.head)
+    coded = lm.encode(lex, pa.array(["a B A a", None, "", " a\tz\x1cz  b\n"] * 50))
+    assert lex.head.looked == 4  # a, b, an unseen word and the end
+    assert coded.starts.tolist()[:5] == [0, 5, 6, 7, 11]
+
+
+def test_words_are_cut_as_python_cuts_them():
+    texts = [f"{chr(i)}X{chr(i)}y Z{chr(i)}{chr(i)}" for i in range(0x250)] + [None, "", " ", "\u2003\u00a0É", "last"]
+    for at in (0, 1, 7, 600):  # a slice of a batch begins inside its buffers
+        found, place, sizes = lm.cut_words(pa.array(texts).slice(at))
+        want = [(t or "").encode().lower().split() for t in texts[at:]]
+        each = found.to_pylist()
+        assert [each[i] for i in place] == [w for some in want for w in some] and sizes.tolist() == [*map(len, want)]
+
+
+def test_rows_of_each_symbol_are_added_up():
+    rng = np.random.default_rng(5)
+    symbols, rows = np.minimum(rng.zipf(1.3, 500) - 1, 39), rng.standard_normal((3, 500, 2))
+    want = np.zeros((40, 6))
+    np.add.at(want, symbols, rows.transpose(1, 0, 2).reshape(500, 6))
+    assert np.allclose(lm._sums_by(symbols, rows, 40), want)
+
+
 def test_counts_and_base_scores_of_whole_table(spark, small):
     docs = {r["doc_id"]: (r["text"] or "").encode().lower().split() + [b""] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in docs}
