@@ -54,10 +54,16 @@ def coefficients(model, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(INTERCEPT, float(model.intercept)), *found], "at int, weight double")
 
 
-def dot_products(inputs: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, dot): the sum over a row's inputs of input times weight, by a join on the position."""
+def dot_products(
+    inputs: DataFrame, weights: DataFrame, keys: list[str], names: dict[str, str] | None = None
+) -> DataFrame:
+    """(keys, dot): the sum over a row's inputs of input times weight, by a join on the position.
+
+    With ``names``, a sum for each column of weights it lists, under the name given there, in the same pass.
+    """
     terms = inputs.join(broadcast_if_small(weights), "at")
-    return terms.groupBy(*keys).agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    sums = [F.sum(F.col("x") * F.col(w)).alias(dot) for w, dot in (names or {"weight": "dot"}).items()]
+    return terms.groupBy(*keys).agg(*sums)
 
 
 def logistic_gradient(

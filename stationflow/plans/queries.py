@@ -1000,24 +1000,31 @@ def h08_stationary(spark, sf):
 
 @query
 def h15_scores_by_join(spark, sf):
-    """Every test row's score from coefficients joined to its inputs, against the fitted models."""
+    """Every test row's score from coefficients joined to its inputs, against the fitted models.
+
+    The two models are fitted side by side. They share the preparation of their trainer, so rows are prepared once, and
+    the inputs of a row meet the coefficients of both models in one join and one grouped sum.
+    """
     _, test = split_tables(spark, sf)
-    trainer, parts = _trainer(spark, sf), []
-    for task, name in (("clf", "lr"), ("reg", "linear")):
-        model = trainer.model(task, name)
-        base = PipelineModel(stages=model.stages[:-1])
-        inputs = ln.sparse_inputs(test, base, FEED, list(KEYS))
-        dots = ln.dot_products(inputs, ln.coefficients(model.stages[-1], test), list(KEYS))
-        scored = md.score(model, test)
-        said = ev.score_value(scored, "rawPrediction") if task == "clf" else F.col("prediction")
-        both = scored.select(*KEYS, said.alias("prediction")).join(dots.withColumnRenamed("dot", "walked"), list(KEYS), "left")
-        near = F.abs(F.col("walked") - F.col("prediction")) <= 1e-6 * (1 + F.abs(F.col("prediction")))
-        parts.append(
-            both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(near).alias("agreeing")).select(
-                F.lit(task).alias("task"), F.lit(name).alias("model"), "rows", "agreeing"
-            )
-        )
-    return cl.union_all(parts)
+    wanted = {("clf", "lr"): "rawPrediction", ("reg", "linear"): "prediction"}
+    models = _trainer(spark, sf).models(list(wanted))
+    base = PipelineModel(stages=next(iter(models.values())).stages[:-1])
+    scored, weights, names = base.transform(test).select(*KEYS, "features"), None, []
+    for (task, name), column in wanted.items():
+        line = models[task, name].stages[-1]
+        rows = md.score(PipelineModel(stages=[line]), scored)
+        said = ev.score_value(rows, column)
+        scored = rows.select(*scored.columns, said.alias(f"said_{task}"))
+        own = ln.coefficients(line, test).withColumnRenamed("weight", task)
+        weights = own if weights is None else weights.join(own, "at")
+        names.append(task)
+    inputs = ln.sparse_inputs(test, base, FEED, list(KEYS))
+    dots = ln.dot_products(inputs, weights, list(KEYS), {task: f"walked_{task}" for task in names})
+    both = scored.drop("features").join(dots, list(KEYS), "left")
+    near = {c: F.abs(F.col(f"walked_{c}") - F.col(f"said_{c}")) <= 1e-6 * (1 + F.abs(F.col(f"said_{c}"))) for c in names}
+    counts = both.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(near[c]).alias(c) for c in names])
+    lines = [F.struct(F.lit(t).alias("task"), F.lit(n).alias("model"), "rows", F.col(t).alias("agreeing")) for t, n in wanted]
+    return counts.select(F.inline(F.array(*lines)))
 
 
 @query

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import ROW
+from stationflow.operators import linear as ln
 from stationflow.operators import models as md
 from stationflow.operators import prepare as pp
 from stationflow.operators import sampling as sp
@@ -15,6 +16,7 @@ from stationflow.operators.evaluate import area_under_roc, evaluate_regression
 from stationflow.operators.labels import with_regression_label
 from stationflow.plans import feature_job as fj
 from stationflow.plans import forecast as fc
+from stationflow.plans.queries import QUERIES
 from stationflow.sources.models import fingerprint
 from stationflow.spec import ModelSettings
 from stationflow.storage import stage
@@ -154,3 +156,32 @@ def test_both_tasks(trainer, learnable):
     assert metrics.count() == 15
     regression = fc.run_regression(trainer, learnable[1])
     assert {r["model"] for r in regression.collect()} == {"LINEAR", "RF", "GBT"} and regression.count() == 9
+
+
+def test_scores_by_join_prepare_the_rows_once(spark, small, monkeypatch):
+    """Both models share one set of inputs, one prepared table and one grouped sum, and are fitted side by side."""
+    calls = {"inputs": 0, "sums": 0, "together": []}
+    inputs, sums, fits = ln.sparse_inputs, ln.dot_products, md.Trainer.models
+
+    def counted(name, fn):
+        def run(*a, **k):
+            calls[name] += 1
+            return fn(*a, **k)
+
+        return run
+
+    monkeypatch.setattr(ln, "sparse_inputs", counted("inputs", inputs))
+    monkeypatch.setattr(ln, "dot_products", counted("sums", sums))
+    monkeypatch.setattr(md.Trainer, "models", lambda self, wanted: calls["together"].append(list(wanted)) or fits(self, wanted))
+    rows = {(r["task"], r["model"]): (r["rows"], r["agreeing"]) for r in QUERIES["h15_scores_by_join"](spark, small).collect()}
+    assert calls == {"inputs": 1, "sums": 1, "together": [[("clf", "lr"), ("reg", "linear")]]}
+    assert len(rows) == 2 and all(n == same > 0 for n, same in rows.values())
+
+
+def test_several_dot_products_in_one_pass(spark):
+    inputs = spark.createDataFrame([(1, 0, 2.0), (1, 1, 3.0), (2, -1, 1.0), (2, 1, 5.0)], "id int, at int, x double")
+    weights = spark.createDataFrame([(-1, 10.0, 1.0), (0, 1.0, -1.0), (1, 0.5, 2.0)], "at int, a double, b double")
+    got = ln.dot_products(inputs, weights, ["id"], {"a": "of_a", "b": "of_b"}).collect()
+    assert {r["id"]: (r["of_a"], r["of_b"]) for r in got} == {1: (3.5, 4.0), 2: (12.5, 11.0)}
+    alone = ln.dot_products(inputs, weights.withColumnRenamed("a", "weight"), ["id"]).collect()
+    assert {r["id"]: r["dot"] for r in alone} == {1: 3.5, 2: 12.5}
