@@ -256,6 +256,60 @@ def test_box_join_deals_few_points_to_many_tasks(spark):
     assert rg.in_boxes(p, b).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
+def _dealt(monkeypatch, **settings):
+    """Boxes count as too many to send to every task."""
+    monkeypatch.setattr(rg, "broadcast_if_small", lambda entered: entered)
+    for name, value in settings.items():
+        monkeypatch.setattr(rg, name, value)
+
+
+@pytest.mark.parametrize("degrees, levels, most", [(0.5, 1, 10), (0.3, 3, 1000), (7.0, 8, 1000), (1.0, 8, 7)])
+def test_dealt_boxes_equal_all_pairs(spark, monkeypatch, degrees, levels, most):
+    _dealt(monkeypatch, TILE_LEVELS=levels, BOXES_A_TASK=most)
+    test_boxes_equal_all_pairs(spark, degrees)
+
+
+def test_dealt_boxes_keep_every_column(spark, monkeypatch):
+    p = spark.createDataFrame([("a", 1, 2, {"k": 1}), ("a", 1, 2, {"k": 1}), (None, 9, 9, None)], "name string, latitude int, longitude int, m map<string, int>")
+    b = spark.createDataFrame([(0, 5, 0, 5, "x", [1, None]), (1, 1, 2, 2, None, None)], "south int, north int, west int, east int, `a.note on it` string, list array<int>")
+    want = rg.in_boxes(p, b)
+    _dealt(monkeypatch)
+    got = rg.in_boxes(p, b)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    order = lambda rows: sorted(map(repr, rows))
+    assert order(got.collect()) == order(want.collect()) and got.count() == 4
+    bare = rg.in_boxes(p, b.select("south", "north", "west", "east"))
+    assert bare.columns == p.columns and bare.count() == 4
+
+
+def test_one_place_is_dealt_to_many_tasks(spark, monkeypatch):
+    """Points and boxes of one place would be one task, with pairs that do not go through memory at once."""
+    _dealt(monkeypatch, BOXES_A_TASK=100)
+    p = spark.range(1500).selectExpr("id", "0.5D as latitude", "0.5D as longitude")
+    b = spark.range(400).selectExpr("id as box", "0.0D as south", "1.0D as north", "0.0D as west", "1.0D as east")
+    met = rg.in_boxes(p, b)
+    assert met.distinct().count() == met.count() == 1500 * 400
+    assert met.select(F.spark_partition_id()).distinct().count() >= 4
+
+
+def test_points_are_not_shuffled_once_a_grid(spark, small, monkeypatch):
+    _dealt(monkeypatch)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        met = q.QUERIES["b13_region_table"](spark, "/root/testdata/sf0.01")
+        met._jdf.collectToPython()
+        nodes, records = [met._jdf.queryExecution().executedPlan()], 0
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+            if "ShuffleExchange" in node.getClass().getName():
+                records += node.metrics().get("shuffleRecordsWritten").get().value()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # 1,500 points in 28 grids would be 42,000 rows.
+    assert 1500 < records < 3 * (1500 + 1500)
+
+
 def test_box_join_has_no_nested_loop(spark, small):
     text = plan(q.QUERIES["b13_region_table"](spark, small))
     assert "NestedLoop" not in text and "Cartesian" not in text and "HashJoin" in text
