@@ -340,6 +340,50 @@ def test_headers_that_cannot_be_read(spark, tmp_path):
         ob.read_mixed_observations(spark, str(tmp_path))
 
 
+ODD_FILES = {
+    "A.csv": "DATE,TMP,MASK\r\n2014-01-01,1.5,[1 1]\r\n\r\n2014-01-02,x,\r\n  \r\n2014-01-03,2,a,b,c\r\n",
+    "B b+.csv": 'MASK,"TMP",NOTE,DATE\n"q ""r"", s",NaN,,\n,,\n-,1e3,"open\n' + "".join(f"m{i},{i}.25,n,2014-02-{i:02d}\n" for i in range(1, 29)),
+    "C.csv": "\nDATE,TMP\n2014-01-01,1\n",
+    "D.csv": "\ufeffDATE,TMP\n2014-01-01,7\n",
+    "E.csv": "TMP,DATE" + "\n5,2014-03-01" * 40,
+    "F.csv": "DATE,TMP\n",
+    "G.csv": "",
+    "H.csv": "DATE , TMP\n" + "2014-04-01, 3 \n" * 3,
+}
+
+
+@pytest.mark.parametrize("split", ["32b", "128b", "1m"])
+def test_mixed_files_equal_a_read_of_each_file(spark, tmp_path, split):
+    """Whatever the files hold and wherever they are cut."""
+    types = dict(f.split() for f in OBSERVATION_DDL.split(", "))
+    want = []
+    for name, text in ODD_FILES.items():
+        (tmp_path / name).write_bytes(text.encode())
+        names = [n.strip().strip('"').strip() for n in text.removeprefix("\ufeff").split("\n")[0].split(",")]
+        schema = ", ".join(f"{n} {types[n]}" if n in types else f"`o{i}` string" for i, n in enumerate(names))
+        rows = spark.read.schema(schema).option("header", True).csv(str(tmp_path / name))
+        want += [(name.removesuffix(".csv"), *[str(r[c]) if c in names else "None" for c in types]) for r in rows.collect()]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        read = ob.read_mixed_observations(spark, str(tmp_path))
+        got = [(r["StationID"], *[str(r[c]) for c in types]) for r in read.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(got) == sorted(want) and len(got) == 79
+
+
+def test_mixed_headers_take_one_scan_of_few_tasks(spark, tmp_path):
+    """Neither the list of the files nor the tasks of their scan come once more for each header."""
+    for i in range(600):
+        (tmp_path / f"{i}.csv").write_text(("DATE,TMP\nx,1\n", "TMP,DATE\n1,x\n", "DATE,DEW,NOTE\nx,2,3\n")[i % 3])
+    rows = ob.read_mixed_observations(spark, str(tmp_path))
+    text = plan(rows)
+    assert text.count("FileScan") == 1 and "(1 paths)" in text
+    assert rows.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert rows.count() == 600 and rows.where("TMP = 1").count() == 400 and rows.where("DEW = 2").count() == 200
+
+
 def test_usual_headers_give_the_usual_rows(spark, tmp_path):
     columns = [f.split()[0] for f in OBSERVATION_DDL.split(", ")]
     line = "2014-01-01 00:00:00,1.0,2.0,3.0,4.0,5.0,6.0,7.0,[1 1 1 1 1],"
